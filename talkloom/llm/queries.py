@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, license_scan, url_filter
+from . import bpe, decontaminate, langid, license_scan, url_filter
 from .common import table
 
 #: Folder of the public tokenizers' files.
@@ -27,6 +27,10 @@ def held_out() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -48,6 +52,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_decontamination": op1_decontamination,
         "op3_url_filter": op3_url_filter,
         "op4_bpe": op4_bpe,
         "op5_license_scan": op5_license_scan,
@@ -55,5 +60,30 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+_WORDS = (
+    r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',"
+    r" 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+OP1_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS l FROM documents),
+i AS (SELECT item_id, {_WORDS} AS l FROM benchmark),
+w AS (SELECT item_id, l, least(len(l), 10) AS n FROM i WHERE len(l) > 0),
+iw AS (SELECT DISTINCT item_id, n, list_slice(l, s, s + n - 1) AS win
+       FROM (SELECT item_id, l, n, unnest(range(1, len(l) - n + 2)) AS s FROM w)),
+ns AS (SELECT DISTINCT n FROM iw),
+dw AS (SELECT doc_id, n, s, list_slice(l, s, s + n - 1) AS win
+       FROM (SELECT doc_id, l, n, unnest(range(1, len(l) - n + 2)) AS s FROM d JOIN ns ON len(l) >= n)),
+m AS (SELECT doc_id, s, dw.n, item_id FROM dw JOIN iw ON dw.n = iw.n AND dw.win = iw.win),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+      FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM m) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+      FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM m) GROUP BY doc_id)
+SELECT d.doc_id, len(d.l)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_decontamination": OP1_SQL}
