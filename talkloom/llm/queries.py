@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, license_scan, url_filter
-from .common import table
+from . import bpe, chat_format, decontaminate, langid, license_scan, url_filter, warc
+from .common import shared_folder, table
 
 #: Folder of the public tokenizers' files.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -31,6 +31,11 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.round_trip(table(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -44,6 +49,17 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("expressions", F.concat_ws("; ", "expressions"))
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    control = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-1, 0, "user", control), (-1, 1, "assistant", control)], "conv_id long, turn long, role string, text string"
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra)
+    folder = shared_folder(spark)
+    chats = chat_format.format_chats(chat_format.chain_messages(rows, folder), folder=folder)
+    return chat_format.digests(chats)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     trees = langid.fit(docs.where(~held_out()))
@@ -53,9 +69,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
+        "op2_warc": op2_warc,
         "op3_url_filter": op3_url_filter,
         "op4_bpe": op4_bpe,
         "op5_license_scan": op5_license_scan,
+        "op7_chat_format": op7_chat_format,
         "op8_language_id": op8_language_id,
     }
 
@@ -85,5 +103,27 @@ FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
 """
 
 
+OP2_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY digest) AS top FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id <> top THEN top END AS refers_to
+FROM m
+"""
+OP7_SQL = """
+WITH c AS (SELECT conv_id, turn, role, text FROM conversations
+           UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+x AS (SELECT conv_id, turn, role, coalesce(text, '') AS text, replace(replace(coalesce(text, ''), '\\', '\\\\'), '<|', '<\\|') AS esc
+      FROM c)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+       sum(length(role) + length(esc) + 24)::BIGINT AS formatted_chars
+FROM x GROUP BY conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": OP1_SQL}
+    return {"op1_decontamination": OP1_SQL, "op2_warc": OP2_SQL, "op7_chat_format": OP7_SQL}
