@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import struct
 import unicodedata
 from collections.abc import Iterator
@@ -34,10 +35,10 @@ from pyspark.sql import functions as F
 #: Fixed values of the tokenizer's word pattern, with white space spelled out.
 _SPACE = r"\t-\r\x20\x85\xa0  -     　"
 _WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{_SPACE}\p{{L}}\p{{N}}]+")
-_BLANKS = regex.compile(rf"[{_SPACE}]+")
-_SEPARATORS = regex.compile(r"[\x1c-\x1f]")
-#: Chunks of text whose encodings a worker remembers before it starts anew.
-CACHE_CHUNKS = 200_000
+#: The same for ASCII text.
+_ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
+#: Words whose encodings a worker remembers before it starts anew.
+CACHE_WORDS = 400_000
 
 
 def byte_symbols() -> list[str]:
@@ -91,7 +92,10 @@ class WordBpe:
         if not self.suffix:
             self.final = self.inner
         self.longest = max(self.size.values(), default=1)
-        self.chunks: dict[str, tuple[bytes, bytes]] = {}
+        self.symbol_table = dict(enumerate(self.symbols))
+        #: what the worker remembers of words: ids and decoded text
+        self.ids: dict[str, bytes] = {}
+        self.texts: dict[str, bytes] = {}
 
     def usable(self, token: int) -> bool:
         """Whether the token's own symbols encode to it alone."""
@@ -181,48 +185,48 @@ class WordBpe:
             text = unicodedata.normalize("NFC", text)
         return text.replace("Σ", "σ").lower()
 
-    def learn_chunks(self, chunks: set[str]) -> None:
-        """Encode chunks of text that hold no white space and keep the results."""
-        symbols, cut = self.symbols, {}
-        for chunk in chunks:
-            words = [chunk] if chunk.isalpha() else _WORD.findall(chunk)
-            cut[chunk] = [w if w.isascii() and w.isalnum() else "".join(symbols[b] for b in w.encode()) for w in words]
-        encoded = self.encode_words({w for words in cut.values() for w in words})
-        known, text_of = self.n_known, self.text_of
-        for chunk, words in cut.items():
-            ids = [i for w in words for i in encoded[w] if i < known]
-            self.chunks[chunk] = (struct.pack(f"<{len(ids)}I", *ids), " ".join([text_of[i] for i in ids]).encode())
-
-    def chunks_of(self, text: str) -> list[str]:
-        """White-space-delimited chunks; a special token is a chunk with a leading blank."""
-        if self.split_special and "<|" in text and self.split_special.search(text):
-            out = []
-            for piece in self.split_special.split(text):
-                out.extend([" " + piece] if piece in self.special else self.plain_chunks(piece))
-            return out
-        return self.plain_chunks(text)
-
-    def plain_chunks(self, text: str) -> list[str]:
+    def words_of(self, text: str) -> list[str]:
+        """The words that the tokenizer cuts; a special token gets a leading blank."""
+        if self.split_special and "<|" in text:
+            pieces = self.split_special.split(text)
+            if len(pieces) > 1:
+                return [w for p in pieces for w in ([" " + p] if p in self.special else self.plain_words(p))]
+        return self.plain_words(text)
+
+    def plain_words(self, text: str) -> list[str]:
         text = self.normal(text)
-        if _SEPARATORS.search(text):  # white space to str.split, but not to the tokenizer
-            return [c for c in _BLANKS.split(text) if c]
-        return text.split()
+        return (_ASCII_WORD if text.isascii() else _WORD).findall(text)
+
+    def learn(self, words: set[str]) -> None:
+        """Encode new words together and keep the results."""
+        as_symbols = {
+            w: w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(self.symbol_table)
+            for w in words
+        }
+        encoded = self.encode_words(set(as_symbols.values()))
+        known, text_of, pack = self.n_known, self.text_of, struct.pack
+        for word, key in as_symbols.items():
+            ids = encoded[key]
+            if max(ids) >= known:
+                ids = [i for i in ids if i < known]
+            self.ids[word] = pack(f"<{len(ids)}I", *ids)
+            self.texts[word] = " ".join([text_of[i] for i in ids]).encode()
 
     def encode_batch(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
         """(ids as little-endian 32-bit integers, decoded text in UTF-8) of every text."""
-        if len(self.chunks) > CACHE_CHUNKS:
-            self.chunks.clear()
+        if len(self.ids) > CACHE_WORDS:
+            self.ids.clear()
+            self.texts.clear()
         for token, i in self.special.items():
-            self.chunks[" " + token] = (struct.pack("<I", i), token.encode())
-        chunked = [self.chunks_of(text) if text else [] for text in texts]
-        new = set().union(*chunked) - self.chunks.keys()
+            self.ids[" " + token], self.texts[" " + token] = struct.pack("<I", i), token.encode()
+        cut = [self.words_of(text) if text else [] for text in texts]
+        new = set().union(*cut).difference(self.ids)
         if new:
-            self.learn_chunks(new)
-        out = []
-        for chunks in chunked:
-            found = [self.chunks[c] for c in chunks]
-            out.append((b"".join([x[0] for x in found]), b" ".join([x[1] for x in found if x[1]])))
-        return out
+            self.learn(new)
+        ids, decoded = self.ids, self.texts
+        return [
+            (b"".join([ids[w] for w in words]), b" ".join([t for t in [decoded[w] for w in words] if t])) for words in cut
+        ]
 
     def decode(self, ids: bytes) -> str:
         """Token strings joined by blanks, as the tokenizer's file has no decoder."""
