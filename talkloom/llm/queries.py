@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, decontaminate, langid, license_scan, url_filter, warc
+from . import bpe, chat_format, decontaminate, fingerprint, langid, license_scan, url_filter, warc
 from .common import shared_folder, table
 
 #: Folder of the public tokenizers' files.
@@ -66,6 +66,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, trees, keep={"held_out": held_out()})
 
 
+def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
@@ -75,6 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_license_scan": op5_license_scan,
         "op7_chat_format": op7_chat_format,
         "op8_language_id": op8_language_id,
+        "op10_fingerprint": op10_fingerprint,
     }
 
 
