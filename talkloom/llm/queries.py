@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, decontaminate, fingerprint, langid, license_scan, url_filter, warc
+from . import bpe, chat_format, decontaminate, fingerprint, langid, license_scan, ngram_join, url_filter, warc
 from .common import shared_folder, table
 
 #: Folder of the public tokenizers' files.
@@ -49,6 +49,10 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("expressions", F.concat_ws("; ", "expressions"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     control = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame(
@@ -77,6 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_url_filter": op3_url_filter,
         "op4_bpe": op4_bpe,
         "op5_license_scan": op5_license_scan,
+        "op6_ngram_join": op6_ngram_join,
         "op7_chat_format": op7_chat_format,
         "op8_language_id": op8_language_id,
         "op10_fingerprint": op10_fingerprint,
