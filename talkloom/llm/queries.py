@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, decontaminate, fingerprint, langid, license_scan, ngram_join, url_filter, warc
+from . import bpe, chat_format, decontaminate, fingerprint, langid, license_scan, ngram_join, quality, url_filter, warc
 from .common import shared_folder, table
 
 #: Folder of the public tokenizers' files.
@@ -70,6 +70,12 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, trees, keep={"held_out": held_out()})
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model, keep=["doc_id"])
+
+
 def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_documents(table(spark, sf_dir, "documents"))
 
@@ -84,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_ngram_join": op6_ngram_join,
         "op7_chat_format": op7_chat_format,
         "op8_language_id": op8_language_id,
+        "op9_quality": op9_quality,
         "op10_fingerprint": op10_fingerprint,
     }
 
