@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from .common import words_of
 
 #: Bounds of the training samples.
-MAX_LABELLED = 6_000
-MAX_POOL = 6_000
+MAX_LABELLED = 4_000
+MAX_POOL = 4_000
 ROUNDS = 3
 #: Share of the pool that a view labels in a round.
 SURE = 0.05
@@ -50,21 +50,24 @@ _CLASS[np.setdiff1d(np.arange(128), np.flatnonzero(_CLASS < 15))] = 14
 
 
 def text_features(raw: bytes | None) -> np.ndarray:
-    """Shares of neighbouring character classes, and measures of repetition."""
-    out = np.zeros(256 + 6, np.float32)
+    """Shares of character classes and of neighbouring ones, and measures of repetition."""
+    out = np.zeros(256 + 16 + 7, np.float32)
     if not raw:
-        out[261] = 1
+        out[278] = 1
         return out
     c = _CLASS[np.frombuffer(raw, np.uint8)]
+    out[256:272] = np.sqrt(np.bincount(c, minlength=16) / len(c))
     if len(c) > 1:
         out[:256] = np.sqrt(np.bincount(c[:-1] * 16 + c[1:], minlength=256) / (len(c) - 1))
     words = words_of(raw)
     lines = [x for x in raw.split(b"\n") if x]
-    out[256] = len(set(words)) / len(words) if words else 0
-    out[257] = len(set(lines)) / len(lines) if lines else 0
-    out[258] = min(20.0, sum(map(len, words)) / len(words)) / 20 if words else 0
-    out[259] = min(1.0, len(lines) / (1 + len(words)) * 5)
-    out[260] = np.log1p(len(words)) / 12
+    if words:
+        out[272] = len(set(words)) / len(words)
+        out[273] = sum(map(bytes.__eq__, words, words[1:])) / len(words)
+        out[274] = min(20.0, sum(map(len, words)) / len(words)) / 20
+    out[275] = len(set(lines)) / len(lines) if lines else 0
+    out[276] = min(1.0, len(lines) / (1 + len(words)) * 5)
+    out[277] = np.log1p(len(words)) / 12
     return out
 
 
@@ -93,23 +96,26 @@ class Linear:
         return (x - self.mean) / self.scale @ self.weights + self.bias
 
 
-def train_linear(x: np.ndarray, y: np.ndarray, steps: int = 250, rate: float = 0.3, l2: float = 3e-3) -> Linear:
+def train_linear(x: np.ndarray, y: np.ndarray, ridge: float = 30.0, steps: int = 12) -> Linear:
+    """Ridge-penalised fit by iteratively reweighted least squares."""
     mean, scale = x.mean(axis=0), x.std(axis=0)
     scale = np.where(scale < 1e-3, 1.0, scale)
-    z = (x - mean) / scale
-    weights = np.zeros(x.shape[1])
-    share = np.clip(y.mean(), 1e-3, 1 - 1e-3)
-    bias = float(np.log(share / (1 - share)))
+    z = np.concatenate([(x - mean) / scale, np.ones((len(x), 1))], axis=1).astype(np.float64)
+    penalty = np.append(np.full(x.shape[1], ridge), 1e-6)
+    weights = np.zeros(z.shape[1])
     for _ in range(steps):
-        err = sigmoid(z @ weights + bias) - y
-        weights -= rate * (z.T @ err / len(y) + l2 * weights)
-        bias -= rate * float(err.mean())
-    return Linear(mean, scale, weights, bias)
+        p = sigmoid(z @ weights)
+        curve = np.maximum(p * (1 - p), 1e-4)
+        step = np.linalg.solve((z * curve[:, None]).T @ z + np.diag(penalty), z.T @ (y - p) - penalty * weights)
+        weights += step
+        if np.abs(step).max() < 1e-4:
+            break
+    return Linear(mean, scale, weights[:-1], float(weights[-1]))
 
 
 def calibrate(logits: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Slope and offset that make logits into probabilities (Platt's method)."""
-    fit = train_linear(logits[:, None], y, steps=400, l2=1e-3)
+    fit = train_linear(logits[:, None], y, ridge=0.1)
     slope = float(fit.weights[0] / fit.scale[0])
     return slope, float(fit.bias - slope * fit.mean[0])
 
@@ -162,7 +168,7 @@ def co_train(text_x: np.ndarray, meta_x: np.ndarray, y: np.ndarray, pool_text: n
     a, b = model.text.logits(text_x[fold]), model.meta.logits(meta_x[fold])
     model.text_scale, model.meta_scale = calibrate(a, y[fold]), calibrate(b, y[fold])
     both = np.stack([a * model.text_scale[0] + model.text_scale[1], b * model.meta_scale[0] + model.meta_scale[1]], axis=1)
-    model.combined = train_linear(both, y[fold], steps=400, l2=1e-3)
+    model.combined = train_linear(both, y[fold], ridge=0.1)
     return model
 
 
