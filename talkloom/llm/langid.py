@@ -47,7 +47,6 @@ class Trees:
     n_symbols: int
     rows: list[np.ndarray]  # context number -> row of lengths
     lengths: list[np.ndarray]  # row * n_symbols + symbol -> bits
-    worst: float  # bits a byte above which no training text lies
 
 
 def count_contexts(texts: list[bytes], symbol: np.ndarray) -> dict[tuple, dict[int, int]]:
@@ -98,16 +97,7 @@ def compile_trees(samples: dict[str, list[bytes]]) -> Trees:
             cube[(...,) + context] = i
         rows.append(cube.ravel())
         lengths.append(np.concatenate([bits[c] for c in number]).astype(np.float32))
-    trees = Trees(languages, symbol, n, rows, lengths, float("inf"))
-    rates = [
-        min(totals) / len(raw)
-        for texts in samples.values()
-        for raw, totals in zip(texts, score_texts(texts, trees), strict=True)
-        if len(raw) >= 64
-    ]
-    if rates:
-        trees.worst = max(rates)
-    return trees
+    return Trees(languages, symbol, n, rows, lengths)
 
 
 def score_flat(data: np.ndarray, starts: np.ndarray, trees: Trees) -> np.ndarray:
