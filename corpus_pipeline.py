@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from talkloom.llm import bpe, decontaminate, langid, ngram_join, quality, queries
 from talkloom.llm.common import shared_folder, stored, table
+from talkloom.session import share_package
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: Bits a byte above which a text is in no known language, as a multiple of the
-#: worst that any training text takes.
-FOREIGN = 1.3
+#: Bits a byte from which a text is in no known language: about those of random bytes.
+FOREIGN_BITS = 7.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,8 +23,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     trees = langid.fit(docs)
     keep = {c: F.col(c) for c in docs.columns if c != "doc_id"}
     scored = langid.predict(docs, trees, keep=keep)
-    limit = trees.worst * FOREIGN
-    return scored.where((F.col("lang_pred") != "und") & (F.col("bits_per_byte") <= limit)).select(*docs.columns)
+    return scored.where((F.col("lang_pred") != "und") & (F.col("bits_per_byte") < FOREIGN_BITS)).select(*docs.columns)
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,6 +63,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages, each written as Parquet and read again as the next one's docs."""
+    share_package(spark)
     folder = shared_folder(spark)
     docs = table(spark, sf_dir, "documents").select(*COLUMNS)
     for k, (_, stage) in enumerate(STAGES[:-1]):
