@@ -224,7 +224,7 @@ def shared_shingles(docs: DataFrame, id_col: str, text_col: str, folder: str) ->
         bucket = table.column("bucket")[0].as_py()
         blobs = table.column("blob").to_pylist()
         if bucket < 0:  # set sizes pass through
-            return pa.table({"part": pa.array([-1 - bucket] * len(blobs), pa.int32()), "sizes": pa.array([True] * len(blobs)), "blob": pa.array(blobs, pa.binary())})
+            return pa.table({"part": pa.array([-1 - bucket] * len(blobs), pa.int32()), "sizes": pa.array([True] * len(blobs), pa.bool_()), "blob": pa.array(blobs, pa.binary())})
         owners, hashes = [], []
         for blob in blobs:
             d, (h,) = unpack_docs(blob)
@@ -243,7 +243,7 @@ def shared_shingles(docs: DataFrame, id_col: str, text_col: str, folder: str) ->
         for b, at in grouped_runs(doc_bucket(d, doc_buckets)):
             keys.append(b)
             out.append(pack_docs(d[at], ((h[at], HASH_BITS // 8), (np.minimum(f[at], (1 << 32) - 1), 4))))
-        return pa.table({"part": pa.array(keys, pa.int32()), "sizes": pa.array([False] * len(keys)), "blob": pa.array(out, pa.binary())})
+        return pa.table({"part": pa.array(keys, pa.int32()), "sizes": pa.array([False] * len(keys), pa.bool_()), "blob": pa.array(out, pa.binary())})
 
     def gather(table: pa.Table) -> pa.Table:
         ids, sizes, owners, hashes, frequencies = [], [], [], [], []
