@@ -46,7 +46,7 @@ from .components import components
 
 SHINGLE = 5
 #: Shingles in one packed block, and bytes of text hashed at once.
-BLOCK_SHINGLES = 2 << 20
+BLOCK_SHINGLES = 1 << 20
 CHUNK_BYTES = 1 << 20
 HASH_BITS = 56
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -334,13 +334,17 @@ def may_link(n1: str, i1: str, n2: str, i2: str) -> F.Column:
 
 
 def link_classes(sets: DataFrame, folder: str) -> DataFrame:
-    """Links (a, b) that connect just the documents that links connect."""
+    """(id, component) of every document that links, or equals one, with another.
+
+    Rounds work on what is left: links become edges between the components so
+    far, so no round looks at the links of an earlier one again.
+    """
     spark = sets.sparkSession
     live = sets.where("tokens is not null")
     classes = stored(live.groupBy("sig").agg(F.min("doc").alias("doc"), F.count("*").alias("copies")), f"{folder}/classes")
-    own_class = live.where("own = 0").select(F.col("doc").alias("a"), "sig")
+    own_class = live.where("own = 0").select(F.col("doc").alias("id"), "sig")
     copies = stored(
-        own_class.join(classes.where("copies > 1").select("sig", F.col("doc").alias("b")), "sig").where("a <> b").select("a", "b"),
+        own_class.join(classes.where("copies > 1").select("sig", "doc"), "sig").where("id <> doc").select("id", "doc"),
         f"{folder}/copies",
     )
     kept = live.select("doc", "n", "own", "prefix").join(classes.select("doc"), "doc", "left_semi")
@@ -348,7 +352,7 @@ def link_classes(sets: DataFrame, folder: str) -> DataFrame:
     grams = grams.select("gram", "doc", "n", (F.col("own") + F.col("k")).alias("i"))
     lists = grams.groupBy("gram").agg(F.count("*").alias("size")).where("size > 1")
     grams = stored(grams.join(lists.select("gram"), "gram", "left_semi"), f"{folder}/grams")
-    links = tried = labels = None
+    tried = labels = None
     for k in range(HUB_ROUNDS + 1):
         if labels is None:
             labelled = grams.withColumn("label", F.col("doc"))
@@ -378,11 +382,25 @@ def link_classes(sets: DataFrame, folder: str) -> DataFrame:
         pairs = stored(pairs, f"{folder}/pairs{k}")
         found = stored(verified(pairs, sets), f"{folder}/links{k}")
         tried = pairs if tried is None else tried.union(pairs)
-        links = found if links is None else links.union(found)
         release(spark)
-        if k < HUB_ROUNDS:
-            labels = stored(components(links, f"{folder}/cc{k}").select(F.col("id").alias("doc"), "component"), f"{folder}/labels{k}")
-    return copies if links is None else copies.union(links)
+        labels = merge_components(labels, found, f"{folder}/cc{k}")
+    if labels is None:
+        return copies.select("id", F.col("doc").alias("component"))
+    like = copies.join(labels, "doc", "left").select("id", F.coalesce("component", "doc").alias("component"))
+    return labels.select(F.col("doc").alias("id"), "component").union(like)
+
+
+def merge_components(labels: DataFrame | None, links: DataFrame, folder: str) -> DataFrame:
+    """Components (doc, component) after further links between documents."""
+    if labels is None:
+        return stored(components(links, folder).select(F.col("id").alias("doc"), "component"), f"{folder}/labels")
+    a = labels.select(F.col("doc").alias("a"), F.col("component").alias("ca"))
+    b = labels.select(F.col("doc").alias("b"), F.col("component").alias("cb"))
+    edges = links.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    merged = components(edges, folder).select("id", F.col("component").alias("to"))
+    new = merged.select(F.col("id").alias("doc"), F.col("id").alias("component")).join(labels.select("doc"), "doc", "left_anti")
+    every = labels.union(new).join(merged, F.col("component") == F.col("id"), "left")
+    return stored(every.select("doc", F.coalesce("to", "component").alias("component")), f"{folder}/labels")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None) -> DataFrame:
@@ -391,8 +409,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     folder = folder or shared_folder(spark)
     sets = shared_shingles(docs, id_col, text_col, folder)
     release(spark)
-    links = link_classes(sets, folder)
-    labels = stored(components(links, f"{folder}/cc"), f"{folder}/labels")
+    labels = link_classes(sets, folder)
     result = sets.select("doc", "n").join(labels, sets["doc"] == labels["id"], "left")
     kind = docs.schema[id_col].dataType
     known = result.select(
