@@ -349,7 +349,7 @@ def link_classes(sets: DataFrame, folder: str) -> DataFrame:
     )
     kept = live.select("doc", "n", "own", "prefix").join(classes.select("doc"), "doc", "left_semi")
     grams = kept.select("doc", "n", "own", F.posexplode("prefix").alias("k", "gram"))
-    grams = grams.select("gram", "doc", "n", (F.col("own") + F.col("k")).alias("i"))
+    grams = grams.select("gram", "doc", "n", "own", (F.col("own") + F.col("k")).alias("i"))
     lists = grams.groupBy("gram").agg(F.count("*").alias("size")).where("size > 1")
     grams = stored(grams.join(lists.select("gram"), "gram", "left_semi"), f"{folder}/grams")
     tried = labels = None
@@ -363,7 +363,8 @@ def link_classes(sets: DataFrame, folder: str) -> DataFrame:
             if labelled.isEmpty():
                 break
         if k < HUB_ROUNDS:
-            turn = F.xxhash64("doc", F.lit(k))
+            # a document with few shingles of its own is near the middle of its group
+            turn = F.struct(F.floor(F.col("own") / (1 + 4 * k)), F.xxhash64("doc", F.lit(k)))
             hubs = labelled.groupBy("gram").agg(F.min(F.struct(turn.alias("turn"), "doc", "n", "i", "label")).alias("hub"))
             met = labelled.join(hubs, "gram").select(
                 "doc", "n", "i", "label", F.col("hub.doc").alias("doc2"), F.col("hub.n").alias("n2"),
