@@ -128,6 +128,23 @@ SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
        CASE WHEN n >= 1000 AND page_id <> top THEN top END AS refers_to
 FROM m
 """
+_SPACED = (
+    r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',"
+    r" 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
+)
+OP6_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_SPACED} AS l FROM documents),
+s AS (SELECT doc_id, array_to_string(list_slice(l, k, k + 4), ' ') AS g
+      FROM (SELECT doc_id, l, unnest(range(1, len(l) - 3)) AS k FROM d WHERE len(l) >= 5)
+      UNION SELECT doc_id, array_to_string(l, ' ') FROM d WHERE len(l) BETWEEN 1 AND 4),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * o >= 80 * (nx.n + ny.n - o)),
+b AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+r AS (SELECT doc_id AS id, doc_id AS c FROM d UNION SELECT r.id, b.y FROM r JOIN b ON r.c = b.x)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, (SELECT min(c) FROM r WHERE r.id = d.doc_id) AS component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id
+"""
 OP7_SQL = """
 WITH c AS (SELECT conv_id, turn, role, text FROM conversations
            UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
@@ -143,4 +160,4 @@ FROM x GROUP BY conv_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": OP1_SQL, "op2_warc": OP2_SQL, "op7_chat_format": OP7_SQL}
+    return {"op1_decontamination": OP1_SQL, "op2_warc": OP2_SQL, "op6_ngram_join": OP6_SQL, "op7_chat_format": OP7_SQL}
