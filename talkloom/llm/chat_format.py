@@ -8,7 +8,7 @@ the same pointers, and each path is formatted as one conversation.
 
 Defined cases: null roles and texts count as empty; a message whose parent is
 missing is a root; ties between branches go to the longer, then to the
-smaller leaf id; messages on a cycle have no root and are left out; null tree ids
+smaller leaf id; messages on a cycle, or under one, have no root and are left out; null tree ids
 form a tree of their own; an empty table gives no conversations.
 """
 
@@ -26,8 +26,6 @@ from pyspark.sql.window import Window
 from .common import shared_folder, stored
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>\n"
-#: Rounds of pointer doubling; deeper trees than 2 ** 40 don't exist.
-MAX_ROUNDS = 40
 
 
 def escape(text: str) -> str:
@@ -75,32 +73,28 @@ def best_paths(messages: DataFrame, folder: str, branches: int = 1) -> DataFrame
     rooted = linked.join(known, "parent", "left_semi").unionByName(
         linked.join(known, "parent", "left_anti").withColumn("parent", F.lit(None).cast("long"))
     )
-    state = stored(
-        rooted.select(
-            "node", F.col("parent").alias("up"), F.lit(1).cast("long").alias("depth"), F.col("score").alias("total"),
-            F.when(F.col("parent").isNull(), F.col("node")).alias("root"),
-        ),
-        f"{folder}/up0",
-    )
-    parents = state.where("up is not null").select(F.col("up").alias("node")).distinct()
-    jumps = [state]
-    for k in range(1, MAX_ROUNDS):
-        if state.where("up is not null").isEmpty():
-            break
-        above = state.select(
-            F.col("node").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("d2"),
-            F.col("total").alias("t2"), F.col("root").alias("r2"),
-        )
-        joined = state.join(above, "up", "left")
-        state = stored(
-            joined.select(
-                "node", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"),
-                (F.col("total") + F.coalesce("t2", F.lit(0.0))).alias("total"), F.coalesce("root", "r2").alias("root"),
+    rooted = stored(rooted, f"{folder}/rooted")
+    start = ("node", F.lit(1).cast("long").alias("depth"), F.col("score").alias("total"))
+    # rows whose path to the root is known, and rows whose pointer has not met it
+    settled = rooted.where("parent is null").select(*start, F.col("node").alias("root"))
+    active = rooted.where("parent is not null").select(*start, F.col("parent").alias("up"))
+    parents = rooted.where("parent is not null").select(F.col("parent").alias("node")).distinct()
+    n, jumps = rooted.count(), []
+    while not active.isEmpty() and 1 << len(jumps) <= n:
+        jumps.append(active)
+        none = F.lit(None).cast("long")
+        above = settled.select("node", "depth", "total", "root", none.alias("up")).unionByName(active.withColumn("root", none))
+        above = above.toDF(*(f"{c}_2" for c in above.columns))
+        step = stored(
+            active.join(above, F.col("up") == F.col("node_2")).select(
+                "node", (F.col("depth") + F.col("depth_2")).alias("depth"), (F.col("total") + F.col("total_2")).alias("total"),
+                F.col("root_2").alias("root"), F.col("up_2").alias("up"),
             ),
-            f"{folder}/up{k}",
+            f"{folder}/up{len(jumps)}",
         )
-        jumps.append(state)
-    leaves = state.where("root is not null").join(parents, "node", "left_anti")
+        settled = settled.union(step.where("root is not null").drop("up"))
+        active = step.where("root is null").drop("root")
+    leaves = settled.join(parents, "node", "left_anti")
     order = F.struct("total", "depth", (-F.col("node")).alias("first"))
     if branches == 1:
         chosen = leaves.groupBy("root").agg(F.max_by("node", order).alias("leaf"))
@@ -108,11 +102,10 @@ def best_paths(messages: DataFrame, folder: str, branches: int = 1) -> DataFrame
         rank = F.row_number().over(Window.partitionBy("root").orderBy(order.desc()))
         chosen = leaves.withColumn("rank", rank).where(F.col("rank") <= branches).select("root", F.col("node").alias("leaf"))
     path = chosen.select("leaf", "root", F.col("leaf").alias("node"))
-    for k, jump in enumerate(jumps[:-1]):
-        reach = jump.where("up is not null").select("node", "up")
-        higher = path.join(reach, "node").select("leaf", "root", F.col("up").alias("node"))
+    for k, jump in enumerate(jumps):
+        higher = path.join(jump.select("node", "up"), "node").select("leaf", "root", F.col("up").alias("node"))
         path = stored(path.union(higher), f"{folder}/path{k}")
-    return path.join(state.select("node", "depth"), "node")
+    return path.join(settled.select("node", "depth"), "node")
 
 
 def format_chats(
