@@ -102,12 +102,13 @@ def with_p(stats: DataFrame) -> DataFrame:
 def draws(spark: SparkSession, diffs: DataFrame, n_draws: int, seed: int, portable: bool) -> DataFrame:
     """(draw, n, d, number): every draw next to every difference, with a random integer.
 
-    ``diffs`` (pos from 0 without gaps, d) has one row for each judged sample,
-    few enough to be sent to the tasks that draws are dealt to.  ``portable``
-    draws by MD5, as other engines can, else by a faster hash.
+    ``diffs`` (pos from 0 without gaps, d) has one row for each judged sample.
+    No broadcast is forced: Spark sends a small side to the draws and deals a
+    large one.  ``portable`` draws by MD5, as other engines can, else by a
+    faster hash.
     """
     counted = diffs.crossJoin(diffs.agg(F.count("*").alias("n")))
-    grid = spark.range(n_draws).withColumnRenamed("id", "draw").crossJoin(F.broadcast(counted))
+    grid = spark.range(n_draws).withColumnRenamed("id", "draw").crossJoin(counted)
     if portable:
         number = md5_int(F.concat_ws(":", F.lit(str(seed)), "draw", "pos"))
     else:
@@ -118,7 +119,7 @@ def draws(spark: SparkSession, diffs: DataFrame, n_draws: int, seed: int, portab
 def bootstrap_means(spark: SparkSession, diffs: DataFrame, n_draws: int = 10_000, seed: int = 42, portable: bool = False) -> DataFrame:
     """(draw, mean) of resampled differences."""
     picks = draws(spark, diffs, n_draws, seed, portable).select("draw", F.pmod("number", "n").alias("pos"))
-    return picks.join(F.broadcast(diffs), "pos").groupBy("draw").agg(F.avg("d").alias("mean"))
+    return picks.join(diffs, "pos").groupBy("draw").agg(F.avg("d").alias("mean"))
 
 
 def bootstrap_ci(spark: SparkSession, diffs: DataFrame, n_draws: int = 10_000, seed: int = 42, portable: bool = False) -> DataFrame:
