@@ -539,6 +539,26 @@ def permutation_p(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.permutation_p(spark, diffs, 200, portable=True).select("hits", "p")
 
 
+@query(f"""WITH {SCORES_SQL}, n AS (SELECT count(*) AS n FROM diffs_v),
+g AS (SELECT draw, {_DRAW} % n AS pick FROM (SELECT unnest(range(10000)) AS draw), diffs_v, n),
+m AS (SELECT draw, avg(d) AS mean FROM g JOIN diffs_v ON diffs_v.pos = g.pick GROUP BY draw),
+o AS (SELECT mean, row_number() OVER (ORDER BY mean) AS k FROM m)
+SELECT round(min(mean) FILTER (k = 251), 6) AS low, round(min(mean) FILTER (k = 9750), 6) AS high FROM o""")
+def bootstrap_ci_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The interval of all 10,000 draws of the original."""
+    ci = evaluation.bootstrap_ci(spark, _diffs(spark, sf_dir), portable=True)
+    return ci.select(F.round("low", 6).alias("low"), F.round("high", 6).alias("high"))
+
+
+@query(f"""WITH {SCORES_SQL}, x AS (SELECT pos, round(d * 10)::BIGINT AS d FROM diffs_v),
+s AS (SELECT draw, abs(sum(d * CASE WHEN {_DRAW} % 2 = 0 THEN 1 ELSE -1 END)) AS s, abs(sum(d)) AS o FROM (SELECT unnest(range(10000)) AS draw), x GROUP BY draw)
+SELECT count(*) FILTER (s >= o)::BIGINT AS hits, count(*) FILTER (s >= o) / 10000.0::DOUBLE AS p FROM s""")
+def permutation_p_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The p value of all 10,000 draws of the original."""
+    diffs = _diffs(spark, sf_dir).select("pos", F.round(F.col("d") * 10).cast("long").alias("d"))
+    return evaluation.permutation_p(spark, diffs, portable=True).select("hits", "p")
+
+
 _VETO = " ".join(
     f"WHEN candidate_{d} < 3 AND baseline_{d} >= 3 THEN 'baseline' WHEN baseline_{d} < 3 AND candidate_{d} >= 3 THEN 'candidate'" for d in verdicts.CRITICAL
 )
