@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import shared_folder, stored
+from .ngram_join import merge_components
 
 BITS = 256
 SEED = 20_240_229
@@ -40,6 +42,8 @@ SEED = 20_240_229
 PERIOD = 1 << 14
 #: Characters in one batch of walks, edited texts included.
 BATCH_CHARS = 16 << 20
+#: Rounds in which a bucket is compared with one class of it only.
+HUB_ROUNDS = 3
 #: Class of the mark at the end of a text.
 END = 256
 
@@ -244,12 +248,16 @@ def band_keys(fingerprint: str, bands: int = 24, width: int = 20) -> list[int]:
 def near_links(prints: DataFrame, id_col: str = "doc_id", least: float = 0.8, bands: int = 24, width: int = 20) -> DataFrame:
     """Links (id, hub, likeness) between documents with near fingerprints.
 
-    Equal fingerprints form a class, whose smallest id stands for it.  Classes
-    that share a band's sampled bits are compared with the smallest id of that
-    band's bucket, and links of at least ``least`` are kept: a bucket of any
-    size costs one comparison for each of its classes, never all pairs.
+    Equal fingerprints form a class, whose smallest id stands for it; rows
+    without id are left out.  Classes that share a band's sampled bits are
+    compared with one class of that band's bucket, the smallest at first and
+    others in further rounds.  Last, what is still in different components is
+    compared within each bucket, all pairs of it.  Links of at least ``least``
+    are kept, so documents are connected exactly if such pairs in common
+    buckets connect them; ``hub`` is the smaller id.
     """
-    classes_ = prints.groupBy("fingerprint").agg(F.min(id_col).alias("id"))
+    folder = shared_folder(prints.sparkSession)
+    classes_ = prints.where(F.col(id_col).isNotNull()).groupBy("fingerprint").agg(F.min(id_col).alias("id"))
     picks = np.random.default_rng(SEED + 3).permuted(np.tile(np.arange(BITS), (bands, 1)), axis=1)[:, :width]
     # bit p of the hex string: digit p // 4, bit 3 - p % 4 of it
     bit = [
@@ -264,11 +272,40 @@ def near_links(prints: DataFrame, id_col: str = "doc_id", least: float = 0.8, ba
         )
     )
     keyed = wide.select("id", "fingerprint", F.explode(keys).alias("key"))
-    hubs = keyed.groupBy("key").agg(F.min(F.struct("id", "fingerprint")).alias("hub"), F.count("*").alias("n")).where("n > 1")
-    pairs = keyed.join(hubs, "key").where("id <> hub.id").select("id", "fingerprint", "hub").distinct()
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    keyed = stored(keyed.join(shared.select("key"), "key", "left_semi"), f"{folder}/keyed")
     differing = sum(
-        F.bit_count(F.conv(F.substring("fingerprint", s, 8), 16, 10).cast("long").bitwiseXOR(F.conv(F.substring("hub.fingerprint", s, 8), 16, 10).cast("long")))
+        F.bit_count(F.conv(F.substring("fa", s, 8), 16, 10).cast("long").bitwiseXOR(F.conv(F.substring("fb", s, 8), 16, 10).cast("long")))
         for s in range(1, BITS // 4 + 1, 8)
     )
     alike = F.greatest(F.lit(0.0), 1 - 2 * differing / BITS)
-    return pairs.select("id", F.col("hub.id").alias("hub"), alike.alias("likeness")).where(F.col("likeness") >= least)
+    labels, links = None, []
+    for k in range(HUB_ROUNDS + 1):
+        if labels is None:
+            labelled = keyed.withColumn("label", F.col("id"))
+        else:
+            labelled = keyed.join(labels.withColumnRenamed("doc", "id"), "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
+            open_keys = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
+            labelled = stored(labelled.join(open_keys.select("key"), "key", "left_semi"), f"{folder}/open{k}")
+            if labelled.isEmpty():
+                break
+        if k < HUB_ROUNDS:
+            turn = F.xxhash64("id", F.lit(k)) if k else F.lit(0).cast("long")
+            hubs = labelled.groupBy("key").agg(F.min(F.struct(turn.alias("turn"), "id", "fingerprint", "label")).alias("hub"))
+            met = labelled.join(hubs, "key").select(
+                "id", "fingerprint", "label", F.col("hub.id").alias("id2"), F.col("hub.fingerprint").alias("print2"), F.col("hub.label").alias("label2")
+            )
+        else:
+            sizes = labelled.groupBy("key", "label").agg(F.count("*").alias("size"))
+            main = sizes.groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("main"))
+            outside = labelled.join(main, "key").where("label <> main").drop("main")
+            others = labelled.select("key", F.col("id").alias("id2"), F.col("fingerprint").alias("print2"), F.col("label").alias("label2"))
+            met = outside.join(others, "key")
+        a, b = F.struct("id", "fingerprint"), F.struct(F.col("id2").alias("id"), F.col("print2").alias("fingerprint"))
+        pairs = met.where("label <> label2").select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+        pairs = pairs.select(F.col("a.id").alias("a"), F.col("a.fingerprint").alias("fa"), F.col("b.id").alias("b"), F.col("b.fingerprint").alias("fb"))
+        found = stored(pairs.select("a", "b", alike.alias("likeness")).where(F.col("likeness") >= least), f"{folder}/links{k}")
+        links.append(found)
+        labels = merge_components(labels, found, f"{folder}/cc{k}")
+    every = reduce(DataFrame.union, links)
+    return every.select(F.col("b").alias("id"), F.col("a").alias("hub"), "likeness")

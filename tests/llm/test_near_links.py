@@ -1,0 +1,47 @@
+"""Groups by near_links next to brute force over all pairs that share a bucket."""
+
+from __future__ import annotations
+
+import numpy as np
+
+from talkloom.llm import fingerprint
+
+
+def brute_groups(prints, least):
+    bits = {i: np.unpackbits(np.frombuffer(bytes.fromhex(p), np.uint8)) for i, p in prints}
+    keys = {i: fingerprint.band_keys(p) for i, p in prints}
+    ids = sorted(bits)
+    near = [
+        (a, b) for k, a in enumerate(ids) for b in ids[k + 1 :]
+        if any(x == y for x, y in zip(keys[a], keys[b], strict=True)) and 1 - 2 * int((bits[a] != bits[b]).sum()) / fingerprint.BITS >= least
+    ]
+    return near, groups(ids, near)
+
+
+def groups(ids, links):
+    root = {i: i for i in ids}
+    for _ in ids:
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    return {i: root[root[i]] for i in ids}
+
+
+def test_near_links_connect_all_near_pairs_of_a_bucket(spark):
+    rng = np.random.default_rng(5)
+    prints = []
+    for family in range(4):
+        start = rng.integers(0, 2, fingerprint.BITS, dtype=np.uint8)
+        for k in range(60):
+            copy = start ^ (rng.random(fingerprint.BITS) < 0.06)
+            prints.append((100 * family + k, fingerprint.to_hex(copy[None])[0]))
+    links = fingerprint.near_links(spark.createDataFrame(prints, "doc_id long, fingerprint string"), least=0.8).collect()
+    near, want = brute_groups(prints, 0.8)
+    assert {(r["hub"], r["id"]) for r in links} <= set(near)
+    assert groups(sorted(want), [(r["hub"], r["id"]) for r in links]) == want
+
+
+def test_near_links_without_id(spark):
+    same = "ab" * 32
+    rows = [(None, same[:-1] + "a"), (3, same), (4, same[:-1] + "8")]
+    links = fingerprint.near_links(spark.createDataFrame(rows, "doc_id long, fingerprint string")).collect()
+    assert [(r["hub"], r["id"]) for r in links] == [(3, 4)]
