@@ -3,7 +3,8 @@
 A random walk reads a text: at step j it stands on a character and moves on if
 the shared random bit of (j, character) says so.  The characters it stands on
 spell the embedding; texts that differ by few edits walk together again soon
-after each edit, so edit distance becomes Hamming distance.  The fingerprint
+after each edit, so edit distance becomes Hamming distance.  A walk goes on to
+the end of its text, and the embedding is as long as the walk.  The fingerprint
 samples the embedding at shared places and keeps one random bit of each
 character found there.  Places are drawn so that texts of like length share
 them: the k-th place of a text is the last record of a random sequence before
@@ -25,7 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,8 @@ BITS = 256
 SEED = 20_240_229
 #: Steps after which the walk's random bits repeat.
 PERIOD = 1 << 14
+#: Steps between looks at which texts have ended.
+STRIDE = 64
 #: Characters in one batch of walks, edited texts included.
 BATCH_CHARS = 16 << 20
 #: Rounds in which a bucket is compared with one class of it only.
@@ -79,6 +82,12 @@ def records(limit: int) -> list[np.ndarray]:
     return out
 
 
+@cache
+def all_records() -> list[np.ndarray]:
+    """Records up to a limit that no walk reaches."""
+    return records(1 << 40)
+
+
 _TABLES: dict[str, np.ndarray] = {}
 
 
@@ -108,28 +117,39 @@ def fingerprints(texts: list[str]) -> np.ndarray:
         pos[i] = at
         flat[at : at + lengths[o]] = classes(texts[o])
         at += lengths[o] + 1
-    steps = np.maximum(1, 2 * lengths[order])  # embedding lengths, falling
-    places = records(int(steps[0]))
+    places = all_records()
     marks = np.unique(np.concatenate(places))
-    seen = np.full((len(marks), len(texts)), END, np.uint16)
+    seen: list[np.ndarray] = []  # characters at the marks passed so far
     walk, mask = t["walk"], PERIOD - 1
-    ends = np.unique(steps)  # the number of texts under way changes only there
-    bounds = np.concatenate([[0], ends])
-    next_mark = 0
-    for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-        active = int(np.searchsorted(-steps, -lo, "left"))  # texts with steps > lo
-        here = pos[:active]
-        for j in range(int(lo), int(hi)):
+    steps = np.zeros(len(texts), np.int64)  # embedding lengths
+    under_way, here, lo = np.arange(len(texts)), pos, 0
+    while len(under_way):
+        start = here.copy()
+        for j in range(lo, lo + STRIDE):
             c = flat[here]
-            if next_mark < len(marks) and j == marks[next_mark]:
-                seen[next_mark, :active] = c
-                next_mark += 1
+            if j == marks[len(seen)]:
+                row = np.full(len(texts), END, np.uint16)
+                row[under_way] = c
+                seen.append(row)
             here += walk[j & mask][c]
+        done = flat[here] == END
+        if done.any():
+            # these texts walk the stride again, to see where in it they ended
+            at, n = start[done], np.zeros(int(done.sum()), np.int64)
+            for j in range(lo, lo + STRIDE):
+                c = flat[at]
+                n += c != END
+                at += walk[j & mask][c]
+            steps[under_way[done]] = lo + n
+            under_way, here = under_way[~done], here[~done]
+        lo += STRIDE
+    steps = np.maximum(1, steps)
+    at_marks = np.stack(seen)
     out = np.zeros((len(texts), BITS), np.uint8)
     column = np.arange(len(texts))
     for k in range(BITS):
         place = places[k][np.searchsorted(places[k], steps, "left") - 1]
-        out[order, k] = t["symbol"][k][seen[np.searchsorted(marks, place), column]]
+        out[order, k] = t["symbol"][k][at_marks[np.searchsorted(marks, place), column]]
     return out
 
 
