@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import chat, text, verdicts
-from ..operators import dataset, evaluation, select, upsert
+from ..operators import dataset, evaluation, reports, select, upsert
 from ..sources import jsonl, sinks
 from ..sources import text as text_source
 from ..streaming import ingest
-from .standins import LABELED_SQL, LOG_SQL, PROMPT, SCORES_SQL, labeled_rows, load, log_rows, score_maps
+from .standins import LABELED_SQL, LOG_SQL, MODEL, PROMPT, SCORES_SQL, labeled_rows, load, log_rows, score_maps
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -266,6 +266,17 @@ def inspect_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("request_id", label.alias("label"), status.alias("status"), F.col("validation.reason").alias("reason"))
 
 
+@query(f"""WITH {LABELED_SQL}
+SELECT request_id, coalesce(nullif({_STRIP.format("label")}, ''), '(failed to extract)') AS transcript, coalesce(nullif(label, ''), '(no label)') AS label,
+       upper(status) || ' ' || type || ' ' || reason AS verdict
+FROM labeled_v WHERE status = 'fail'""")
+def inspect_failed_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole transcripts and labels of failed records, here the same text."""
+    content = chat.system_text(F.lit(PROMPT), F.lit(""), F.lit(""))
+    request = chat.envelope(content, chat.transcript_text(F.coalesce("label", F.lit(""))), MODEL)
+    return reports.inspection(select.all_failures(labeled_rows(spark, sf_dir)).withColumn("raw_request_json", request))
+
+
 @query(f"""WITH {LABELED_SQL}
 SELECT count(*) FILTER (status = 'pass')::BIGINT AS passed, count(*) FILTER (status = 'fail')::BIGINT AS failed,
        count(*) FILTER (status IS NULL)::BIGINT AS open, count(*)::BIGINT AS total FROM labeled_v""")
@@ -293,6 +304,14 @@ def render_judge_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "documents").select("doc_id", prompt.alias("prompt"))
 
 
+@query("""SELECT doc_id, 'Gold: ' || coalesce(text, '') || chr(10) || 'A: {label} ' || source || chr(10) || 'Reply {"output_a": {}}' AS prompt FROM documents""")
+def render_judge_prompt_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompts with the whole text as gold label."""
+    template = 'Gold: {gold}\nA: {a}\nReply {{"output_a": {{}}}}'
+    prompt = text.render(template, gold=F.coalesce("text", F.lit("")), a=F.concat(F.lit("{label} "), "source"))
+    return load(spark, sf_dir, "documents").select("doc_id", prompt.alias("prompt"))
+
+
 # ---- datasets ----
 
 

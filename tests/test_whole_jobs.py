@@ -26,3 +26,14 @@ def test_resampling_takes_all_draws(spark):
     hits = int((abs((tenths * np.where(numbers % 2 == 0, 1, -1)).sum(axis=1)) >= abs(tenths.sum())).sum())
     p = registry.queries()["permutation_p_whole"](spark, DATA).first()
     assert (p["hits"], p["p"]) == (hits, pytest.approx(hits / 10_000))
+
+
+def test_prompts_and_inspections_hold_whole_texts(spark):
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    prompts = registry.queries()["render_judge_prompt_whole"](spark, DATA).collect()
+    assert len(prompts) == len(texts) and all(f"Gold: {texts[r['doc_id']]}\nA: " in r["prompt"] for r in prompts)
+    failed = registry.queries()["inspect_failed_whole"](spark, DATA).collect()
+    assert any(len(r["label"]) > 80 for r in failed)
+    for r in failed:
+        assert r["label"] == (texts[int(r["request_id"])] or "(no label)")
+        assert r["transcript"] == (texts[int(r["request_id"])].strip() or "(failed to extract)")
