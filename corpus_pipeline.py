@@ -32,18 +32,32 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return quality.score(docs, model).where("accepted").select(*docs.columns)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """The documents with a row number, stored so that it stays the same."""
+    return stored(docs.withColumn("row", F.monotonically_increasing_id()), f"{shared_folder(docs.sparkSession)}/rows")
+
+
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents, the one with the smallest id stays."""
-    groups = ngram_join.near_duplicates(docs)
-    gone = groups.where("component_id <> doc_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of linked rows, the first one with the smallest id stays; null ids come last.
+
+    Texts without words are linked with none; of those only repeated rows go.
+    """
+    rows = numbered(docs)
+    linked = ngram_join.near_duplicates(rows, "row").where("component_id <> row").select("row", "component_id")
+    members = linked.union(linked.select("component_id", "component_id").distinct())
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")
+    first = members.join(rows.select("row", "doc_id"), "row").groupBy("component_id").agg(F.min(place)["row"].alias("row"))
+    blank = rows.where(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", "") == "")
+    one = blank.groupBy("doc_id", "text").agg(F.min("row").alias("row"))
+    gone = members.join(first, "row", "left_anti").select("row").union(blank.join(one, "row", "left_anti").select("row"))
+    return rows.join(gone, "row", "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of the benchmark go."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    gone = found.where("contaminated").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Rows that hold a passage of the benchmark go."""
+    rows = numbered(docs)
+    found = decontaminate.contamination(rows, table(spark, sf_dir, "benchmark"), id_col="row")
+    return rows.join(found.where("contaminated").select("row"), "row", "left_anti").select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
