@@ -39,7 +39,7 @@ NOTICE_PHRASES = {
     "all rights reserved": "all-rights-reserved",
 }
 TAG = "spdx-license-identifier:"
-_EXPRESSION = re.compile(r"[ \t]*([A-Za-z0-9.+\-() \t]{1,512})")
+_EXPRESSION = re.compile(r"[ \t]*([A-Za-z0-9.+\-() \t]+)")
 _TOKEN = re.compile(r"[()]|[A-Za-z0-9.+\-]+")
 _OPERATORS = {"or": 1, "and": 2, "with": 3}
 
@@ -98,27 +98,45 @@ def parse_expression(text: str) -> tuple | None:
     return output[0] if len(output) == 1 else None
 
 
+def operands_first(tree) -> Iterator:
+    """All nodes of a tree of any depth, each after its left and right operands."""
+    todo = [(tree, False)]
+    while todo:
+        node, ready = todo.pop()
+        if ready or isinstance(node, str):
+            yield node
+        else:
+            todo += [(node, True), (node[2], False), (node[1], False)]
+
+
 def licences_of(tree) -> list[str]:
     """Identifiers of a parsed expression; ``x with y`` is one identifier."""
-    if isinstance(tree, str):
-        return [tree]
-    operator, left, right = tree
-    if operator == "with":
-        return [f"{a} with {b}" for a in licences_of(left) for b in licences_of(right)]
-    return licences_of(left) + licences_of(right)
+    done: list[list[str]] = []
+    for node in operands_first(tree):
+        if isinstance(node, str):
+            done.append([node])
+            continue
+        right, left = done.pop(), done.pop()
+        done.append([f"{a} with {b}" for a in left for b in right] if node[0] == "with" else left + right)
+    return done[0]
 
 
 def permitted(tree, allowed: set[str]) -> bool:
     """Whether the expression can be met with allowed licences: ``or`` needs one
     side, ``and`` both, ``with`` the exception by name or its base licence."""
-    if isinstance(tree, str):
-        return tree in allowed
-    operator, left, right = tree
-    if operator == "or":
-        return permitted(left, allowed) or permitted(right, allowed)
-    if operator == "and":
-        return permitted(left, allowed) and permitted(right, allowed)
-    return licences_of(tree)[0] in allowed or permitted(left, allowed)
+    done: list[bool] = []
+    for node in operands_first(tree):
+        if isinstance(node, str):
+            done.append(node in allowed)
+            continue
+        right, left = done.pop(), done.pop()
+        if node[0] == "or":
+            done.append(left or right)
+        elif node[0] == "and":
+            done.append(left and right)
+        else:
+            done.append(left or licences_of(node)[0] in allowed)
+    return done[0]
 
 
 def build_automaton() -> ahocorasick.Automaton:
