@@ -67,5 +67,18 @@ def broadcast_if_small(df: DataFrame, rows: int, bound: int = BROADCAST_ROWS) ->
     return F.broadcast(df) if rows <= bound else df
 
 
+def free_names(taken: list[str], names: list[str]) -> list[str]:
+    """The names, each with as many trailing underscores as it takes to differ
+    from those taken; Spark's names don't tell case apart."""
+    used = {t.lower() for t in taken}
+    out = []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

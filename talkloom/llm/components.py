@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
+#: Rounds settle in about log2 of a component's size; more than these are an error.
 MAX_ROUNDS = 60
 
 
@@ -45,5 +46,7 @@ def components(links: DataFrame, folder: str) -> DataFrame:
         if mark == tuple(now):
             break
         mark = tuple(now)
+    else:
+        raise RuntimeError(f"components didn't settle in {MAX_ROUNDS} rounds")
     ids = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return ids.union(edges.select("v", "v").distinct())

@@ -183,6 +183,18 @@ def test_language_held_out_accuracy(spark, docs):
     assert sum(r["lang"] == r["lang_pred"] for r in rows) / len(rows) >= 0.95
 
 
+def count_contexts(texts, symbol):
+    """Successor counts of every context of up to ORDER symbols."""
+    counts = {}
+    for raw in texts:
+        s = [0] * langid.ORDER + [int(symbol[b]) for b in raw]
+        for i in range(langid.ORDER, len(s)):
+            for k in range(langid.ORDER + 1):
+                seen = counts.setdefault(tuple(s[i - k : i]), {})
+                seen[s[i]] = seen.get(s[i], 0) + 1
+    return counts
+
+
 def brute_bits(text, counts):
     """PPM without exclusion, straight from the definition."""
     import math
@@ -212,13 +224,40 @@ def test_code_lengths_match_definition(monkeypatch):
     trees = langid.compile_trees(samples)
     texts = [b"the", b"", b"zzz le chat", b"x", "ü the mat".encode() * 5]
     monkeypatch.setattr(langid, "CHUNK", 7)
-    got = langid.score_texts(texts, trees)
+    got = langid.score_texts(texts, trees).whole
     for k, name in enumerate(trees.languages):
-        counts = langid.count_contexts(samples[name], trees.symbol)
+        counts = count_contexts(samples[name], trees.symbol)
         for i, t in enumerate(texts):
             assert abs(got[i, k] - brute_bits([int(trees.symbol[b]) for b in t], counts)) < 1e-3
 
 
+def test_many_languages_and_long_texts_only(spark):
+    """70 languages are all learned, one of them from texts longer than a piece."""
+    rng = random.Random(8)
+    rows = []
+    for k in range(70):
+        syllables = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(3)) for _ in range(12)]
+        for j in range(6):
+            n = 20_000 if k == 69 else 120
+            rows.append((100 * k + j, " ".join(rng.choice(syllables) for _ in range(n)), f"l{k}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    trees = langid.fit(docs.where("doc_id % 100 < 5"))
+    assert len(trees.languages) == 70
+    got = langid.predict(docs.where("doc_id % 100 = 5"), trees, keep={"lang": F.col("lang"), "score": F.col("doc_id")}).collect()
+    assert len(got) == 70 and sum(r["lang"] == r["lang_pred"] for r in got) >= 68 and got[0]["score"] == got[0]["doc_id"] and 0 <= got[0]["score_"] <= 1
+
+
+def test_foreign_text_is_told(spark, docs):
+    trees = langid.fit(docs, limits=True)
+    rng = random.Random(2)
+    junk = " ".join("".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(7)) for _ in range(80))
+    english = docs.where("lang = 'en' and n_chars between 500 and 900").orderBy("doc_id").first()["text"]
+    german = docs.where("lang = 'de' and n_chars > 500").orderBy("doc_id").first()["text"]
+    rows = [(1, junk), (2, english), (3, german[:600] + "\n" + english), (4, "Zq"), (5, "12"), (6, None)]
+    got = {r["doc_id"]: r["known"] for r in langid.predict(spark.createDataFrame(rows, "doc_id long, text string"), trees).collect()}
+    assert got == {1: False, 2: True, 3: True, 4: True, 5: False, 6: False}
+
+
 def test_language_edges(spark, edge, docs):
     trees = langid.fit(docs)
     got = [(r["doc_id"], r["lang_pred"]) for r in langid.predict(edge, trees).collect()]
