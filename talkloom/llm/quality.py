@@ -6,7 +6,8 @@ metadata (source, language, length).  Over some rounds each labels the
 unlabelled documents it is surest of, as many of each class as the labelled
 sample's shares ask for, and hands them to the other.  Both are then calibrated
 on a fold that neither was trained on, and their calibrated log-odds are
-combined by weights from that fold, so a view that knows nothing weighs nothing.
+combined by weights from a third fold that neither training nor calibration
+saw, so a view that knows nothing weighs nothing.
 
 Training takes a bounded sample of labelled rows and of unlabelled ones
 (``MAX_LABELLED``, ``MAX_POOL``); scoring covers all documents whole.
@@ -14,8 +15,10 @@ Training takes a bounded sample of labelled rows and of unlabelled ones
 Defined cases: null text counts as empty, null metadata as values of their own;
 of labels that repeat a document the mean counts, at 0.5 and more as good; with
 no labels, or labels of one class only, every score is 0.5 and nothing is
-rejected; an empty table gives an empty result.  Columns other than the named
-ones pass through untouched.
+rejected; an empty table gives an empty result; of equal scores at the threshold
+all are accepted; repeated rows score alike; very long texts are read whole, one
+at a time.  Columns other than the named ones pass through untouched; a result
+column whose name one of them bears gets a trailing underscore.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import words_of
+from .common import free_names, words_of
 
 #: Bounds of the training samples.
 MAX_LABELLED = 4_000
@@ -133,25 +136,31 @@ class Model:
         if self.combined is None:
             half = np.full(len(text_x), 0.5)
             return half, half, half
+        both = self.calibrated(text_x, meta_x)
+        return sigmoid(both[:, 0]), sigmoid(both[:, 1]), sigmoid(self.combined.logits(both))
+
+    def calibrated(self, text_x: np.ndarray, meta_x: np.ndarray) -> np.ndarray:
+        """Calibrated log-odds of both views (rows x 2)."""
         a = self.text.logits(text_x) * self.text_scale[0] + self.text_scale[1]
         b = self.meta.logits(meta_x) * self.meta_scale[0] + self.meta_scale[1]
-        return sigmoid(a), sigmoid(b), sigmoid(self.combined.logits(np.stack([a, b], axis=1)))
+        return np.stack([a, b], axis=1)
 
 
 def co_train(text_x: np.ndarray, meta_x: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray) -> Model:
-    fold = np.arange(len(y)) % 5 == 4
-    if len(y) < 20 or len(set(y[fold])) < 2 or len(set(y[~fold])) < 2:
+    turn = np.arange(len(y)) % 5
+    learn, scale, join = turn < 3, turn == 3, turn == 4  # to train on, to calibrate on, to combine on
+    if len(y) < 20 or any(len(set(y[fold])) < 2 for fold in (learn, scale, join)):
         return Model(None, None)
-    views = {"text": (text_x[~fold], pool_text), "meta": (meta_x[~fold], pool_meta)}
+    views = {"text": (text_x[learn], pool_text), "meta": (meta_x[learn], pool_meta)}
     # what each view is trained on beside the labelled rows: places in the pool and their labels
     given: dict[str, dict[int, float]] = {"text": {}, "meta": {}}
     models: dict[str, Linear] = {}
-    share = float(y[~fold].mean())
+    share = float(y[learn].mean())
     for k in range(ROUNDS + 1):
         for name, (x, pool) in views.items():
             places = np.fromiter(given[name], int)
             labels = np.fromiter(given[name].values(), float)
-            models[name] = train_linear(np.concatenate([x, pool[places]]), np.concatenate([y[~fold], labels]))
+            models[name] = train_linear(np.concatenate([x, pool[places]]), np.concatenate([y[learn], labels]))
         if k == ROUNDS or not len(pool_text):
             break
         for name, other in (("text", "meta"), ("meta", "text")):
@@ -161,14 +170,13 @@ def co_train(text_x: np.ndarray, meta_x: np.ndarray, y: np.ndarray, pool_text: n
             good, bad = max(1, int(n * share)), max(1, int(n * (1 - share)))
             known = models[name].logits(views[name][0])
             # sure is: beyond the middle of what the labelled rows of that class get
-            low, high = np.median(known[y[~fold] == 0]), np.median(known[y[~fold] == 1])
+            low, high = np.median(known[y[learn] == 0]), np.median(known[y[learn] == 1])
             given[other].update({int(i): 1.0 for i in order[-good:] if logits[i] >= high and high > low})
             given[other].update({int(i): 0.0 for i in order[:bad] if logits[i] <= low and high > low})
     model = Model(models["text"], models["meta"])
-    a, b = model.text.logits(text_x[fold]), model.meta.logits(meta_x[fold])
-    model.text_scale, model.meta_scale = calibrate(a, y[fold]), calibrate(b, y[fold])
-    both = np.stack([a * model.text_scale[0] + model.text_scale[1], b * model.meta_scale[0] + model.meta_scale[1]], axis=1)
-    model.combined = train_linear(both, y[fold], ridge=0.1)
+    model.text_scale = calibrate(model.text.logits(text_x[scale]), y[scale])
+    model.meta_scale = calibrate(model.meta.logits(meta_x[scale]), y[scale])
+    model.combined = train_linear(model.calibrated(text_x[join], meta_x[join]), y[join], ridge=0.1)
     return model
 
 
@@ -234,18 +242,23 @@ def fit(
     )
 
 
+RESULTS = ["text_score", "meta_score", "score", "accepted"]
+
+
 def score(
     docs: DataFrame, model: Model, text_col: str = "text", source_col: str = "source", lang_col: str = "lang",
     chars_col: str = "n_chars", threshold: float = THRESHOLD, keep: list[str] | None = None,
 ) -> DataFrame:
-    """The kept columns of every document with text_score, meta_score, score, accepted.
+    """The kept columns of every document with the columns of RESULTS.
 
     A map over the scan, without a shuffle.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.columns if keep is None else keep
     source = docs.select(*(F.col(c).alias(f"k_{c}") for c in kept), *_inputs(text_col, source_col, lang_col, chars_col))
-    schema = ", ".join(f"`{c}` {source.schema[f'k_{c}'].dataType.simpleString()}" for c in kept)
+    results = free_names(kept, RESULTS)
+    kinds = [source.schema[f"k_{c}"].dataType.simpleString() for c in kept] + ["double"] * 3 + ["boolean"]
+    schema = ", ".join(f"`{c}` {kind}" for c, kind in zip([*kept, *results], kinds, strict=True))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -255,7 +268,7 @@ def score(
                 yield pa.RecordBatch.from_arrays(
                     [*(piece.column(f"k_{c}") for c in kept), *(pa.array(x, pa.float64()) for x in (text, meta, both)),
                      pa.array(both >= threshold, pa.bool_())],
-                    names=[*kept, "text_score", "meta_score", "score", "accepted"],
+                    names=[*kept, *results],
                 )
 
-    return source.mapInArrow(run, f"{schema}, text_score double, meta_score double, score double, accepted boolean")
+    return source.mapInArrow(run, schema)

@@ -13,14 +13,33 @@ from test_text_operators import DATA, brute_hits
 from talkloom.llm import langid, quality, queries
 
 
+def plainly_known(raw, trees):
+    """Letters with no digit beside them, by segments, each in its cheapest language."""
+    letter = [chr(b).isascii() and chr(b).isalpha() or b >= 128 for b in raw]
+    digit = [48 <= b <= 57 for b in raw] + [False]
+    letter = [x and not digit[i + 1] and not (i and digit[i - 1]) for i, x in enumerate(letter)]
+    s = [0] * langid.ORDER + [int(trees.symbol[b]) for b in raw]
+    history = [np.array([s[i + langid.ORDER - k] if i >= k else 0 for i in range(len(raw))]) for k in range(1, langid.ORDER + 1)]
+    bits = langid.symbol_bits(history, np.array(s[langid.ORDER :]), trees)
+    c = sum(sum(letter) >= x for x in langid.CLASSES) - 1
+    cost = allowed = 0.0
+    for lo in range(0, len(raw), langid.SEGMENT):
+        at = [i for i in range(lo, min(len(raw), lo + langid.SEGMENT)) if letter[i]]
+        if at:
+            sums = bits[at].sum(axis=0, dtype=float)
+            cost += sums.min()
+            allowed += trees.limits[sums.argmin(), max(c, 0)] * len(at)
+    return c < 0 or cost <= allowed
+
+
 def plain_run(spark):
-    docs = spark.read.parquet(f"{DATA}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
     rows = docs.collect()
-    trees = langid.fit(docs)
+    trees = langid.fit(docs, limits=True)
     kept = []
     for r in rows:
         raw = (r["text"] or "").encode()
-        if langid.has_letter(raw) and langid.score_texts([raw], trees)[0].min() / len(raw) < corpus_pipeline.FOREIGN_BITS:
+        if langid.has_letter(raw) and plainly_known(raw, trees):
             kept.append(r)
     model = quality.fit(spark.createDataFrame(kept, docs.schema), spark.read.parquet(f"{DATA}/labels.parquet"))
     features = [(quality.text_features(r["text"].encode()), quality.meta_features(r["source"], r["lang"], r["n_chars"])) for r in kept]

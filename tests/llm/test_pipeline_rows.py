@@ -8,18 +8,20 @@ import corpus_pipeline
 import pytest
 from test_text_operators import DATA
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+#: The columns of documents, and others that clash with names the stages use.
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, Known int, accepted string, component_id int"
 A = "one two three four five six seven eight nine ten eleven twelve"
 B = "red orange yellow green blue indigo violet black white grey brown pink"
 
 
 def table(spark, rows):
-    return spark.createDataFrame([(i, t, "en", "web", len(t or "")) for i, t in rows], SCHEMA)
+    return spark.createDataFrame([(i, t, "en", "web", len(t or ""), "r", 1, "a", 2) for i, t in rows], SCHEMA)
 
 
 def kept(stage, spark, rows):
-    got = stage(spark, table(spark, rows), DATA)
-    assert got.columns == corpus_pipeline.COLUMNS
+    docs = table(spark, rows)
+    got = stage(spark, docs, DATA)
+    assert got.columns == docs.columns and {tuple(r)[5:] for r in got.collect()} <= {("r", 1, "a", 2)}
     return Counter((r["doc_id"], r["text"]) for r in got.collect())
 
 
@@ -35,6 +37,14 @@ def test_contaminated_rows_go_by_row(spark):
     assert kept(corpus_pipeline.decontamination, spark, rows) == Counter([(None, A), (5, B), (6, B), (6, B)])
 
 
-@pytest.mark.parametrize("stage", [corpus_pipeline.deduplicate, corpus_pipeline.decontamination])
+def test_first_stages_keep_repeated_and_nameless_rows(spark):
+    text = spark.read.parquet(f"{DATA}/documents.parquet").where("lang = 'en'").orderBy("doc_id").first()["text"]
+    rows = [(None, text), (1, text), (1, text), (2, None), (3, ""), (4, "12 34"), (5, text * 200)]
+    want = Counter([(None, text), (1, text), (1, text), (5, text * 200)])
+    assert kept(corpus_pipeline.language_id, spark, rows) == want
+    assert kept(corpus_pipeline.quality_filter, spark, rows) == Counter(rows)  # no document has labels of both classes
+
+
+@pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES[:4]])
 def test_empty_table(spark, stage):
     assert kept(stage, spark, []) == Counter()

@@ -281,6 +281,64 @@ def test_quality_held_out_accuracy(spark):
     assert sum(good) / len(good) >= 0.97 and sum(bad) / len(bad) <= 0.3
 
 
+def test_quality_folds_are_apart(monkeypatch):
+    """Training, calibration and combination see different rows, none of them twice."""
+    rng = random.Random(3)
+    y = quality.np.array([float(rng.random() < 0.6) for _ in range(200)])
+    x = quality.np.array([[v + rng.random(), float(i)] for i, v in enumerate(y)])
+    seen = []
+    inner = quality.train_linear
+    monkeypatch.setattr(quality, "train_linear", lambda a, b, **k: seen.append(len(b)) or inner(a, b, **k))
+    model = quality.co_train(x, x.copy(), y, x[:0], x[:0])
+    assert seen == [120, 120, 40, 40, 40]
+    assert model.scores(x, x)[2][y == 1].mean() > 0.8 > 0.3 > model.scores(x, x)[2][y == 0].mean()
+
+
+def test_quality_query_matches_plain_features(spark):
+    """Scores of the query next to features and logits computed row by row without numpy."""
+    import math
+
+    small = spark.read.parquet(f"{DATA}/documents.parquet")
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    model = quality.fit(small, labels)
+    got = {r["doc_id"]: r for r in queries.op9_quality(spark, DATA).collect()}
+
+    def logit(linear, x):
+        return sum((v - m) / s * w for v, m, s, w in zip(x, linear.mean, linear.scale, linear.weights, strict=True)) + linear.bias
+
+    def plain(raw):
+        c = [int(quality._CLASS[b]) for b in raw]
+        out = [0.0] * 279
+        for a, b in zip(c, c[1:]):
+            out[a * 16 + b] += 1 / (len(c) - 1)
+        for a in c:
+            out[256 + a] += 1 / len(c)
+        out[:272] = [math.sqrt(v) for v in out[:272]]
+        w, lines = words(raw.decode()), [x for x in raw.split(b"\n") if x]
+        if w:
+            out[272] = len(set(w)) / len(w)
+            out[273] = sum(a == b for a, b in zip(w, w[1:])) / len(w)
+            out[274] = min(20.0, sum(len(x.encode()) for x in w) / len(w)) / 20
+        out[275] = len(set(lines)) / len(lines) if lines else 0
+        out[276] = min(1.0, len(lines) / (1 + len(w)) * 5)
+        out[277] = math.log1p(len(w)) / 12
+        return out
+
+    for r in small.collect():
+        a = logit(model.text, plain(r["text"].encode())) * model.text_scale[0] + model.text_scale[1]
+        b = logit(model.meta, quality.meta_features(r["source"], r["lang"], r["n_chars"]).tolist()) * model.meta_scale[0] + model.meta_scale[1]
+        both = 1 / (1 + math.exp(-logit(model.combined, [a, b])))
+        assert abs(both - got[r["doc_id"]]["score"]) < 1e-3 and got[r["doc_id"]]["accepted"] == (got[r["doc_id"]]["score"] >= quality.THRESHOLD)
+
+
+def test_quality_keeps_clashing_columns(spark):
+    rows = [(1, "A text.", "en", "s", 7, 3, "mine"), (2, "w " * 300_000, "en", "s", 600_000, 4, "mine")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score int, Accepted string")
+    got = quality.score(docs, quality.Model(None, None))
+    assert got.columns == [*docs.columns, "text_score", "meta_score", "score_", "accepted_"]
+    assert [(r["score"], r["Accepted"], r["score_"], r["accepted_"]) for r in got.orderBy("doc_id").collect()] == [(3, "mine", 0.5, True), (4, "mine", 0.5, True)]
+
+
 def test_quality_edges(spark):
     docs = spark.createDataFrame([(1, None, None, None, None, "z"), (1, None, None, None, None, "z"), (2, "a", "en", "s", 1, "z")], "doc_id long, text string, lang string, source string, n_chars long, score string")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
