@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows up to which a counted side of a join may be broadcast.
@@ -67,6 +67,30 @@ def broadcast_if_small(df: DataFrame, rows: int, bound: int = BROADCAST_ROWS) ->
     return F.broadcast(df) if rows <= bound else df
 
 
+#: Hot keys that ``split_hot`` may tell, and rows of a key below which it isn't hot.
+HOT_KEYS = 4096
+HOT_ROWS = 256
+
+
+def split_hot(rows: DataFrame, key: str, sizes: DataFrame, total: int, by: Column) -> DataFrame:
+    """The rows with ``part`` and ``parts``: rows of a hot key are dealt into parts by ``by``.
+
+    ``sizes`` has (key, size), ``total`` is the sum of its sizes.  A key is hot
+    with more rows than both HOT_ROWS and total / HOT_KEYS, so there are at
+    most HOT_KEYS of them and the broadcast has that bound; no part is much
+    larger than that many rows.
+    """
+    limit = max(HOT_ROWS, total // HOT_KEYS)
+    hot = sizes.where(F.col("size") > limit).select(key, F.ceil(F.col("size") / limit).cast("int").alias("parts"))
+    dealt = rows.join(F.broadcast(hot), key, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    return dealt.withColumn("part", F.pmod(by, F.col("parts")).cast("int"))
+
+
+def for_all_parts(table_: DataFrame) -> DataFrame:
+    """Rows with ``parts``, once for every part of it."""
+    return table_.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+
+
 def free_names(taken: list[str], names: list[str]) -> list[str]:
     """The names, each with as many trailing underscores as it takes to differ
     from those taken; Spark's names don't tell case apart."""

@@ -6,7 +6,11 @@ Documents are sets of distinct word shingles; two link when ``100 * |A n B| >=
 1. Each document's shingles are hashed and dealt by hash with packed blocks of
    (document, hash): one exchange gives every shingle's document frequency.
    Shingles of a single document go no further; a second exchange brings the
-   others, with their frequencies, back together by document.
+   others, with their frequencies, back together by document.  Both are dealt
+   into as many groups and partitions as the bytes of text ask for, so a group
+   keeps its size as the input grows.  Shingles that a bounded sample shows in
+   a large share of documents are known to be frequent: they are ordered last
+   without being counted, and only travel with their document.
 2. Shingles are ordered rarest first.  A document whose own shingles fill its
    prefix can link with nothing and is done.
 3. Equal sets are one class.  Class representatives meet on prefix n-grams,
@@ -15,24 +19,27 @@ Documents are sets of distinct word shingles; two link when ``100 * |A n B| >=
 4. Within an n-gram's list of documents, all are first compared with one hub,
    in a few rounds with other hubs.  Then lists with one component left are
    done, and in the others each document outside the list's main component is
-   compared with all documents of other components.  So a list of n like
-   documents takes about n comparisons, not n squared, yet no link between
-   components is missed.
+   compared with all documents of other components, block by block.  So a list
+   of n like documents takes about n comparisons, not n squared, yet no link
+   between components is missed.
+
+Long lists, and documents that meet many others, are split into parts for every
+join; what is joined to them is repeated for each part.
 
 Hashes have 56 bits: two different shingles of one pair of documents count as
 equal with a chance below 1e-11.
 
 Defined cases: null or word-less text has an empty set, links with nothing and
-is its own component; texts of fewer than five words are one shingle; rows
-that repeat an id with the same text are one document, and with different texts
-one document that has the shingles of both (its n_shingles is the larger
-set's); rows with a null id are not compared and get their own rows; an empty
-table gives an empty result.  Only the id and text columns are read.
+is its own component; texts of fewer than five words are one shingle; texts of
+any length are read whole; rows that repeat an id are one document that has the
+shingles of all its rows, and each of them gets a row of the result; a row with
+a null id has the size of its set, is compared with nothing and has no
+component; an empty table gives an empty result.  Only the id and text columns
+are read.
 """
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -41,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, _SPACE_TABLE, broadcast_if_small, raw_texts, shared_folder, stored
+from .common import BROADCAST_ROWS, _SPACE_TABLE, broadcast_if_small, for_all_parts, raw_texts, shared_folder, split_hot, stored
 from .components import components
 
 SHINGLE = 5
@@ -53,6 +60,14 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _FACTORS = [np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 HUB_ROUNDS = 2
+#: Shingles that one group of the first exchange is to have, and bytes of one partition.
+GROUP_SHINGLES = 1 << 21
+PARTITION_BYTES = 96 << 20
+#: Documents of the sample for frequent shingles, and the share of it that makes one.
+SAMPLE_DOCS = 20_000
+FREQUENT = 1 / 256
+#: Documents of one piece of the sample.
+SAMPLE_PIECE = 1024
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -155,6 +170,10 @@ def unpack_docs(blob: bytes) -> tuple[np.ndarray, list[np.ndarray]]:
     return np.repeat(np.cumsum(steps.view(np.int64)), runs.astype(np.int64)), more
 
 
+#: The order of shingles known to be frequent, beyond all counted ones.
+MOST = (1 << 32) - 1
+
+
 def power_of_two(n: int) -> int:
     return 1 << max(0, n - 1).bit_length()
 
@@ -171,20 +190,55 @@ def grouped_runs(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(keys[places[0]]), places
 
 
+def frequent_shingles(source: DataFrame, n_docs: int) -> np.ndarray:
+    """Sorted hashes of shingles in a large share of a bounded sample of the documents.
+
+    Each piece of the sample reports what is frequent in it: what is frequent in
+    all of it is so in some piece.  Reports are at most 1 / FREQUENT times a
+    text's shingles for each of SAMPLE_DOCS / SAMPLE_PIECE pieces.
+    """
+    chance = min(1.0, SAMPLE_DOCS / max(1, n_docs))
+    drawn = source.where(F.pmod(F.xxhash64("doc"), F.lit(1_000_000)) < int(chance * 1_000_000) + 1)
+    drawn = drawn.repartition(SAMPLE_DOCS // SAMPLE_PIECE)  # the whole table is scanned by as many tasks as it has
+
+    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
+        for batch in batches:
+            for lo in range(0, batch.num_rows, SAMPLE_PIECE):
+                piece = batch.slice(lo, SAMPLE_PIECE)
+                sets = shingler.hashes(raw_texts(piece.column("text")))
+                if len(sets) < SAMPLE_PIECE // 4:  # too few to tell
+                    continue
+                values, counts = np.unique(np.concatenate(sets), return_counts=True)
+                often = counts >= len(sets) * FREQUENT
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(values[often].view(np.int64), pa.int64()), pa.array(counts[often], pa.int64())], names=["hash", "n"]
+                )
+
+    reports = drawn.mapInArrow(report, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    least = int(min(n_docs, SAMPLE_DOCS) * FREQUENT)
+    found = reports.where(F.col("n") >= max(2, least)).select("hash").toArrow().column("hash").to_numpy()
+    return np.sort(found.astype(np.int64).view(np.uint64))
+
+
 def shared_shingles(docs: DataFrame, id_col: str, text_col: str, folder: str) -> DataFrame:
-    """Per document: n (set size), own (shingles of no other document) and, if a
-    link is possible, the other shingles rarest first, with their prefix part.
+    """Per document: n (set size), rows (that have its id), own (shingles of no
+    other document) and, if a link is possible, the other shingles rarest
+    first, with their prefix part.
 
-    Columns doc, n, own, tokens (packed, null if no link is possible), prefix,
-    sig (digest of an equal set).
+    Columns doc, rows, n, own, tokens (packed, null if no link is possible),
+    prefix, sig (digest of an equal set).
     """
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(256, power_of_two(parts))
-    doc_buckets = power_of_two(parts)
+    source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).where("doc is not null")
+    size = source.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    # a shingle takes some six bytes of text, and some ten in an exchange
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, 2 * size["bytes"] // PARTITION_BYTES)
+    buckets = max(256, power_of_two(parts), power_of_two(size["bytes"] // 6 // GROUP_SHINGLES))
+    doc_buckets = power_of_two(max(parts, size["bytes"] // 6 // GROUP_SHINGLES))
     shift = np.uint64(HASH_BITS - buckets.bit_length() + 1)
     low_bytes = (int(shift) + 7) // 8
-    source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).where("doc is not null")
+    frequent = frequent_shingles(source, size["n"])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
@@ -197,14 +251,22 @@ def shared_shingles(docs: DataFrame, id_col: str, text_col: str, folder: str) ->
             owners = np.array(ids, np.int64)
             hashes = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
             entry_docs = np.repeat(owners, lengths)
+            often = np.isin(hashes, frequent) if len(frequent) else np.zeros(len(hashes), bool)
+            common, common_docs = hashes[often], entry_docs[often]
+            hashes, entry_docs = hashes[~often], entry_docs[~often]
             keys, blobs = [], []
             for b, at in grouped_runs((hashes >> shift).astype(np.int32)):
                 low = hashes[at] & np.uint64((1 << int(shift)) - 1)
                 keys.append(b)
                 blobs.append(pack_docs(entry_docs[at], ((low, low_bytes),)))
-            for b, at in grouped_runs(doc_bucket(owners, doc_buckets)):  # set sizes travel with them
+            # set sizes, and shingles known to be frequent, go by document
+            common_at = dict(grouped_runs(doc_bucket(common_docs, doc_buckets)))
+            for b, at in grouped_runs(doc_bucket(owners, doc_buckets)):
                 keys.append(-1 - b)
                 blobs.append(pack_docs(owners[at], ((lengths[at], 4),)))
+                if b in common_at:
+                    keys.append(-1 - b)
+                    blobs.append(pack_docs(common_docs[common_at[b]], ((common[common_at[b]], HASH_BITS // 8), (np.full(len(common_at[b]), MOST), 4))))
             return pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
 
         for batch in batches:
@@ -223,8 +285,8 @@ def shared_shingles(docs: DataFrame, id_col: str, text_col: str, folder: str) ->
     def count(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
         blobs = table.column("blob").to_pylist()
-        if bucket < 0:  # set sizes pass through
-            return pa.table({"part": pa.array([-1 - bucket] * len(blobs), pa.int32()), "sizes": pa.array([True] * len(blobs), pa.bool_()), "blob": pa.array(blobs, pa.binary())})
+        if bucket < 0:  # passes through
+            return pa.table({"part": pa.array([-1 - bucket] * len(blobs), pa.int32()), "blob": pa.array(blobs, pa.binary())})
         owners, hashes = [], []
         for blob in blobs:
             d, (h,) = unpack_docs(blob)
@@ -242,24 +304,24 @@ def shared_shingles(docs: DataFrame, id_col: str, text_col: str, folder: str) ->
         keys, out = [], []
         for b, at in grouped_runs(doc_bucket(d, doc_buckets)):
             keys.append(b)
-            out.append(pack_docs(d[at], ((h[at], HASH_BITS // 8), (np.minimum(f[at], (1 << 32) - 1), 4))))
-        return pa.table({"part": pa.array(keys, pa.int32()), "sizes": pa.array([False] * len(keys), pa.bool_()), "blob": pa.array(out, pa.binary())})
+            out.append(pack_docs(d[at], ((h[at], HASH_BITS // 8), (np.minimum(f[at], MOST - 1), 4))))
+        return pa.table({"part": pa.array(keys, pa.int32()), "blob": pa.array(out, pa.binary())})
 
     def gather(table: pa.Table) -> pa.Table:
         ids, sizes, owners, hashes, frequencies = [], [], [], [], []
-        for is_size, blob in zip(table.column("sizes").to_pylist(), table.column("blob").to_pylist(), strict=True):
+        for blob in table.column("blob").to_pylist():
             d, more = unpack_docs(blob)
-            if is_size:
+            if len(more) == 1:
                 ids.append(d)
                 sizes.append(more[0].astype(np.int64))
             else:
                 owners.append(d)
                 hashes.append(more[0])
                 frequencies.append(more[1])
-        rows: dict[str, list] = {k: [] for k in ("doc", "n", "own", "tokens", "prefix", "sig")}
-        everyone, places = np.unique(np.concatenate(ids), return_inverse=True)
+        rows: dict[str, list] = {k: [] for k in ("doc", "rows", "n", "own", "tokens", "prefix", "sig")}
+        everyone, places, copies = np.unique(np.concatenate(ids), return_inverse=True, return_counts=True)
         n_of = np.zeros(len(everyone), np.int64)
-        np.maximum.at(n_of, places, np.concatenate(sizes))
+        np.add.at(n_of, places, np.concatenate(sizes))
         if owners:
             d, h, f = np.concatenate(owners), np.concatenate(hashes), np.concatenate(frequencies)
             order = np.lexsort((h, f, d))
@@ -270,24 +332,26 @@ def shared_shingles(docs: DataFrame, id_col: str, text_col: str, folder: str) ->
         for i, doc in enumerate(everyone.tolist()):
             tokens = h[lo[i] : hi[i]]
             n = int(n_of[i])
-            if len(tokens) and np.any(tokens[1:] == tokens[:-1]):  # a repeated id
-                tokens = tokens[np.concatenate([[True], tokens[1:] != tokens[:-1]])]
-                n = max(n, len(tokens))
+            if copies[i] > 1 and len(tokens):  # a repeated id: what its rows share counts once
+                distinct = tokens[np.concatenate([[True], tokens[1:] != tokens[:-1]])]
+                n -= len(tokens) - len(distinct)
+                tokens = distinct
             own, prefix = n - len(tokens), n - (4 * n + 4) // 5 + 1
             live = n > 0 and own < prefix
             rows["doc"].append(doc)
+            rows["rows"].append(int(copies[i]))
             rows["n"].append(n)
             rows["own"].append(own)
             rows["tokens"].append(tokens.tobytes() if live else None)
             rows["prefix"].append(tokens[: prefix - own].view(np.int64).tolist() if live else None)
             rows["sig"].append(_digest(tokens) if live and not own else (f"{doc}" if live else None))
-        kinds = {"doc": pa.int64(), "n": pa.int64(), "own": pa.int64(), "tokens": pa.binary(), "prefix": pa.list_(pa.int64()), "sig": pa.string()}
+        kinds = {"doc": pa.int64(), "rows": pa.int64(), "n": pa.int64(), "own": pa.int64(), "tokens": pa.binary(), "prefix": pa.list_(pa.int64()), "sig": pa.string()}
         return pa.table({k: pa.array(rows[k], t) for k, t in kinds.items()})
 
-    dealt = source.mapInArrow(deal, "bucket int, blob binary")
-    counted = dealt.groupBy("bucket").applyInArrow(count, "part int, sizes boolean, blob binary")
+    dealt = source.mapInArrow(deal, "bucket int, blob binary").repartition(parts, "bucket")
+    counted = dealt.groupBy("bucket").applyInArrow(count, "part int, blob binary").repartition(parts, "part")
     gathered = counted.groupBy("part").applyInArrow(
-        gather, "doc long, n long, own long, tokens binary, prefix array<long>, sig string"
+        gather, "doc long, rows long, n long, own long, tokens binary, prefix array<long>, sig string"
     )
     return stored(gathered, f"{folder}/sets")
 
@@ -296,26 +360,29 @@ def _digest(tokens: np.ndarray) -> str:
     return "=" + hashlib.md5(np.sort(tokens).tobytes()).hexdigest()
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of plans that are no longer referred to."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets link, each looked at once."""
+    """The pairs (a, b) whose sets link, each looked at once.
+
+    Pairs are ids until here.  The set of ``b`` goes to its pairs; pairs then
+    meet the set of ``a``, a hub of perhaps many, which is sent once to each
+    part of its pairs.
+    """
     ids = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
     n_ids = ids.limit(BROADCAST_ROWS + 1).count()
     full = sets.where("tokens is not null").select("doc", "n", "tokens")
     full = full.join(broadcast_if_small(ids, n_ids), "doc", "left_semi")
     left = full.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
     right = full.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
+    sizes = pairs.groupBy("a").agg(F.count("*").alias("size"))
+    dealt = split_hot(pairs, "a", sizes, pairs.count(), F.xxhash64("b"))
+    hubs = for_all_parts(left.join(dealt.groupBy("a").agg(F.max("parts").alias("parts")), "a"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shift = np.uint64(HASH_BITS - 5)
         for batch in batches:
             keep = []
-            for na, ta, nb, tb in zip(*(batch.column(c).to_pylist() for c in ("na", "ta", "nb", "tb")), strict=True):
+            for i in range(batch.num_rows):
+                na, ta, nb, tb = (batch.column(c)[i].as_py() for c in ("na", "ta", "nb", "tb"))
                 x, y, need = np.frombuffer(ta, np.uint64), np.frombuffer(tb, np.uint64), 4 * (na + nb)
                 # suffix filter: no range of hashes can hold more common tokens than either side has
                 ranges = np.minimum(np.bincount((x >> shift).astype(np.intp), minlength=32), np.bincount((y >> shift).astype(np.intp), minlength=32))
@@ -323,7 +390,8 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "ta", "nb", "tb").mapInArrow(check, "a long, b long")
+    met = dealt.join(right, "b").join(hubs, ["a", "part"])
+    return met.select("a", "b", "na", "ta", "nb", "tb").mapInArrow(check, "a long, b long")
 
 
 def may_link(n1: str, i1: str, n2: str, i2: str) -> F.Column:
@@ -339,51 +407,57 @@ def link_classes(sets: DataFrame, folder: str) -> DataFrame:
     Rounds work on what is left: links become edges between the components so
     far, so no round looks at the links of an earlier one again.
     """
-    spark = sets.sparkSession
     live = sets.where("tokens is not null")
     classes = stored(live.groupBy("sig").agg(F.min("doc").alias("doc"), F.count("*").alias("copies")), f"{folder}/classes")
     own_class = live.where("own = 0").select(F.col("doc").alias("id"), "sig")
-    copies = stored(
-        own_class.join(classes.where("copies > 1").select("sig", "doc"), "sig").where("id <> doc").select("id", "doc"),
-        f"{folder}/copies",
-    )
+    shared = classes.where("copies > 1").select("sig", "doc", F.col("copies").alias("size"))
+    n_copies = shared.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    dealt = split_hot(own_class, "sig", shared, n_copies, F.xxhash64("id"))
+    firsts = for_all_parts(split_hot(shared, "sig", shared, n_copies, F.lit(0)).drop("part", "size"))
+    copies = stored(dealt.join(firsts, ["sig", "part"]).where("id <> doc").select("id", "doc"), f"{folder}/copies")
     kept = live.select("doc", "n", "own", "prefix").join(classes.select("doc"), "doc", "left_semi")
     grams = kept.select("doc", "n", "own", F.posexplode("prefix").alias("k", "gram"))
     grams = grams.select("gram", "doc", "n", "own", (F.col("own") + F.col("k")).alias("i"))
-    lists = grams.groupBy("gram").agg(F.count("*").alias("size")).where("size > 1")
-    grams = stored(grams.join(lists.select("gram"), "gram", "left_semi"), f"{folder}/grams")
+    lists = stored(grams.groupBy("gram").agg(F.count("*").alias("size")).where("size > 1"), f"{folder}/lists")
+    n_places = lists.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    dealt = split_hot(grams, "gram", lists, n_places, F.xxhash64("doc"))
+    long_lists = for_all_parts(split_hot(lists, "gram", lists, n_places, F.lit(0)).drop("part", "size"))
+    grams = stored(dealt.join(long_lists, ["gram", "part"], "left_semi"), f"{folder}/grams")
     tried = labels = None
     for k in range(HUB_ROUNDS + 1):
         if labels is None:
             labelled = grams.withColumn("label", F.col("doc"))
         else:
             labelled = grams.join(labels, "doc", "left").withColumn("label", F.coalesce("component", "doc")).drop("component")
-            open_lists = labelled.groupBy("gram").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-            labelled = stored(labelled.join(open_lists.select("gram"), "gram", "left_semi"), f"{folder}/open{k}")
+            ends = labelled.groupBy("gram").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("parts").alias("parts"))
+            open_lists = for_all_parts(ends.where("x <> y").select("gram", "parts"))
+            labelled = stored(labelled.join(open_lists, ["gram", "part"], "left_semi"), f"{folder}/open{k}")
             if labelled.isEmpty():
                 break
         if k < HUB_ROUNDS:
             # a document with few shingles of its own is near the middle of its group
             turn = F.struct(F.floor(F.col("own") / (1 + 4 * k)), F.xxhash64("doc", F.lit(k)))
-            hubs = labelled.groupBy("gram").agg(F.min(F.struct(turn.alias("turn"), "doc", "n", "i", "label")).alias("hub"))
-            met = labelled.join(hubs, "gram").select(
+            hub = F.min(F.struct(turn.alias("turn"), "doc", "n", "i", "label")).alias("hub")
+            hubs = for_all_parts(labelled.groupBy("gram").agg(hub, F.max("parts").alias("parts")))
+            met = labelled.join(hubs, ["gram", "part"]).select(
                 "doc", "n", "i", "label", F.col("hub.doc").alias("doc2"), F.col("hub.n").alias("n2"),
                 F.col("hub.i").alias("i2"), F.col("hub.label").alias("label2"),
             )
         else:
-            sizes = labelled.groupBy("gram", "label").agg(F.count("*").alias("size"))
-            main = sizes.groupBy("gram").agg(F.max_by("label", F.struct("size", "label")).alias("main"))
-            outside = labelled.join(main, "gram").where("label <> main").drop("main")
-            others = labelled.select("gram", F.col("doc").alias("doc2"), F.col("n").alias("n2"), F.col("i").alias("i2"), F.col("label").alias("label2"))
-            met = outside.join(others, "gram")
+            sizes = labelled.groupBy("gram", "label").agg(F.count("*").alias("size"), F.max("parts").alias("parts"))
+            main = sizes.groupBy("gram").agg(F.max_by("label", F.struct("size", "label")).alias("main"), F.max("parts").alias("parts"))
+            outside = labelled.join(for_all_parts(main), ["gram", "part"]).where("label <> main").drop("main", "parts")
+            others = labelled.select("gram", "parts", F.col("doc").alias("doc2"), F.col("n").alias("n2"), F.col("i").alias("i2"), F.col("label").alias("label2"))
+            met = outside.join(for_all_parts(others), ["gram", "part"])
         met = met.where((F.col("label") != F.col("label2")) & may_link("n", "i", "n2", "i2"))
-        pairs = met.select(F.least("doc", "doc2").alias("a"), F.greatest("doc", "doc2").alias("b")).distinct()
+        # the hub stands first, as it meets many
+        pairs = met.select(F.col("doc2").alias("a"), F.col("doc").alias("b")).distinct()
         if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+            either = tried.union(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            pairs = pairs.join(either, ["a", "b"], "left_anti")
         pairs = stored(pairs, f"{folder}/pairs{k}")
         found = stored(verified(pairs, sets), f"{folder}/links{k}")
         tried = pairs if tried is None else tried.union(pairs)
-        release(spark)
         labels = merge_components(labels, found, f"{folder}/cc{k}")
     if labels is None:
         return copies.select("id", F.col("doc").alias("component"))
@@ -404,19 +478,29 @@ def merge_components(labels: DataFrame | None, links: DataFrame, folder: str) ->
     return stored(every.select("doc", F.coalesce("to", "component").alias("component")), f"{folder}/labels")
 
 
+def set_sizes(docs: DataFrame, text_col: str) -> DataFrame:
+    """Set sizes of texts that are compared with nothing: a map."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
+        for batch in batches:
+            sizes = [len(s) for s in shingler.hashes(raw_texts(batch.column("text")))]
+            yield pa.RecordBatch.from_arrays([pa.array(sizes, pa.int64())], names=["n_shingles"])
+
+    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "n_shingles long")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None) -> DataFrame:
-    """(id, n_shingles, component_id) of every document."""
-    spark = docs.sparkSession
-    folder = folder or shared_folder(spark)
+    """(id, n_shingles, component_id) of every row of the documents."""
+    folder = folder or shared_folder(docs.sparkSession)
     sets = shared_shingles(docs, id_col, text_col, folder)
-    release(spark)
     labels = link_classes(sets, folder)
-    result = sets.select("doc", "n").join(labels, sets["doc"] == labels["id"], "left")
+    result = sets.select("doc", "rows", "n").join(labels, sets["doc"] == labels["id"], "left")
+    result = result.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
     kind = docs.schema[id_col].dataType
     known = result.select(
         F.col("doc").cast(kind).alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").cast(kind).alias("component_id")
     )
-    nameless = docs.where(F.col(id_col).isNull()).select(
-        F.col(id_col), F.lit(None).cast("long").alias("n_shingles"), F.col(id_col).alias("component_id")
-    )
+    none = F.lit(None).cast(kind)
+    nameless = set_sizes(docs.where(F.col(id_col).isNull()), text_col).select(none.alias(id_col), "n_shingles", none.alias("component_id"))
     return known.union(nameless)

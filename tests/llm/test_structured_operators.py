@@ -10,7 +10,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from talkloom.llm import chat_format, components, fingerprint, ngram_join, queries, warc
+from talkloom.llm import chat_format, common, components, fingerprint, ngram_join, queries, warc
 from talkloom.llm.common import shared_folder
 
 DATA = "/root/testdata/sf0.001"
@@ -114,12 +114,34 @@ def test_ngram_join_matches_brute_force(spark, seed):
 
 
 def test_ngram_join_edges(spark):
-    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "A b c d e f"), (None, "a b c d e f"), (None, None)]
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "A b c d e f"), (None, "a b c d e f"), (None, None), (5, "k l m n o p"), (5, "l m n o p q"), (6, "k l m n o p q")]
     got = sorted(map(tuple, ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=repr)
-    assert got == [(1, 2, 1), (2, 2, 1), (None, None, None), (None, None, None)]
+    # both rows of id 5 are one document with three shingles, those of id 6
+    assert got == [(1, 2, 1), (1, 2, 1), (2, 2, 1), (5, 3, 5), (5, 3, 5), (6, 3, 5), (None, 0, None), (None, 2, None)]
     assert ngram_join.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+@pytest.mark.parametrize("seed", [3, 4])
+def test_ngram_join_with_hot_lists_and_frequent_shingles(spark, monkeypatch, seed):
+    """Small bounds, so that lists are split into parts and shingles are known to be frequent."""
+    monkeypatch.setattr(common, "HOT_ROWS", 3)
+    monkeypatch.setattr(ngram_join, "SAMPLE_PIECE", 16)
+    monkeypatch.setattr(ngram_join, "FREQUENT", 0.1)
+    rng = random.Random(seed)
+    base = [rng.choice("abcdefghij") * rng.randint(1, 9) + rng.choice("xyz") for _ in range(60)]
+    rows = near_texts(seed)
+    for k in range(120):  # a large group of near copies, in chains
+        text = list(base)
+        for _ in range(k % 7):
+            text[rng.randrange(len(text))] = f"w{k}"
+        rows.append((1000 + k, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    source = docs.select(F.col("doc_id").alias("doc"), "text").where("text is not null")
+    assert len(ngram_join.frequent_shingles(source, len(rows))) > 0
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.near_duplicates(docs).collect()}
+    assert got == brute_components(rows)
+
+
 def test_shingle_hashes_do_not_depend_on_chunks(monkeypatch):
     texts = [b"a b c d e f g", None, b"", "é ß x y z w".encode(), b"q " * 50]
     whole = [h.tolist() for h in ngram_join.Shingler().hashes(texts)]
