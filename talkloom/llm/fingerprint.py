@@ -13,20 +13,26 @@ the embedding's length.
 Many texts walk in step, so that each step is one array operation.
 
 Near documents are found by banding on sampled bits and verified by the whole
-fingerprint.
+fingerprint.  Bands are as wide as the number of different fingerprints asks
+for, so that strangers seldom share one, and as many as find a pair at the
+least likeness with chance ``RECALL``; likelier pairs are found more surely.
 
 Defined cases: null text counts as empty, empty texts are alike with likeness
-1; equal texts have equal fingerprints; rows that repeat an id follow one
-another by text; null ids come last; the document after the last is the first,
-so a lone document is followed by itself; an empty table gives an empty
-result.  Only the id and text columns are read.
+1; equal texts have equal fingerprints; texts of any length are walked to their
+end; rows that repeat an id follow one another by text, and count as one
+document, near to another if any of its rows is; null ids come last, and are in
+no class; the document after the last is the first, so a lone document is
+followed by itself; an empty table gives an empty result.  Only the id and text
+columns are read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
+import zlib
 from collections.abc import Iterator
-from functools import cache, reduce
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +40,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_folder, stored
-from .ngram_join import merge_components
+from .common import BROADCAST_ROWS, broadcast_if_small, for_all_parts, shared_folder, split_hot, stored
+from .hubs import connected, fetched
 
 BITS = 256
 SEED = 20_240_229
@@ -45,8 +51,9 @@ PERIOD = 1 << 14
 STRIDE = 64
 #: Characters in one batch of walks, edited texts included.
 BATCH_CHARS = 16 << 20
-#: Rounds in which a bucket is compared with one class of it only.
-HUB_ROUNDS = 3
+#: Least likeness of near documents, and chance that banding finds a pair of just that.
+NEAR = 0.8
+RECALL = 0.95
 #: Class of the mark at the end of a text.
 END = 256
 
@@ -192,6 +199,17 @@ def compare(ids: list, texts: list[str]) -> tuple[list, list[tuple]]:
     return ids[:m], rows
 
 
+def packed_texts(rows: DataFrame, kind: str) -> DataFrame:
+    """Texts deflated, as they are moved between tasks whole."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = [zlib.compress(t, 1) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(packed, pa.binary())], names=["id", "packed"])
+
+    return rows.mapInArrow(run, f"id {kind}, packed binary")
+
+
 def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of all texts, of their edited texts, and likenesses.
 
@@ -203,8 +221,8 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     folder = shared_folder(spark)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    order = [F.col("id").desc_nulls_last(), F.col("text")]
-    ranged = rows.repartitionByRange(order[0]).sortWithinPartitions(*order)
+    # texts of one id follow one another by their bytes
+    ranged = packed_texts(rows, kind).repartitionByRange(F.col("id").desc_nulls_last()).sortWithinPartitions(F.col("id").desc_nulls_last())
 
     def batch_of(kind_: str, part: int, ids: list, out: list[tuple], texts: list[str] | None, id_type) -> pa.RecordBatch:
         columns = list(zip(*out, strict=True)) if out else [()] * len(_KINDS)
@@ -217,20 +235,33 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        ids, texts, size, first, id_type = [], [], 0, None, None
-        for batch in batches:
-            id_type = batch.schema.field("id").type
-            for lo in range(0, batch.num_rows, 512):
-                piece = batch.slice(lo, 512)
-                for i, text in zip(piece.column("id").to_pylist(), piece.column("text").to_pylist(), strict=True):
-                    if first is None:
-                        first = (i, text)
-                    ids.append(i)
-                    texts.append(text)
-                    size += 2 * len(text)
-                    if size > BATCH_CHARS and len(ids) > 1:
-                        yield batch_of("row", part, *compare(ids, texts), None, id_type)
-                        ids, texts, size = ids[-1:], texts[-1:], len(texts[-1])
+        ids, texts, size, first, id_type = [], [], 0, None, pa.int64()
+
+        def ordered() -> Iterator[tuple]:
+            nonlocal id_type
+            same: list[str] = []  # texts of one id, in order of code points
+            last = None
+            for batch in batches:
+                id_type = batch.schema.field("id").type
+                for lo in range(0, batch.num_rows, 512):
+                    piece = batch.slice(lo, 512)
+                    for i, packed in zip(piece.column("id").to_pylist(), piece.column("packed").to_pylist(), strict=True):
+                        if same and i != last:
+                            yield from ((last, t) for t in sorted(same))
+                            same = []
+                        last = i
+                        same.append(zlib.decompress(packed).decode("utf-8", "surrogatepass"))
+            yield from ((last, t) for t in sorted(same))
+
+        for i, text in ordered():
+            if first is None:
+                first = (i, text)
+            ids.append(i)
+            texts.append(text)
+            size += 2 * len(text)
+            if size > BATCH_CHARS and len(ids) > 1:
+                yield batch_of("row", part, *compare(ids, texts), None, id_type)
+                ids, texts, size = ids[-1:], texts[-1:], len(texts[-1])
         if len(ids) > 1:
             yield batch_of("row", part, *compare(ids, texts), None, id_type)
         if first is not None:
@@ -258,74 +289,96 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     return result.withColumnRenamed("id", id_col)
 
 
-def band_keys(fingerprint: str, bands: int = 24, width: int = 20) -> list[int]:
+def band_shape(n: int, least: float = NEAR, recall: float = RECALL) -> tuple[int, int]:
+    """Number and width of bands for n different fingerprints.
+
+    Bits of a pair at the least likeness agree with chance (1 + least) / 2.
+    Strangers agree on two bits' width more than it takes to number all
+    fingerprints about once in four.
+    """
+    width = min(BITS // 2, max(16, math.ceil(math.log2(max(2, n))) + 2))
+    found = ((1 + least) / 2) ** width
+    return math.ceil(math.log(1 - recall) / math.log(1 - found)), width
+
+
+def band_places(bands: int, width: int) -> np.ndarray:
+    """The bits of each band (bands x width)."""
+    return np.random.default_rng(SEED + 3).permuted(np.tile(np.arange(BITS), (bands, 1)), axis=1)[:, :width]
+
+
+def band_keys(fingerprint: str, bands: int, width: int) -> list[int]:
     """Sampled bits of a fingerprint, one key for each band."""
     bits = np.unpackbits(np.frombuffer(bytes.fromhex(fingerprint), np.uint8))
-    picks = np.random.default_rng(SEED + 3).permuted(np.tile(np.arange(BITS), (bands, 1)), axis=1)[:, :width]
-    return [int("".join(map(str, bits[p])), 2) for p in picks]
+    return [int("".join(map(str, bits[p])), 2) for p in band_places(bands, width)]
 
 
-def near_links(prints: DataFrame, id_col: str = "doc_id", least: float = 0.8, bands: int = 24, width: int = 20) -> DataFrame:
-    """Links (id, hub, likeness) between documents with near fingerprints.
+def banded(prints: DataFrame, bands: int, width: int) -> DataFrame:
+    """(key, doc) of (doc, fingerprint): a hash of band and sampled bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = band_places(bands, width)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1024):
+                piece = batch.slice(lo, 1024)
+                raw = bytes.fromhex("".join(piece.column("fingerprint").to_pylist()))
+                bits = np.unpackbits(np.frombuffer(raw, np.uint8).reshape(-1, BITS // 8), axis=1)
+                keys = np.zeros((piece.num_rows, bands), np.uint64)
+                for b in range(bands):
+                    key = np.full(piece.num_rows, b + 1, np.uint64)
+                    for p in places[b]:
+                        key = (key ^ bits[:, p]) * np.uint64(0x9E3779B97F4A7C15)
+                        key ^= key >> np.uint64(29)
+                    keys[:, b] = key
+                docs = np.repeat(piece.column("doc").to_numpy(), bands)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(docs)], names=["key", "doc"])
+
+    return prints.mapInArrow(run, "key long, doc long")
+
+
+def near_classes(prints: DataFrame, id_col: str = "doc_id", least: float = NEAR, folder: str | None = None) -> DataFrame:
+    """(id, near_class) of documents that near fingerprints connect with another.
 
     Equal fingerprints form a class, whose smallest id stands for it; rows
     without id are left out.  Classes that share a band's sampled bits are
-    compared with one class of that band's bucket, the smallest at first and
-    others in further rounds.  Last, what is still in different components is
-    compared within each bucket, all pairs of it.  Links of at least ``least``
-    are kept, so documents are connected exactly if such pairs in common
-    buckets connect them; ``hub`` is the smaller id.
+    compared by ``hubs.connected``; pairs of at least ``least`` likeness link.
+    ``near_class`` is the smallest id that links reach.
     """
-    folder = shared_folder(prints.sparkSession)
-    classes_ = prints.where(F.col(id_col).isNotNull()).groupBy("fingerprint").agg(F.min(id_col).alias("id"))
-    picks = np.random.default_rng(SEED + 3).permuted(np.tile(np.arange(BITS), (bands, 1)), axis=1)[:, :width]
-    # bit p of the hex string: digit p // 4, bit 3 - p % 4 of it
-    bit = [
-        F.substring("fingerprint", int(p) // 4 + 1, 1) for p in range(0, BITS, 4)
-    ]
-    digits = [F.conv(d, 16, 10).cast("int") for d in bit]
-    wide = classes_.withColumn("digits", F.array(*digits))
-    keys = F.array(
-        *(
-            F.concat_ws("", F.lit(f"{b}:"), *(F.shiftright(F.col("digits")[int(p) // 4], 3 - int(p) % 4).bitwiseAND(F.lit(1)).cast("string") for p in row))
-            for b, row in enumerate(picks)
-        )
-    )
-    keyed = wide.select("id", "fingerprint", F.explode(keys).alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    keyed = stored(keyed.join(shared.select("key"), "key", "left_semi"), f"{folder}/keyed")
+    folder = folder or shared_folder(prints.sparkSession)
+    rows = prints.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), "fingerprint")
+    classes_ = rows.groupBy("fingerprint").agg(F.min("id").alias("doc"), F.count("*").alias("size"))
+    classes_ = stored(classes_, f"{folder}/classes")
+    shape = band_shape(classes_.count(), least)
+    firsts = classes_.select("doc", "fingerprint")
     differing = sum(
-        F.bit_count(F.conv(F.substring("fa", s, 8), 16, 10).cast("long").bitwiseXOR(F.conv(F.substring("fb", s, 8), 16, 10).cast("long")))
+        F.bit_count(F.conv(F.substring("fingerprint1", s, 8), 16, 10).cast("long").bitwiseXOR(F.conv(F.substring("fingerprint2", s, 8), 16, 10).cast("long")))
         for s in range(1, BITS // 4 + 1, 8)
     )
     alike = F.greatest(F.lit(0.0), 1 - 2 * differing / BITS)
-    labels, links = None, []
-    for k in range(HUB_ROUNDS + 1):
-        if labels is None:
-            labelled = keyed.withColumn("label", F.col("id"))
-        else:
-            labelled = keyed.join(labels.withColumnRenamed("doc", "id"), "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
-            open_keys = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-            labelled = stored(labelled.join(open_keys.select("key"), "key", "left_semi"), f"{folder}/open{k}")
-            if labelled.isEmpty():
-                break
-        if k < HUB_ROUNDS:
-            turn = F.xxhash64("id", F.lit(k)) if k else F.lit(0).cast("long")
-            hubs = labelled.groupBy("key").agg(F.min(F.struct(turn.alias("turn"), "id", "fingerprint", "label")).alias("hub"))
-            met = labelled.join(hubs, "key").select(
-                "id", "fingerprint", "label", F.col("hub.id").alias("id2"), F.col("hub.fingerprint").alias("print2"), F.col("hub.label").alias("label2")
-            )
-        else:
-            sizes = labelled.groupBy("key", "label").agg(F.count("*").alias("size"))
-            main = sizes.groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("main"))
-            outside = labelled.join(main, "key").where("label <> main").drop("main")
-            others = labelled.select("key", F.col("id").alias("id2"), F.col("fingerprint").alias("print2"), F.col("label").alias("label2"))
-            met = outside.join(others, "key")
-        a, b = F.struct("id", "fingerprint"), F.struct(F.col("id2").alias("id"), F.col("print2").alias("fingerprint"))
-        pairs = met.where("label <> label2").select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
-        pairs = pairs.select(F.col("a.id").alias("a"), F.col("a.fingerprint").alias("fa"), F.col("b.id").alias("b"), F.col("b.fingerprint").alias("fb"))
-        found = stored(pairs.select("a", "b", alike.alias("likeness")).where(F.col("likeness") >= least), f"{folder}/links{k}")
-        links.append(found)
-        labels = merge_components(labels, found, f"{folder}/cc{k}")
-    every = reduce(DataFrame.union, links)
-    return every.select(F.col("b").alias("id"), F.col("a").alias("hub"), "likeness")
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        ids = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
+        n_ids = ids.limit(BROADCAST_ROWS + 1).count()
+        met = fetched(pairs, firsts.join(broadcast_if_small(ids, n_ids), "doc", "left_semi"), ["fingerprint"])
+        return met.where(alike >= least).select("a", "b").distinct()
+
+    labels = connected(banded(firsts, *shape), "key", folder, verify, [], lambda k: F.xxhash64("doc", F.lit(k)), F.lit(True))
+    # members of a class follow its first, those of a large one in parts
+    large = classes_.where("size > 1")
+    n_members = large.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    first_of = for_all_parts(split_hot(large, "fingerprint", large, n_members, F.lit(0)).drop("part", "size"))
+    members = split_hot(rows, "fingerprint", large, n_members, F.xxhash64("id")).join(first_of, ["fingerprint", "part"]).select("id", "doc")
+    if labels is None:
+        labels = rows.select(F.col("id").alias("doc"), F.col("id").alias("component")).limit(0)
+    follow = members.where("id <> doc").join(labels, "doc", "left").select("id", F.coalesce("component", "doc").alias("near_class"))
+    every = labels.select(F.col("doc").alias("id"), F.col("component").alias("near_class")).union(follow)
+    # an id with several texts may be in several classes
+    return every.groupBy("id").agg(F.min("near_class").alias("near_class"))
+
+
+def with_near_class(result: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows with ``near_class``: the smallest id that near fingerprints connect with theirs."""
+    folder = shared_folder(result.sparkSession)
+    found = stored(near_classes(result, id_col, folder=folder), f"{folder}/near")
+    n = found.limit(BROADCAST_ROWS + 1).count()
+    joined = result.join(broadcast_if_small(found, n), result[id_col] == found["id"], "left").drop("id")
+    return joined.withColumn("near_class", F.coalesce(F.col("near_class"), F.col(id_col)))

@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, _SPACE_TABLE, broadcast_if_small, for_all_parts, raw_texts, shared_folder, split_hot, stored
-from .components import components
+from .hubs import connected, fetched
 
 SHINGLE = 5
 #: Shingles in one packed block, and bytes of text hashed at once.
@@ -59,7 +59,6 @@ HASH_BITS = 56
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _FACTORS = [np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
-HUB_ROUNDS = 2
 #: Shingles that one group of the first exchange is to have, and bytes of one partition.
 GROUP_SHINGLES = 1 << 21
 PARTITION_BYTES = 96 << 20
@@ -361,28 +360,17 @@ def _digest(tokens: np.ndarray) -> str:
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets link, each looked at once.
-
-    Pairs are ids until here.  The set of ``b`` goes to its pairs; pairs then
-    meet the set of ``a``, a hub of perhaps many, which is sent once to each
-    part of its pairs.
-    """
+    """The pairs (a, b) whose sets link, each looked at once; pairs are ids until here."""
     ids = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
     n_ids = ids.limit(BROADCAST_ROWS + 1).count()
     full = sets.where("tokens is not null").select("doc", "n", "tokens")
     full = full.join(broadcast_if_small(ids, n_ids), "doc", "left_semi")
-    left = full.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
-    right = full.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    sizes = pairs.groupBy("a").agg(F.count("*").alias("size"))
-    dealt = split_hot(pairs, "a", sizes, pairs.count(), F.xxhash64("b"))
-    hubs = for_all_parts(left.join(dealt.groupBy("a").agg(F.max("parts").alias("parts")), "a"))
-
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shift = np.uint64(HASH_BITS - 5)
         for batch in batches:
             keep = []
             for i in range(batch.num_rows):
-                na, ta, nb, tb = (batch.column(c)[i].as_py() for c in ("na", "ta", "nb", "tb"))
+                na, ta, nb, tb = (batch.column(c)[i].as_py() for c in ("n1", "tokens1", "n2", "tokens2"))
                 x, y, need = np.frombuffer(ta, np.uint64), np.frombuffer(tb, np.uint64), 4 * (na + nb)
                 # suffix filter: no range of hashes can hold more common tokens than either side has
                 ranges = np.minimum(np.bincount((x >> shift).astype(np.intp), minlength=32), np.bincount((y >> shift).astype(np.intp), minlength=32))
@@ -390,8 +378,8 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
 
-    met = dealt.join(right, "b").join(hubs, ["a", "part"])
-    return met.select("a", "b", "na", "ta", "nb", "tb").mapInArrow(check, "a long, b long")
+    met = fetched(pairs, full, ["n", "tokens"])
+    return met.select("a", "b", "n1", "tokens1", "n2", "tokens2").mapInArrow(check, "a long, b long")
 
 
 def may_link(n1: str, i1: str, n2: str, i2: str) -> F.Column:
@@ -418,66 +406,19 @@ def link_classes(sets: DataFrame, folder: str) -> DataFrame:
     kept = live.select("doc", "n", "own", "prefix").join(classes.select("doc"), "doc", "left_semi")
     grams = kept.select("doc", "n", "own", F.posexplode("prefix").alias("k", "gram"))
     grams = grams.select("gram", "doc", "n", "own", (F.col("own") + F.col("k")).alias("i"))
-    lists = stored(grams.groupBy("gram").agg(F.count("*").alias("size")).where("size > 1"), f"{folder}/lists")
-    n_places = lists.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    dealt = split_hot(grams, "gram", lists, n_places, F.xxhash64("doc"))
-    long_lists = for_all_parts(split_hot(lists, "gram", lists, n_places, F.lit(0)).drop("part", "size"))
-    grams = stored(dealt.join(long_lists, ["gram", "part"], "left_semi"), f"{folder}/grams")
-    tried = labels = None
-    for k in range(HUB_ROUNDS + 1):
-        if labels is None:
-            labelled = grams.withColumn("label", F.col("doc"))
-        else:
-            labelled = grams.join(labels, "doc", "left").withColumn("label", F.coalesce("component", "doc")).drop("component")
-            ends = labelled.groupBy("gram").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("parts").alias("parts"))
-            open_lists = for_all_parts(ends.where("x <> y").select("gram", "parts"))
-            labelled = stored(labelled.join(open_lists, ["gram", "part"], "left_semi"), f"{folder}/open{k}")
-            if labelled.isEmpty():
-                break
-        if k < HUB_ROUNDS:
-            # a document with few shingles of its own is near the middle of its group
-            turn = F.struct(F.floor(F.col("own") / (1 + 4 * k)), F.xxhash64("doc", F.lit(k)))
-            hub = F.min(F.struct(turn.alias("turn"), "doc", "n", "i", "label")).alias("hub")
-            hubs = for_all_parts(labelled.groupBy("gram").agg(hub, F.max("parts").alias("parts")))
-            met = labelled.join(hubs, ["gram", "part"]).select(
-                "doc", "n", "i", "label", F.col("hub.doc").alias("doc2"), F.col("hub.n").alias("n2"),
-                F.col("hub.i").alias("i2"), F.col("hub.label").alias("label2"),
-            )
-        else:
-            sizes = labelled.groupBy("gram", "label").agg(F.count("*").alias("size"), F.max("parts").alias("parts"))
-            main = sizes.groupBy("gram").agg(F.max_by("label", F.struct("size", "label")).alias("main"), F.max("parts").alias("parts"))
-            outside = labelled.join(for_all_parts(main), ["gram", "part"]).where("label <> main").drop("main", "parts")
-            others = labelled.select("gram", "parts", F.col("doc").alias("doc2"), F.col("n").alias("n2"), F.col("i").alias("i2"), F.col("label").alias("label2"))
-            met = outside.join(for_all_parts(others), ["gram", "part"])
-        met = met.where((F.col("label") != F.col("label2")) & may_link("n", "i", "n2", "i2"))
-        # the hub stands first, as it meets many
-        pairs = met.select(F.col("doc2").alias("a"), F.col("doc").alias("b")).distinct()
-        if tried is not None:
-            either = tried.union(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            pairs = pairs.join(either, ["a", "b"], "left_anti")
-        pairs = stored(pairs, f"{folder}/pairs{k}")
-        found = stored(verified(pairs, sets), f"{folder}/links{k}")
-        tried = pairs if tried is None else tried.union(pairs)
-        labels = merge_components(labels, found, f"{folder}/cc{k}")
+
+    def turn(k: int) -> F.Column:
+        # a document with few shingles of its own is near the middle of its group
+        return F.struct(F.floor(F.col("own") / (1 + 4 * k)), F.xxhash64("doc", F.lit(k)))
+
+    may_meet = may_link("n", "i", "n2", "i2")
+    labels = connected(grams, "gram", folder, lambda pairs: verified(pairs, sets), ["n", "i"], turn, may_meet)
     if labels is None:
         return copies.select("id", F.col("doc").alias("component"))
     like = copies.join(labels, "doc", "left").select("id", F.coalesce("component", "doc").alias("component"))
     return labels.select(F.col("doc").alias("id"), "component").union(like)
 
 
-def merge_components(labels: DataFrame | None, links: DataFrame, folder: str) -> DataFrame:
-    """Components (doc, component) after further links between documents."""
-    if labels is None:
-        return stored(components(links, folder).select(F.col("id").alias("doc"), "component"), f"{folder}/labels")
-    a = labels.select(F.col("doc").alias("a"), F.col("component").alias("ca"))
-    b = labels.select(F.col("doc").alias("b"), F.col("component").alias("cb"))
-    edges = links.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-    merged = components(edges, folder).select("id", F.col("component").alias("to"))
-    new = merged.select(F.col("id").alias("doc"), F.col("id").alias("component")).join(labels.select("doc"), "doc", "left_anti")
-    every = labels.union(new).join(merged, F.col("component") == F.col("id"), "left")
-    return stored(every.select("doc", F.coalesce("to", "component").alias("component")), f"{folder}/labels")
-
-
 def set_sizes(docs: DataFrame, text_col: str) -> DataFrame:
     """Set sizes of texts that are compared with nothing: a map."""
 

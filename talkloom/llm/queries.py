@@ -77,7 +77,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint.fingerprint_documents(table(spark, sf_dir, "documents"))
+    return fingerprint.with_near_class(fingerprint.fingerprint_documents(table(spark, sf_dir, "documents")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -126,6 +126,7 @@ def test_ngram_join_with_hot_lists_and_frequent_shingles(spark, monkeypatch, see
     """Small bounds, so that lists are split into parts and shingles are known to be frequent."""
     monkeypatch.setattr(common, "HOT_ROWS", 3)
     monkeypatch.setattr(ngram_join, "SAMPLE_PIECE", 16)
+    monkeypatch.setattr(ngram_join, "SAMPLE_DOCS", 160)
     monkeypatch.setattr(ngram_join, "FREQUENT", 0.1)
     rng = random.Random(seed)
     base = [rng.choice("abcdefghij") * rng.randint(1, 9) + rng.choice("xyz") for _ in range(60)]
@@ -223,15 +224,5 @@ def test_fingerprint_edges(spark):
     assert fingerprint.fingerprint_documents(docs.where("doc_id = 4")).first()["near_next"] == 1.0
 
 
-def test_near_links_find_small_edits(spark):
-    rng = random.Random(4)
-    base = ["".join(rng.choice("abcdefgh ") for _ in range(800)) for _ in range(20)]
-    texts = base + [t[:400] + "zz" + t[400:] for t in base]
-    prints = list(enumerate(fingerprint.to_hex(fingerprint.fingerprints(texts))))
-    links = fingerprint.near_links(spark.createDataFrame(prints, "doc_id long, fingerprint string"), least=0.4).collect()
-    found = {(r["hub"], r["id"]) for r in links}
-    assert all(b - a == 20 for a, b in found) and len(found) >= 15
-
-
 def test_queries_are_named(spark):
     assert {n.split("_")[0] for n in queries.queries()} == {f"op{i}" for i in range(1, 11)}
