@@ -53,7 +53,9 @@ STRIDE = 64
 BATCH_CHARS = 16 << 20
 #: Least likeness of near documents, and chance that banding finds a pair of just that.
 NEAR = 0.8
-RECALL = 0.95
+RECALL = 0.9
+#: Documents of a bucket that are compared in one block.
+BLOCK = 1024
 #: Class of the mark at the end of a text.
 END = 256
 
@@ -204,7 +206,7 @@ def packed_texts(rows: DataFrame, kind: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = [zlib.compress(t, 1) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            packed = [zlib.compress(t, 6) for t in batch.column("text").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(packed, pa.binary())], names=["id", "packed"])
 
     return rows.mapInArrow(run, f"id {kind}, packed binary")
@@ -293,10 +295,10 @@ def band_shape(n: int, least: float = NEAR, recall: float = RECALL) -> tuple[int
     """Number and width of bands for n different fingerprints.
 
     Bits of a pair at the least likeness agree with chance (1 + least) / 2.
-    Strangers agree on two bits' width more than it takes to number all
-    fingerprints about once in four.
+    Bits of strangers agree with chance 0.54 or so, as some characters are
+    frequent; bands are so wide that about one stranger in ten shares one.
     """
-    width = min(BITS // 2, max(16, math.ceil(math.log2(max(2, n))) + 2))
+    width = min(BITS // 2, max(16, math.ceil(1.125 * math.log2(max(2, n))) + 3))
     found = ((1 + least) / 2) ** width
     return math.ceil(math.log(1 - recall) / math.log(1 - found)), width
 
@@ -335,13 +337,56 @@ def banded(prints: DataFrame, bands: int, width: int) -> DataFrame:
     return prints.mapInArrow(run, "key long, doc long")
 
 
+_BIT_COUNTS = np.array([bin(i).count("1") for i in range(256)], np.uint16)
+
+
+def block_links(rest: DataFrame, prints: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) of documents outside their list's main component, ``rest``
+    being the rows (key, doc, label, main, n) of lists.
+
+    A list is cut into blocks of about BLOCK documents with their fingerprints;
+    each block's outside documents meet every block of the list, so rows of the
+    join are pairs of blocks, and only links leave it.
+    """
+    placed = rest.withColumn("n_blocks", F.ceil(F.col("n") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("doc", F.lit(7)), F.col("n_blocks")))
+    placed = placed.join(prints, "doc").select("key", "block", "n_blocks", "main", F.struct("doc", "label", "fingerprint").alias("x"))
+    every = placed.groupBy("key", F.col("block").alias("other")).agg(F.collect_list("x").alias("ys"))
+    outside = placed.where("x.label <> main").groupBy("key", "block", "n_blocks").agg(F.collect_list("x").alias("xs"))
+    outside = outside.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
+    apart = int((1 - least) / 2 * BITS + 1e-9)
+
+    def parts(items: pa.ListScalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        rows = items.values
+        raw = bytes.fromhex("".join(rows.field("fingerprint").to_pylist()))
+        return rows.field("doc").to_numpy(), rows.field("label").to_numpy(), np.frombuffer(raw, np.uint8).reshape(-1, BITS // 8)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            links: set[tuple[int, int]] = set()
+            for i in range(batch.num_rows):
+                docs, labels, bits = parts(batch.column("xs")[i])
+                docs2, labels2, bits2 = parts(batch.column("ys")[i])
+                for doc, label, own in zip(docs.tolist(), labels.tolist(), bits, strict=True):
+                    differing = _BIT_COUNTS[bits2 ^ own].sum(axis=1)
+                    near = np.flatnonzero((differing <= apart) & (labels2 != label))
+                    # one link to each component is enough
+                    _, first = np.unique(labels2[near], return_index=True)
+                    links.update((doc, int(d)) for d in docs2[near[first]])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], names=["a", "b"]
+            )
+
+    return outside.join(every, ["key", "other"]).select("xs", "ys").mapInArrow(run, "a long, b long").distinct()
+
+
 def near_classes(prints: DataFrame, id_col: str = "doc_id", least: float = NEAR, folder: str | None = None) -> DataFrame:
     """(id, near_class) of documents that near fingerprints connect with another.
 
     Equal fingerprints form a class, whose smallest id stands for it; rows
     without id are left out.  Classes that share a band's sampled bits are
-    compared by ``hubs.connected``; pairs of at least ``least`` likeness link.
-    ``near_class`` is the smallest id that links reach.
+    compared by ``hubs.connected``, in the last round as blocks of packed
+    fingerprints; pairs of at least ``least`` likeness link.  ``near_class`` is
+    the smallest id that links reach.
     """
     folder = folder or shared_folder(prints.sparkSession)
     rows = prints.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), "fingerprint")
@@ -361,7 +406,10 @@ def near_classes(prints: DataFrame, id_col: str = "doc_id", least: float = NEAR,
         met = fetched(pairs, firsts.join(broadcast_if_small(ids, n_ids), "doc", "left_semi"), ["fingerprint"])
         return met.where(alike >= least).select("a", "b").distinct()
 
-    labels = connected(banded(firsts, *shape), "key", folder, verify, [], lambda k: F.xxhash64("doc", F.lit(k)), F.lit(True))
+    def blocks(rest: DataFrame) -> DataFrame:
+        return block_links(rest, firsts, least)
+
+    labels = connected(banded(firsts, *shape), "key", folder, verify, [], lambda k: F.xxhash64("doc", F.lit(k)), F.lit(True), last=blocks)
     # members of a class follow its first, those of a large one in parts
     large = classes_.where("size > 1")
     n_members = large.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]

@@ -41,6 +41,7 @@ def connected(
     further: list[str],
     turn: Callable[[int], Column],
     may_meet: Column,
+    last: Callable[[DataFrame], DataFrame] | None = None,
     rounds: int = ROUNDS,
 ) -> DataFrame | None:
     """(doc, component) of the documents that verified links connect, None without any list.
@@ -49,7 +50,9 @@ def connected(
     documents, the first being round k's hub; ``may_meet`` is a cheap test on
     the further columns of one side and those of the other, named with a 2.
     ``verify`` keeps the pairs (a, b) that link.  Each round goes on from the
-    components so far, and no pair is looked at twice.
+    components so far, and no pair is looked at twice.  ``last`` may take the
+    last round's place: it gets the rows of the lists left, with main (the
+    label of the largest component) and n (the list's size), and gives links.
     """
     listed = with_lists(rows, key, folder)
     sides = ["doc", *further, "label"]
@@ -59,8 +62,9 @@ def connected(
             labelled = listed.withColumn("label", F.col("doc"))
         else:
             labelled = listed.join(labels, "doc", "left").withColumn("label", F.coalesce("component", "doc")).drop("component")
-            ends = labelled.groupBy(key).agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("parts").alias("parts"))
-            open_lists = for_all_parts(ends.where("x <> y").select(key, "parts"))
+            ends = labelled.groupBy(key).agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("parts").alias("parts"), F.count("*").alias("n"))
+            # both documents of a list of two have met
+            open_lists = for_all_parts(ends.where("x <> y and n > 2").select(key, "parts"))
             labelled = stored(labelled.join(open_lists, [key, "part"], "left_semi"), f"{folder}/open{k}")
         if labelled.isEmpty():
             break
@@ -70,8 +74,15 @@ def connected(
             met = labelled.join(hubs, [key, "part"]).select(*sides, *(F.col(f"hub.{c}").alias(f"{c}2") for c in sides))
         else:
             sizes = labelled.groupBy(key, "label").agg(F.count("*").alias("size"), F.max("parts").alias("parts"))
-            main = sizes.groupBy(key).agg(F.max_by("label", F.struct("size", "label")).alias("main"), F.max("parts").alias("parts"))
-            outside = labelled.join(for_all_parts(main), [key, "part"]).where("label <> main").drop("main")
+            main = sizes.groupBy(key).agg(
+                F.max_by("label", F.struct("size", "label")).alias("main"), F.max("parts").alias("parts"), F.sum("size").alias("n")
+            )
+            marked = labelled.join(for_all_parts(main), [key, "part"])
+            if last is not None:
+                found = stored(last(marked), f"{folder}/links{k}")
+                labels = merge_components(labels, found, f"{folder}/cc{k}")
+                break
+            outside = marked.where("label <> main").drop("main", "n")
             others = labelled.select(key, "parts", F.col("part").alias("part2"), *(F.col(c).alias(f"{c}2") for c in sides))
             # one block for every two parts of a list
             blocks = outside.withColumn("part2", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
