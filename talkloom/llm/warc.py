@@ -14,8 +14,16 @@ to finish the last one.
 Defined cases: null html is an empty payload; null urls have no target header;
 of equal payloads of at least ``min_bytes`` the largest page id is the
 response, also on every row that repeats it, and null ids come last; an empty
-table writes no records and reads none.  A payload that itself holds unpacked
-WARC members is told apart only where a range starts before its record.
+table writes no records and reads none; payloads of any length are written and
+read whole.  A member that doesn't inflate, is cut short, fails its checksum or
+holds no WARC record fails the read, or, if it isn't strict, gives a row with
+an error; the records after it are read all the same.
+
+A range that starts inside a record takes the first place that inflates to a
+WARC record for one.  So a payload may be misread only if it holds whole gzip
+members of WARC records and the compressor left them as they are.  UTF-8 text
+can't, as the magic is no UTF-8; archives with such binary payloads are read
+exactly with one range a file (``split_bytes`` beyond its length).
 """
 
 from __future__ import annotations
@@ -85,7 +93,9 @@ def parse_record(raw: bytes) -> dict | None:
     if not gap or not lines[0].startswith("WARC/"):
         return None
     fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-    block = block[: int(fields.get("content-length", 0))]
+    if not fields.get("content-length", "").isdigit() or len(block) < int(fields["content-length"]):
+        return None
+    block = block[: int(fields["content-length"])]
     http, gap, payload = block.partition(b"\r\n\r\n")
     lengths = [x.split(b":", 1)[1] for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")]
     said = base64.b32decode(fields.get("warc-payload-digest", "sha1:").partition(":")[2]).hex()
@@ -108,16 +118,25 @@ class RangeReader:
 
     def __init__(self, file, size: int):
         self.file, self.size = file, size
+        self.base, self.data = 0, b""
 
     def read(self, at: int, n: int) -> bytes:
         self.file.seek(at)
         return self.file.read(min(n, self.size - at)) if at < self.size else b""
 
-    def inflate(self, at: int, data: bytes) -> tuple[bytes, int] | None:
-        """The record that starts at ``at`` and the place after it, else None.
-
-        ``data`` are bytes from ``at`` on that are read already.
-        """
+    def window(self, at: int, least: int = HEADER_BYTES) -> bytes:
+        """Bytes from ``at`` on, at least so many or up to the end of the file."""
+        if not self.base <= at <= self.base + len(self.data) or (
+            self.base + len(self.data) - at < least and self.base + len(self.data) < self.size
+        ):
+            self.base, self.data = at, self.read(at, READ_BYTES)
+        return self.data[at - self.base :]
+
+    def inflate(self, at: int) -> tuple[bytes, int] | None:
+        """The record that starts at ``at`` and the place after it, else None."""
+        data = self.window(at)
+        if not data.startswith(MAGIC):
+            return None
         unpack = zlib.decompressobj(31)
         try:
             head = unpack.decompress(data, HEADER_BYTES)
@@ -136,39 +155,63 @@ class RangeReader:
         except zlib.error:
             return None
 
-    def records(self, start: int, end: int) -> Iterator[tuple[int, bytes]]:
-        at, base, data = start, start, b""
+    def padded(self, at: int) -> int:
+        """The first place from ``at`` on that holds no zero."""
+        while at < self.size:
+            data = self.window(at, 1)
+            rest = data.lstrip(b"\0")
+            at += len(data) - len(rest)
+            if rest:
+                break
+        return at
+
+    def candidate(self, at: int, end: int) -> tuple[int, tuple[bytes, int]] | None:
+        """The first place in [at, end) where a record starts, and the record."""
         while at < end:
-            found = data.find(MAGIC, at - base)
-            if found < 0 or len(data) - found < HEADER_BYTES and base + len(data) < self.size:
-                # no candidate, or one with little after it: read on from there
-                if found >= 0:
-                    at = base + found
-                elif data:
-                    at = max(at, base + len(data) - len(MAGIC) + 1)
-                if at >= end:
-                    return
-                base, data = at, self.read(at, READ_BYTES)
+            data = self.window(at, len(MAGIC))
+            found = data.find(MAGIC)
+            if found < 0:
                 if len(data) < len(MAGIC):
+                    return None
+                at += len(data) - len(MAGIC) + 1
+                continue
+            at += found
+            if at >= end:
+                return None
+            member = self.inflate(at)
+            if member is not None:
+                return at, member
+            at += 1
+        return None
+
+    def records(self, start: int, end: int) -> Iterator[tuple[int, bytes | None]]:
+        """(place, record); without a record where one should start but none does.
+
+        Such a place is reported by the range that owns the record before it,
+        or the file's start; whatever follows is found by its magic.
+        """
+        at: int = start
+        due = start == 0
+        while True:
+            if due:
+                at = self.padded(at)
+                if at >= self.size:
                     return
-                found = data.find(MAGIC)
-                if found < 0:
-                    if base + len(data) >= self.size:
-                        return
-                    continue
-                if len(data) - found < HEADER_BYTES and found:
+                member = self.inflate(at)
+                if member is None:
+                    yield at, None
+                    at, due = at + 1, False
                     continue
-            at = base + found
-            if at >= end:
-                return
-            member = self.inflate(at, data[found:])
-            if member is None:
-                at += 1
-                continue
+                if at >= end:
+                    return
+            else:
+                found = self.candidate(at, end)
+                if found is None:
+                    return
+                at, member = found
+                due = True
             yield at, member[0]
             at = member[1]
-            if at >= base + len(data):
-                base, data = at, b""
 
 
 def mark_revisits(pages: DataFrame, min_bytes: int, id_col: str, url_col: str, html_col: str) -> DataFrame:
@@ -216,21 +259,29 @@ def write_warc(
     members.select(F.col("member").cast("string")).write.option("lineSep", "\0").option("compression", "none").text(folder)
 
 
-def read_warc(spark: SparkSession, folder: str, split_bytes: int = SPLIT_BYTES, with_payload: bool = False) -> DataFrame:
+class DamagedArchive(ValueError):
+    """A place of an archive where a record should start but none can be read."""
+
+
+def read_warc(
+    spark: SparkSession, folder: str, split_bytes: int = SPLIT_BYTES, with_payload: bool = False, strict: bool = True
+) -> DataFrame:
     """Read all records of the archives in a folder, by byte ranges.
 
     Gives (path, place, page_id, url, payload_bytes, payload_digest,
-    record_type, refers_to, intact), and the payload if asked for.  The length
-    of a revisit's payload stands in its HTTP header, its digest in its WARC
-    header; those of a response are taken from the payload itself.
+    record_type, refers_to, intact, error), and the payload if asked for.  The
+    length of a revisit's payload stands in its HTTP header, its digest in its
+    WARC header; those of a response are taken from the payload itself.  A
+    damaged place fails the read, or unless ``strict`` is a row with an error
+    and nothing else.
     """
     files = spark.read.format("binaryFile").load(folder).where("length > 0").select("path", "length")
     ranges = files.select(
         "path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long"))).alias("start")
     )
     ranges = ranges.repartition(max(1, ranges.count()))
-    names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact"]
-    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.bool_()]
+    names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact", "error"]
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.bool_(), pa.string()]
     if with_payload:
         names.append("payload")
         kinds.append(pa.binary())
@@ -239,7 +290,7 @@ def read_warc(spark: SparkSession, folder: str, split_bytes: int = SPLIT_BYTES,
         def batch_of(path: str, rows: list[tuple[int, dict]]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
                 [pa.array([path] * len(rows), pa.string()), pa.array([at for at, _ in rows], pa.int64()),
-                 *(pa.array([r[n] for _, r in rows], k) for n, k in zip(names, kinds, strict=True))],
+                 *(pa.array([r.get(n) for _, r in rows], k) for n, k in zip(names, kinds, strict=True))],
                 names=["path", "place", *names],
             )
 
@@ -249,9 +300,13 @@ def read_warc(spark: SparkSession, folder: str, split_bytes: int = SPLIT_BYTES,
                 with files.open_input_file(name) as f:
                     rows = []
                     for at, raw in RangeReader(f, size).records(start, min(size, start + split_bytes)):
-                        record = parse_record(raw)
-                        if record is not None:
-                            rows.append((at, record))
+                        record = None if raw is None else parse_record(raw)
+                        if record is None:
+                            error = "no readable gzip member" if raw is None else "no WARC record in the member"
+                            if strict:
+                                raise DamagedArchive(f"{path} at byte {at}: {error}")
+                            record = {"error": error}
+                        rows.append((at, record))
                         if len(rows) == 256:
                             yield batch_of(path, rows)
                             rows = []
@@ -259,7 +314,7 @@ def read_warc(spark: SparkSession, folder: str, split_bytes: int = SPLIT_BYTES,
 
     schema = (
         "path string, place long, page_id long, url string, payload_bytes long, payload_digest string, "
-        "record_type string, refers_to long, intact boolean" + (", payload binary" if with_payload else "")
+        "record_type string, refers_to long, intact boolean, error string" + (", payload binary" if with_payload else "")
     )
     return ranges.mapInArrow(run, schema)
 

@@ -51,6 +51,37 @@ def test_warc_false_magic(tmp_path):
         assert ids == [1, 2, 3]
 
 
+def damaged_archive(kind):
+    """Three records, the second of which is damaged, and where it starts."""
+    members = [warc.gzip_member(warc.build_record(i, "u", f"payload {i} ".encode() * 400, None)) for i in (1, 2, 3)]
+    at, bad = len(members[0]) + 1, bytearray(members[1])
+    if kind == "flipped":
+        bad[len(bad) // 2] ^= 1
+    elif kind == "magic":
+        bad[0] = 7
+    elif kind == "checksum":
+        bad[-6] ^= 255
+    elif kind == "no record":
+        bad = bytearray(warc.gzip_member(b"WARC/1.1 but nothing more"))
+    elif kind == "cut":
+        return members[0] + b"\0" + bytes(bad[:-9]), at, [1]
+    return members[0] + b"\0" + bytes(bad) + b"\0" + members[2] + b"\0", at, [1, 3]
+
+
+@pytest.mark.parametrize("kind", ["flipped", "magic", "checksum", "no record", "cut"])
+def test_warc_damage_is_reported(spark, tmp_path, kind):
+    data, at, ids = damaged_archive(kind)
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "x.warc.gz").write_bytes(data)
+    folder = str(tmp_path / "w")
+    for split in (1 << 24, 60):
+        rows = warc.read_warc(spark, folder, split, strict=False).collect()
+        assert sorted(r["page_id"] for r in rows if r["error"] is None) == ids
+        assert [(r["place"], r["page_id"]) for r in rows if r["error"]] == [(at, None)]
+    with pytest.raises(Exception, match="DamagedArchive"):
+        warc.read_warc(spark, folder).count()
+
+
 def test_warc_of_no_pages(spark):
     assert warc.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
