@@ -2,11 +2,15 @@
 tags; a shunting-yard parser evaluates and/or/with licence expressions.
 
 Base phrases are found on the word sequence of the text; identifier tags and
-further notices add labels of their own.
+further notices add labels of their own.  Only words of the form of licence
+identifiers count in an expression: an identifier has a hyphen or a digit, as
+nearly all of the SPDX list do, or is one of ``PLAIN_IDENTIFIERS``.  Each
+expression is evaluated against a set of allowed licences.
 
 Defined cases: null text counts as empty (no words, empty label strings, score
-0); repeated rows are scanned alike; an empty table gives an empty result; only
-the id and text columns are read.
+0); texts of any length are scanned whole, expressions to their line's end;
+repeated rows are scanned alike; an empty table gives an empty result; only the
+id and text columns are read.
 """
 
 from __future__ import annotations
@@ -38,22 +42,50 @@ NOTICE_PHRASES = {
     "cc by sa": "cc-by-sa",
     "all rights reserved": "all-rights-reserved",
 }
+#: Identifiers of the SPDX list without a hyphen or digit.
+PLAIN_IDENTIFIERS = set(
+    """
+    aal abstyles aladdin aml ampas anti antlr baekmuk bahyph barr beerware borceux caldera catharon cldr clartistic
+    condor cronyx crossword cube curl diffmark dotseqn dsdp dvipdfm ecos egenix elastic entessa epics etalab eudatagrid
+    fair freeimage fsful fsfap ftl glide glulxe gnuplot gutmann haskellreport hippocratic hpnd ibm-pibs icu ijg imagemagick
+    imatix info-zip intel ipa isc jam jasper jpnic json kazlib knuth-ctan latex2e leptonica libpng libtiff loop mackerras
+    mirros mit mplus mtll mulanpsl multics mup ncsa net-snmp netcdf newsletr ngpl nlpl noweb nrl openssl opubl padl parity
+    plexus postgresql psfrag psutils python qhull rdisc rsa-md ruby saxpath scea sendmail sissl sleepycat smlnj snia soundsystem
+    spl symlinks tcl tmate torque tosl ucar unlicense vim vostrom wsuipl wtfpl xinetd xlock xnet xpp xskat zed zlib none
+    """.split()
+)
+#: Licences that an expression must be met with to be permitted, unless others are given.
+PERMISSIVE = {"mit", "apache-2.0", "bsd-2-clause", "bsd-3-clause", "isc", "zlib", "0bsd", "unlicense", "cc0-1.0"}
 TAG = "spdx-license-identifier:"
 _EXPRESSION = re.compile(r"[ \t]*([A-Za-z0-9.+\-() \t]+)")
+_IDENTIFIER = re.compile(r"[a-z0-9]+(?:[.\-]+[a-z0-9]+)*\+?")
 _TOKEN = re.compile(r"[()]|[A-Za-z0-9.+\-]+")
 _OPERATORS = {"or": 1, "and": 2, "with": 3}
 
 
+def is_identifier(token: str) -> bool:
+    """Whether a lower-case token has the form of a licence identifier."""
+    return bool(_IDENTIFIER.fullmatch(token)) and (token.rstrip("+") in PLAIN_IDENTIFIERS or bool(re.search(r"[\d-]", token)))
+
+
 def parse_expression(text: str) -> tuple | None:
-    """Parse a licence expression by the shunting-yard method.
+    """The tree of a licence expression, see ``parse_prefix``."""
+    found = parse_prefix(text)
+    return found[0] if found else None
+
+
+def parse_prefix(text: str) -> tuple | None:
+    """Parse the licence expression that a text begins with by the shunting-yard
+    method: its tree, and where it ends.
 
     The tree is ``id`` or ``(operator, left, right)``; ``with`` binds tighter
     than ``and``, which binds tighter than ``or``.  Words after a complete
-    expression end it; a malformed expression gives None.
+    expression, and words that are no identifiers, end it; a malformed
+    expression gives None.
     """
     output: list = []
     stack: list[str] = []
-    operand_next = True
+    operand_next, end = True, 0
 
     def reduce_top() -> bool:
         if len(output) < 2:
@@ -62,8 +94,8 @@ def parse_expression(text: str) -> tuple | None:
         output.append((stack.pop(), left, right))
         return True
 
-    for token in _TOKEN.findall(text):
-        low = token.lower()
+    for m in _TOKEN.finditer(text):
+        token, low = m[0], m[0].lower()
         if token == "(":
             if not operand_next:
                 break
@@ -86,16 +118,17 @@ def parse_expression(text: str) -> tuple | None:
             stack.append(low)
             operand_next = True
         else:
-            if not operand_next:
+            if not operand_next or not is_identifier(low):
                 break
             output.append(low)
             operand_next = False
+        end = m.end()
     if operand_next or "(" in stack:
         return None
     while stack:
         if not reduce_top():
             return None
-    return output[0] if len(output) == 1 else None
+    return (output[0], end) if len(output) == 1 else None
 
 
 def operands_first(tree) -> Iterator:
@@ -156,13 +189,17 @@ def build_tag_automaton() -> ahocorasick.Automaton:
     return machine
 
 
-def scan_text(raw: bytes | None, machine, tags) -> tuple:
-    """(n_words, n_base, first, last, base labels, labels, score, expressions)."""
+def scan_text(raw: bytes | None, machine, tags, allowed: set[str] = PERMISSIVE) -> tuple:
+    """(n_words, n_base, first, last, base labels, labels, score, expressions, permitted).
+
+    ``permitted`` is whether allowed licences meet every expression, None without any.
+    """
     words = words_of(raw)
     n_base, first, last = 0, None, None
     base_labels: set[str] = set()
     labels: set[str] = set()
     expressions: list[str] = []
+    met: list[bool] = []
     if words:
         text = (b" " + b" ".join(words) + b" ").decode("latin-1")
         at, seen = 0, 0
@@ -182,23 +219,25 @@ def scan_text(raw: bytes | None, machine, tags) -> tuple:
             base_labels.add(label)
         low = raw.translate(_FOLD)
         if b"spdx" in low:
+            latin = raw.decode("latin-1")
             for end, _ in tags.iter(low.decode("latin-1")):
-                m = _EXPRESSION.match(raw.decode("latin-1"), end + 1)
-                tree = parse_expression(m[1]) if m else None
-                if tree is not None:
-                    expressions.append(m[1].strip())
-                    labels.update(licences_of(tree))
+                m = _EXPRESSION.match(latin, end + 1)
+                found = parse_prefix(m[1]) if m else None
+                if found is not None:
+                    expressions.append(m[1][: found[1]].strip())
+                    labels.update(licences_of(found[0]))
+                    met.append(permitted(found[0], allowed))
     score = 1 - 0.5 ** (n_base + 2 * len(expressions) + len(labels - base_labels)) if labels else 0.0
     return (
         len(words), n_base, first, last,
-        ",".join(sorted(base_labels)), ",".join(sorted(labels)), score, expressions,
+        ",".join(sorted(base_labels)), ",".join(sorted(labels)), score, expressions, all(met) if met else None,
     )
 
 
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", allowed: set[str] = PERMISSIVE) -> DataFrame:
     """Scan every whole text: one row per document, a map without a shuffle."""
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = source.schema["id"].dataType.simpleString()
@@ -207,11 +246,11 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         machine, tags = build_automaton(), build_tag_automaton()
         kinds = (
             pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64(),
-            pa.list_(pa.string()),
+            pa.list_(pa.string()), pa.bool_(),
         )
-        names = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "expressions")
+        names = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "expressions", "permitted")
         for batch in batches:
-            rows = [scan_text(raw, machine, tags) for raw in raw_texts(batch.column("text"))]
+            rows = [scan_text(raw, machine, tags, allowed) for raw in raw_texts(batch.column("text"))]
             columns = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
@@ -221,5 +260,5 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return source.mapInArrow(
         run,
         f"`{id_col}` {id_type}, n_words long, n_base long, first_word long, last_word long, "
-        "base_labels string, labels string, score double, expressions array<string>",
+        "base_labels string, labels string, score double, expressions array<string>, permitted boolean",
     )

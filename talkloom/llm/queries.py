@@ -11,8 +11,18 @@ from pyspark.sql import functions as F
 from . import bpe, chat_format, decontaminate, fingerprint, langid, license_scan, ngram_join, quality, url_filter, warc
 from .common import shared_folder, table
 
-#: Folder of the public tokenizers' files.
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+
+
+def tokenizer_folder() -> str:
+    """Folder of the public tokenizers' files, also where their package can't be imported."""
+    try:
+        import public_tokenizers
+    except ImportError:
+        return "/opt/tokenizers"
+    return os.path.dirname(public_tokenizers.path("word_bpe_49k.json"))
+
+
+TOKENIZERS = tokenizer_folder()
 URL_RULES = [
     ("block", "com/en/"),
     ("allow", "example.com/en/7"),
@@ -80,6 +90,17 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.with_near_class(fingerprint.fingerprint_documents(table(spark, sf_dir, "documents")))
 
 
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op3 takes from rules alone, which SQL can express."""
+    judged = op3_url_filter(spark, sf_dir)
+    return judged.select("page_id", "host", "path", "rule", F.when(F.col("rule").isNotNull(), F.col("verdict")).alias("rule_verdict"))
+
+
+def license_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base columns of op5, which SQL can express."""
+    return op5_license_scan(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
@@ -92,6 +113,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_quality": op9_quality,
         "op10_fingerprint": op10_fingerprint,
+        "url_rules": url_rules,
+        "license_phrases": license_phrases,
     }
 
 
@@ -159,5 +182,31 @@ FROM x GROUP BY conv_id
 """
 
 
+_RULE_ROWS = ", ".join(f"('{verdict}', '{rule}', '{rule.partition('/')[0]}', '/{rule.partition('/')[2]}')" for verdict, rule in URL_RULES)
+URL_RULES_SQL = f"""
+WITH r(verdict, rule, h, p) AS (VALUES {_RULE_ROWS}),
+u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+s AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+m AS (SELECT page_id, max((length(rule), rule, verdict)) AS best
+      FROM s JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
+SELECT s.page_id, host, path, best[2] AS rule, best[3] AS rule_verdict FROM s LEFT JOIN m ON m.page_id = s.page_id
+"""
+_PHRASE_PLACES = ", ".join(
+    f"list_filter(range(0, len(l) - {len(phrase.split()) - 1}), lambda i: list_slice(l, i + 1, i + {len(phrase.split())}) = {phrase.split()!r}) AS p{k}"
+    for k, phrase in enumerate(license_scan.BASE_PHRASES)
+)
+_LABELS = ", ".join(f"CASE WHEN len(p{k}) > 0 THEN '{label}' END" for k, label in enumerate(license_scan.BASE_PHRASES.values()))
+LICENSE_PHRASES_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS l FROM documents), p AS (SELECT doc_id, l, {_PHRASE_PLACES} FROM d),
+a AS (SELECT doc_id, len(l) AS n, list_concat(list_concat(p0, p1), p2) AS places, list_sort(list_filter([{_LABELS}], lambda x: x IS NOT NULL)) AS labels FROM p)
+SELECT doc_id, n::BIGINT AS n_words, len(places)::BIGINT AS n_base, list_min(places)::BIGINT AS first_word, list_max(places)::BIGINT AS last_word,
+       coalesce(array_to_string(labels, ','), '') AS base_labels FROM a
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": OP1_SQL, "op2_warc": OP2_SQL, "op6_ngram_join": OP6_SQL, "op7_chat_format": OP7_SQL}
+    return {
+        "op1_decontamination": OP1_SQL, "op2_warc": OP2_SQL, "op6_ngram_join": OP6_SQL, "op7_chat_format": OP7_SQL,
+        "url_rules": URL_RULES_SQL, "license_phrases": LICENSE_PHRASES_SQL,
+    }
