@@ -84,10 +84,40 @@ def valid_utf8(c: Column | str) -> Column:
     return F.make_valid_utf8((F.col(c) if isinstance(c, str) else c).cast("string"))
 
 
-def repeated_ngrams(c: Column | str, n: int = 8) -> Column:
-    """All n-grams of words, to be exploded and counted."""
-    w = words(c)
-    return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " ")))
+def ngram_repeats(c: Column | str, n: int = 8) -> Column:
+    """struct(repeated, places): distinct n-grams of words that come more than
+    once, and all their places; counted within the row.
+
+    Words are cut once and bound by a lambda, as Spark would cut them again for
+    every n-gram; equal n-grams stand next to each other once sorted.
+    """
+
+    def counted(w: Column) -> Column:
+        grams = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " "))
+        return F.transform(F.array(F.sort_array(grams)), runs)[0]
+
+    def runs(g: Column) -> Column:
+        same = F.transform(F.sequence(F.lit(1), F.size(g)), lambda i: F.coalesce(F.try_element_at(g, i + 1) == F.element_at(g, i), F.lit(False)))
+        return F.transform(F.array(same), ends)[0]
+
+    def ends(same: Column) -> Column:
+        last = F.filter(same, lambda s, i: s & ~F.coalesce(F.get(same, i + 1), F.lit(False)))
+        repeated = F.size(last).cast("long")
+        places = F.size(F.filter(same, lambda s: s)).cast("long") + repeated
+        return F.struct(repeated.alias("repeated"), places.alias("places"))
+
+    none = F.struct(F.lit(0).cast("long").alias("repeated"), F.lit(0).cast("long").alias("places"))
+    return F.transform(F.array(words(c)), lambda w: F.when(F.size(w) >= n, counted(w)).otherwise(none))[0]
+
+
+def word_ratio(output: Column | str, given: Column | str) -> Column:
+    """Words of an output for each word given, null where none is given."""
+    return F.try_divide(word_count(output).cast("double"), word_count(given).cast("double"))
+
+
+def compact_stamp(c: Column) -> Column:
+    """A time as it stands in file names; the session's time zone is UTC."""
+    return F.date_format(c, "yyyyMMdd_HHmmss")
 
 
 def md5_int(c: Column) -> Column:

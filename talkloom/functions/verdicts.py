@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import JUDGE_REPLY
 from .text import strip, strip_fence
@@ -44,8 +46,9 @@ def verdict(reply: Column | str) -> Column:
 
 def judge_reply(reply: Column | str) -> Column:
     """A judge's JSON as struct(output_a, output_b), null unless both are there."""
-    parsed = F.from_json(strip_fence(reply), JUDGE_REPLY)
-    return F.when(parsed["output_a"].isNotNull() & parsed["output_b"].isNotNull(), parsed)
+    # bound by a lambda, so that it is parsed once
+    parsed = F.array(F.from_json(strip_fence(reply), JUDGE_REPLY))
+    return F.transform(parsed, lambda p: F.when(p["output_a"].isNotNull() & p["output_b"].isNotNull(), p))[0]
 
 
 def first_reply(replies: Column) -> Column:
@@ -92,6 +95,7 @@ def winner(baseline: Column, candidate: Column, baseline_dims: dict[str, Column]
     return out.when(candidate > baseline, F.lit("candidate")).otherwise(F.lit("baseline"))
 
 
+#: Fixed values of winner_reason: the sentences of the original's summaries.
 def winner_reason(decided: Column, baseline: Column, candidate: Column, baseline_dims: dict[str, Column], candidate_dims: dict[str, Column]) -> Column:
     out = F
     for d in CRITICAL:
@@ -108,3 +112,14 @@ def winner_reason(decided: Column, baseline: Column, candidate: Column, baseline
 
 def p_text(p: Column) -> Column:
     return F.when(p.isNull(), "n/a   ").when(p < 0.0001, "<.0001").otherwise(F.format_string("%.4f", p))
+
+
+def rounded(c: Column | str, digits: int) -> Column:
+    """A float rounded as the original's reports do: the exact binary value to the
+    nearest, ties to even.  For report rows, which are few."""
+
+    @F.pandas_udf(T.DoubleType())
+    def nearest(x: pd.Series) -> pd.Series:
+        return x.map(lambda v: None if v is None or v != v else round(float(v), digits))
+
+    return nearest(F.col(c) if isinstance(c, str) else c)

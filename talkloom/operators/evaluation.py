@@ -8,35 +8,46 @@ from pyspark.sql.window import Window
 
 from ..functions import verdicts
 from ..functions.text import md5_int
-from .responders import two_sided_p
+from .responders import signed_rank_p
+from .select import ranked_by_hash
 
 
 def cached_samples(samples: DataFrame, cache: DataFrame) -> DataFrame:
-    """Samples with cached outputs and scores, and whether they have any."""
+    """Samples with cached outputs and scores, and whether they have any; texts meet by their digest."""
     prefilled = cache.select(
-        "raw_transcript", F.lit(True).alias("hit"), "baseline_output", "candidate_output", "baseline_scores", "candidate_scores",
+        F.sha2("raw_transcript", 256).alias("_key"), F.lit(True).alias("hit"), "baseline_output", "candidate_output", "baseline_scores", "candidate_scores",
         F.coalesce("baseline_duration_ms", F.lit(0.0)).alias("baseline_duration_ms"),
         F.coalesce("candidate_duration_ms", F.lit(0.0)).alias("candidate_duration_ms"),
     )
-    return samples.join(prefilled, "raw_transcript", "left").withColumn("cached", F.coalesce("hit", F.lit(False))).drop("hit")
+    keyed = samples.withColumn("_key", F.sha2("raw_transcript", 256))
+    return keyed.join(prefilled, "_key", "left").withColumn("cached", F.coalesce("hit", F.lit(False))).drop("hit", "_key")
 
 
 def detail(samples: DataFrame, baseline: DataFrame, candidate: DataFrame, judgments: DataFrame) -> DataFrame:
-    """Rows of judged samples, joined by index; indexes are then counted anew."""
+    """Rows of judged samples, joined by index; indexes are then counted anew, in their order."""
     rows = (
         samples.join(judgments, "sample_index")
         .join(baseline.select("sample_index", F.col("text").alias("baseline_output"), F.col("duration_ms").alias("baseline_duration_ms")), "sample_index")
         .join(candidate.select("sample_index", F.col("text").alias("candidate_output"), F.col("duration_ms").alias("candidate_duration_ms")), "sample_index")
     )
-    new_index = F.row_number().over(Window.orderBy("sample_index")) - 1  # an evaluation set is small by nature
+    # counted by ranges of indexes first, so no task numbers all rows
+    span = F.floor(F.col("sample_index") / SPAN).alias("span")
+    sizes = rows.groupBy(span).agg(F.count("*").alias("size"))
+    before = sizes.select("span", (F.sum("size").over(Window.orderBy("span")) - F.col("size")).alias("before"))
+    rows = rows.withColumn("span", span).join(before, "span")
+    place = F.row_number().over(Window.partitionBy("span").orderBy("sample_index"))
     return rows.select(
-        new_index.alias("sample_index"), "raw_transcript", "gold_label", "baseline_output", "candidate_output",
+        (F.col("before") + place - 1).alias("sample_index"), "raw_transcript", "gold_label", "baseline_output", "candidate_output",
         "baseline_duration_ms", "candidate_duration_ms", "baseline_scores", "candidate_scores",
         verdicts.weighted(F.col("baseline_scores")).alias("baseline_weighted"),
         verdicts.weighted(F.col("candidate_scores")).alias("candidate_weighted"),
     )
 
 
+#: Sample indexes that are numbered in one task.
+SPAN = 1 << 20
+
+
 def wins(scored: DataFrame) -> DataFrame:
     """One row (baseline, candidate, tie) from rounded weighted scores."""
     b, c = F.col("baseline_weighted"), F.col("candidate_weighted")
@@ -54,15 +65,50 @@ def dimension_means(judged: DataFrame) -> DataFrame:
     return rows.groupBy("dimension", "weight").agg(F.avg("b").alias("baseline_avg"), F.avg("c").alias("candidate_avg"))
 
 
-def latency(rows: DataFrame, duration: str, by: list[str] | None = None) -> DataFrame:
-    """avg, p50, p90, p99 of non-zero durations, 0 where there are none."""
+def latency(rows: DataFrame, duration: str, by: list[str] | None = None, accuracy: int | None = None) -> DataFrame:
+    """avg, p50, p90, p99 of non-zero durations, 0 where there are none.
+
+    Percentiles are exact, and then hold a group's distinct values in one task;
+    with an ``accuracy`` they are off by at most 1 / accuracy of the ranks, in
+    memory that the accuracy bounds.
+    """
     d = F.when(F.col(duration) != 0, F.col(duration))
-    stats = {"avg": F.avg(d), "p50": F.percentile(d, 0.5), "p90": F.percentile(d, 0.9), "p99": F.percentile(d, 0.99)}
+    at = (lambda p: F.percentile(d, p)) if accuracy is None else (lambda p: F.percentile_approx(d, p, accuracy))
+    stats = {"avg": F.avg(d), "p50": at(0.5), "p90": at(0.9), "p99": at(0.99)}
     return rows.groupBy(*(by or [])).agg(*(F.coalesce(c, F.lit(0.0)).alias(k) for k, c in stats.items()))
 
 
 def speed_ratio(baseline_avg: Column, candidate_avg: Column) -> Column:
-    return F.coalesce(F.try_divide(baseline_avg, candidate_avg), F.lit(0.0))
+    """Ratio of the averages as reported, with one decimal; two decimals, 0 where there is none."""
+    ratio = F.try_divide(verdicts.rounded(baseline_avg, 1), verdicts.rounded(candidate_avg, 1))
+    return verdicts.rounded(F.coalesce(ratio, F.lit(0.0)), 2)
+
+
+def range_of(value: Column, bounds: list[float], group: int = 32) -> Column:
+    """Number of sorted bounds below the value, looked up by groups of bounds."""
+    if not bounds:
+        return F.lit(0)
+    groups = [bounds[i : i + group] for i in range(0, len(bounds), group)]
+    below = lambda bs: F.size(F.filter(bs, lambda b: b < value))
+    outer = below(F.array(*(F.lit(g[0]) for g in groups)))
+    inner = F.get(F.array(*(F.array(*map(F.lit, g)) for g in groups)), outer - 1)
+    return F.when(outer == 0, 0).otherwise((outer - 1) * group + below(inner))
+
+
+def ranked(rows: DataFrame, value: str, by: list[str], cuts: int = 1000) -> DataFrame:
+    """Rows with ``rank``, from 1, by value within each group.
+
+    Approximate percentiles of all values cut the rows into ranges, which are
+    numbered by themselves and moved up by the counts of the ranges before; a
+    range has about 1/1000 of the rows, unless one value has more.
+    """
+    bounds = rows.agg(F.percentile_approx(value, [k / cuts for k in range(1, cuts)], 10 * cuts).alias("b")).first()["b"] or []
+    placed = rows.withColumn("range", range_of(F.col(value), sorted(set(bounds))))
+    # a table of ranges and groups
+    sizes = placed.groupBy(*by, "range").agg(F.count("*").alias("size"))
+    before = sizes.withColumn("before", F.sum("size").over(Window.partitionBy(*by).orderBy("range")) - F.col("size")).drop("size")
+    place = F.row_number().over(Window.partitionBy(*by, "range").orderBy(value))
+    return placed.join(before, [*by, "range"]).withColumn("rank", F.col("before") + place).drop("before", "range")
 
 
 def rank_paired(a: DataFrame, b: DataFrame, value: str) -> DataFrame:
@@ -70,20 +116,23 @@ def rank_paired(a: DataFrame, b: DataFrame, value: str) -> DataFrame:
 
     This is how the original pairs latencies; ``detail`` has the proper pairs.
     """
-    rank = F.row_number().over(Window.orderBy(value))
-    left = a.select(rank.alias("rank"), F.col(value).alias("a"))
-    return left.join(b.select(rank.alias("rank"), F.col(value).alias("b")), "rank")
+    sides = a.select(F.lit("a").alias("side"), value).union(b.select(F.lit("b").alias("side"), value))
+    placed = ranked(sides, value, ["side"])
+    left, right = (placed.where(F.col("side") == x).select("rank", F.col(value).alias(x)) for x in "ab")
+    return left.join(right, "rank")
 
 
-def wilcoxon(diffs: DataFrame, diff: str = "d") -> DataFrame:
-    """Signed-rank statistics of non-zero differences: n, w_plus, w_minus, tie_term, z.
+def wilcoxon(diffs: DataFrame, diff: str = "d", by: list[str] | None = None) -> DataFrame:
+    """Signed-rank statistics of non-zero differences: n, w_plus, w_minus, tie_term, z; by group.
 
     Equal sizes are counted first, so ranks need one sort of distinct sizes only.
     """
-    rows = diffs.where(F.col(diff) != 0).groupBy(F.abs(diff).alias("a")).agg(F.count("*").alias("t"), F.count_if(F.col(diff) > 0).alias("plus"))
-    before = F.coalesce(F.sum("t").over(Window.orderBy("a").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = rows.withColumn("rank", before + (F.col("t") + 1) / 2)
-    stats = ranked.agg(
+    by = by or []
+    rows = diffs.where(F.col(diff) != 0).groupBy(*by, F.abs(diff).alias("a")).agg(F.count("*").alias("t"), F.count_if(F.col(diff) > 0).alias("plus"))
+    order = (Window.partitionBy(*by) if by else Window).orderBy("a").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("t").over(order), F.lit(0))
+    ranks = rows.withColumn("rank", before + (F.col("t") + 1) / 2)
+    stats = ranks.groupBy(*by).agg(
         F.coalesce(F.sum("t"), F.lit(0)).cast("long").alias("n"),
         F.coalesce(F.sum(F.col("rank") * F.col("plus")), F.lit(0.0)).alias("w_plus"),
         F.coalesce(F.sum(F.col("rank") * (F.col("t") - F.col("plus"))), F.lit(0.0)).alias("w_minus"),
@@ -96,53 +145,67 @@ def wilcoxon(diffs: DataFrame, diff: str = "d") -> DataFrame:
 
 
 def with_p(stats: DataFrame) -> DataFrame:
-    return stats.withColumn("p", two_sided_p("z"))
+    return stats.withColumn("p", signed_rank_p("n", F.least("w_plus", "w_minus"), "tie_term", "z"))
+
+
+#: Draws that one digest gives: four numbers of eight digits, or thirty-two signs.
+PICKS, SIGNS = 4, 32
 
 
-def draws(spark: SparkSession, diffs: DataFrame, n_draws: int, seed: int, portable: bool) -> DataFrame:
-    """(draw, n, d, number): every draw next to every difference, with a random integer.
+def digests(spark: SparkSession, diffs: DataFrame, n_draws: int, each: int, seed: int) -> DataFrame:
+    """(block, pos, d, n, digest): one MD5, as other engines have it, for every difference and block of draws.
 
     ``diffs`` (pos from 0 without gaps, d) has one row for each judged sample.
-    No broadcast is forced: Spark sends a small side to the draws and deals a
-    large one.  ``portable`` draws by MD5, as other engines can, else by a
-    faster hash.
     """
     counted = diffs.crossJoin(diffs.agg(F.count("*").alias("n")))
-    grid = spark.range(n_draws).withColumnRenamed("id", "draw").crossJoin(counted)
-    if portable:
-        number = md5_int(F.concat_ws(":", F.lit(str(seed)), "draw", "pos"))
-    else:
-        number = F.pmod(F.xxhash64("draw", "pos", F.lit(seed)), F.lit(1 << 32))
-    return grid.select("draw", "n", "d", number.alias("number"))
+    blocks = spark.range(-(-n_draws // each)).withColumnRenamed("id", "block")
+    return blocks.crossJoin(counted).withColumn("digest", F.md5(F.concat_ws(":", F.lit(str(seed)), "block", "pos")))
 
 
-def bootstrap_means(spark: SparkSession, diffs: DataFrame, n_draws: int = 10_000, seed: int = 42, portable: bool = False) -> DataFrame:
+def bootstrap_means(spark: SparkSession, diffs: DataFrame, n_draws: int = 10_000, seed: int = 42) -> DataFrame:
     """(draw, mean) of resampled differences."""
-    picks = draws(spark, diffs, n_draws, seed, portable).select("draw", F.pmod("number", "n").alias("pos"))
-    return picks.join(diffs, "pos").groupBy("draw").agg(F.avg("d").alias("mean"))
+    number = lambda k: F.conv(F.substring("digest", 1 + 8 * k, 8), 16, 10).cast("long")
+    picks = F.array(*(F.struct((F.col("block") * PICKS + k).alias("draw"), F.pmod(number(k), F.col("n")).alias("pos")) for k in range(PICKS)))
+    drawn = digests(spark, diffs, n_draws, PICKS, seed).select(F.explode(picks).alias("x")).select("x.*").where(F.col("draw") < n_draws)
+    return drawn.join(diffs, "pos").groupBy("draw").agg(F.avg("d").alias("mean"))
 
 
-def bootstrap_ci(spark: SparkSession, diffs: DataFrame, n_draws: int = 10_000, seed: int = 42, portable: bool = False) -> DataFrame:
-    """One row (low, high): the order statistics n/40 and n - n/40 - 1 of the means."""
-    means = bootstrap_means(spark, diffs, n_draws, seed, portable)
-    ordered = means.agg(F.array_sort(F.collect_list("mean")).alias("m"))
+def bootstrap_ci(spark: SparkSession, diffs: DataFrame, n_draws: int = 10_000, seed: int = 42) -> DataFrame:
+    """One row (low, high): the order statistics n/40 and n - n/40 - 1 of the means, a list as long as the draws."""
+    ordered = bootstrap_means(spark, diffs, n_draws, seed).agg(F.array_sort(F.collect_list("mean")).alias("m"))
     at = n_draws // 40
     return ordered.select(F.try_element_at("m", F.lit(at + 1)).alias("low"), F.try_element_at("m", F.lit(n_draws - at)).alias("high"))
 
 
-def permutation_p(spark: SparkSession, diffs: DataFrame, n_draws: int = 10_000, seed: int = 42, portable: bool = False) -> DataFrame:
-    """One row (observed, hits, p): sign flips with means at least as far from zero."""
-    sign = F.when(F.col("number") % 2 == 0, 1).otherwise(-1)
-    rows = draws(spark, diffs, n_draws, seed, portable)
-    sums = rows.groupBy("draw").agg(F.abs(F.sum(F.col("d") * sign)).alias("s"), F.abs(F.sum("d")).alias("o"), F.count("*").alias("n"))
-    return sums.agg(
-        F.max(F.col("o") / F.col("n")).alias("observed"), F.count_if(F.col("s") >= F.col("o")).alias("hits"),
-        (F.count_if(F.col("s") >= F.col("o")) / F.lit(n_draws)).alias("p"),
-    )
+def permutation_p(spark: SparkSession, diffs: DataFrame, n_draws: int = 10_000, seed: int = 42) -> DataFrame:
+    """One row (observed, hits, p): sign flips with means at least as far from zero.
+
+    A digest's digits are the signs of as many draws, summed side by side.
+    """
+    odd = lambda k: F.ascii(F.substring("digest", 1 + k, 1)) % 2 == F.when(F.substring("digest", 1 + k, 1) >= "a", 0).otherwise(1)
+    sums = [F.sum(F.when(odd(k), -F.col("d")).otherwise(F.col("d"))).alias(f"s{k}") for k in range(SIGNS)]
+    blocks = digests(spark, diffs, n_draws, SIGNS, seed).groupBy("block").agg(*sums, F.sum("d").alias("o"), F.count("*").alias("n"))
+    draws = F.array(*(F.struct((F.col("block") * SIGNS + k).alias("draw"), F.abs(f"s{k}").alias("s")) for k in range(SIGNS)))
+    rows = blocks.select(F.abs("o").alias("o"), "n", F.explode(draws).alias("x")).where(F.col("x.draw") < n_draws)
+    hits = F.count_if(F.col("x.s") >= F.col("o"))
+    return rows.agg(F.max(F.col("o") / F.col("n")).alias("observed"), hits.alias("hits"), (hits / F.lit(n_draws)).alias("p"))
+
+
+def differences(scored: DataFrame, key: str) -> DataFrame:
+    """(pos, d) of scored rows: candidate less baseline, numbered in a seeded order."""
+    d = (F.col("candidate_weighted") - F.col("baseline_weighted")).alias("d")
+    return ranked_by_hash(scored.select(key, d), key).select(F.col("rank").alias("pos"), "d")
+
+
+def dimension_p(judged: DataFrame) -> DataFrame:
+    """(dimension, p) of each dimension's paired scores, no row where too few differ."""
+    b, c = F.col("baseline_scores"), F.col("candidate_scores")
+    one = [F.struct(F.lit(d).alias("dimension"), (verdicts.dimension(c, d) - verdicts.dimension(b, d)).alias("d")) for d in verdicts.WEIGHTS]
+    return with_p(wilcoxon(judged.select(F.explode(F.array(*one)).alias("x")).select("x.*"), by=["dimension"])).select("dimension", "p")
 
 
 def summary(judged: DataFrame) -> DataFrame:
-    """One flat row: counts, means, wins with interval, per-dimension means, latency, decision."""
+    """One flat row: counts, means, wins with interval, per-dimension means, decision; ``whole_summary`` has all."""
     b, c = F.col("baseline_scores"), F.col("candidate_scores")
     scored = judged.withColumn("baseline_weighted", verdicts.weighted(b)).withColumn("candidate_weighted", verdicts.weighted(c))
     bw, cw = F.col("baseline_weighted"), F.col("candidate_weighted")
@@ -159,3 +222,32 @@ def summary(judged: DataFrame) -> DataFrame:
     means = F.round("baseline_avg_score", 1), F.round("candidate_avg_score", 1)
     decided = verdicts.winner(*means, *dims)
     return row.select("*", low.alias("win_low"), high.alias("win_high"), decided.alias("winner"), verdicts.winner_reason(decided, *means, *dims).alias("winner_reason"))
+
+
+def whole_summary(
+    spark: SparkSession, judged: DataFrame, baseline: DataFrame, candidate: DataFrame, key: str, duration: str = "duration_ms",
+    n_draws: int = 10_000, as_reported: bool = True,
+) -> DataFrame:
+    """The row of ``summary``, rounded as reported unless asked otherwise, with interval and p of the gap, p of each
+    dimension, latency of both sides' outputs, their ratio and p."""
+    b, c = F.col("baseline_scores"), F.col("candidate_scores")
+    scored = judged.select(key, verdicts.weighted(b).alias("baseline_weighted"), verdicts.weighted(c).alias("candidate_weighted"))
+    diffs = differences(scored, key)
+    p_of = lambda d, name: with_p(wilcoxon(d)).select(F.col("p").alias(name))
+    # differences have one decimal; so sizes that are equal are counted as such
+    gap = bootstrap_ci(spark, diffs, n_draws).select(F.col("low").alias("gap_low"), F.col("high").alias("gap_high"))
+    dims = dimension_p(judged).agg(*(F.max(F.when(F.col("dimension") == d, F.col("p"))).alias(f"p_{d}") for d in verdicts.WEIGHTS))
+    sides = {"baseline": baseline, "candidate": candidate}
+    stats = {s: latency(rows, duration).select(*(F.col(k).alias(f"{s}_latency_{k}") for k in ("avg", "p50", "p90", "p99"))) for s, rows in sides.items()}
+    timed = {s: rows.where(F.col(duration) != 0).select(duration) for s, rows in sides.items()}
+    paired = rank_paired(timed["baseline"], timed["candidate"], duration).select((F.col("b") - F.col("a")).alias("d"))
+    row = summary(judged)
+    for one in (p_of(diffs.select(F.round("d", 1).alias("d")), "overall_p_value"), gap, dims, *stats.values(), p_of(paired, "latency_p_value")):
+        row = row.crossJoin(one)  # each is one row
+    ratio = speed_ratio(F.col("baseline_latency_avg"), F.col("candidate_latency_avg"))
+    row = row.withColumn("speed_ratio", ratio)
+    if not as_reported:
+        return row
+    digits = {"baseline_avg_score": 1, "candidate_avg_score": 1, "win_low": 3, "win_high": 3, "gap_low": 2, "gap_high": 2}
+    digits |= {f"{s}_{d}": 2 for s in sides for d in verdicts.WEIGHTS} | {f"{s}_latency_{k}": 1 for s in sides for k in ("avg", "p50", "p90", "p99")}
+    return row.withColumns({k: verdicts.rounded(k, n) for k, n in digits.items()})

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import chat, verdicts
 from ..functions.text import or_else
@@ -17,9 +16,9 @@ def distribution_report(distribution: DataFrame, populations: list[str]) -> Data
 
 
 def failure_listing(rows: DataFrame) -> DataFrame:
-    """(type, n, request_ids) of open failures; ids of a type are listed in order, as on the console."""
-    kind = F.coalesce("validation.type", F.lit("UNKNOWN")).alias("type")
-    return rows.groupBy(kind).agg(F.count("*").alias("n"), F.array_sort(F.collect_list("request_id")).alias("request_ids"))
+    """(type, n, request_id, reason) of open failures; n counts the type.  To be shown by type and id."""
+    kind = rows.select(F.coalesce("validation.type", F.lit("UNKNOWN")).alias("type"), "request_id", F.col("validation.reason").alias("reason"))
+    return kind.join(kind.groupBy("type").agg(F.count("*").alias("n")), "type").select("type", "n", "request_id", "reason")
 
 
 def inspection(rows: DataFrame) -> DataFrame:
@@ -46,6 +45,7 @@ def dimension_report(means: DataFrame, p_values: DataFrame | None = None) -> Dat
     return rows.select(order[F.col("dimension")].alias("line"), body.alias("text"))
 
 
+#: Fixed values of summary_report: the lines of the original's console report.
 def summary_report(summary: DataFrame) -> DataFrame:
     """(line, text) of the overall lines of a summary row."""
     decided = F.col("wins_baseline") + F.col("wins_candidate")
@@ -65,9 +65,3 @@ def latency_report(stats: DataFrame) -> DataFrame:
     sides = rows.groupBy("stat").agg(*(F.max(F.when(F.col("side") == s, F.col("v"))).alias(s) for s in ("baseline", "candidate")))
     ratio = F.when(F.col("candidate") > 0, F.format_string("%.1fx", F.try_divide(F.col("baseline"), F.col("candidate")))).otherwise("")
     return sides.select("stat", F.format_string("%-20s  %10.0f  %10.0f  %7s", "stat", "baseline", "candidate", ratio).alias("text"))
-
-
-def running_share(rows: DataFrame, count: str) -> DataFrame:
-    """Each row's share of the total in percent, 0 of nothing."""
-    total = F.sum(count).over(Window.partitionBy())
-    return rows.withColumn("share", F.coalesce(F.try_divide(F.col(count) * 100.0, total), F.lit(0.0)))

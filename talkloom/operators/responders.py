@@ -38,34 +38,51 @@ class Replay:
 
 
 class Call:
-    """Replies from a function of the prompt; at most ``parallel`` calls run at once.
+    """Replies from a function of the prompt; each task calls for one row at a time.
 
-    A call that fails gives an empty reply, no duration and its error.
+    ``parallel`` is the number of tasks, by default as many as the rows have.
+    A call that fails, or takes longer than ``timeout`` seconds, gives an empty
+    reply, no duration and its error.
     """
 
-    def __init__(self, function: Callable[[str], str], parallel: int = 1):
-        self.function, self.parallel = function, parallel
+    def __init__(self, function: Callable[[str], str], parallel: int | None = None, timeout: float = 600.0):
+        self.function, self.parallel, self.timeout = function, parallel, timeout
 
     def respond(self, rows: DataFrame, prompt: str) -> DataFrame:
-        function = self.function
+        function, timeout = self.function, self.timeout
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            from concurrent.futures import ThreadPoolExecutor
+
             for batch in batches:
                 replies, times, errors = [], [], []
                 for text in batch[prompt]:
                     began = time.monotonic()
+                    pool = ThreadPoolExecutor(1)  # one that hangs is left behind
                     try:
-                        replies.append(function(text))
+                        replies.append(pool.submit(function, text).result(timeout))
                         times.append((time.monotonic() - began) * 1000)
                         errors.append(None)
                     except Exception as e:  # noqa: BLE001
                         replies.append("")
                         times.append(0.0)
-                        errors.append(str(e))
+                        errors.append(str(e) or type(e).__name__)
+                    pool.shutdown(wait=False)
                 yield batch.assign(reply=replies, duration_ms=times, error=errors)
 
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-        return rows.repartition(self.parallel).mapInPandas(run, f"{fields}, reply string, duration_ms double, error string")
+        dealt = rows.repartition(self.parallel) if self.parallel else rows
+        return dealt.mapInPandas(run, f"{fields}, reply string, duration_ms double, error string")
+
+
+def chat_request(model: str, system: str, temperature: float = 0.3) -> Callable[[str], dict]:
+    """The request body of a chat completion for a prompt."""
+    return lambda prompt: {
+        "model": model,
+        "messages": [{"role": "system", "content": system}, {"role": "user", "content": prompt}],
+        "temperature": temperature,
+        "stream": False,
+    }
 
 
 @F.pandas_udf(T.BooleanType())
@@ -82,3 +99,25 @@ def two_sided_p(z: pd.Series) -> pd.Series:
     import math
 
     return z.map(lambda x: None if x is None or x != x else math.erfc(abs(x) / math.sqrt(2)))
+
+
+@F.pandas_udf(T.DoubleType())
+def signed_rank_p(n: pd.Series, w: pd.Series, ties: pd.Series, z: pd.Series) -> pd.Series:
+    """Two-sided p of a signed-rank sum: exact for at most 50 differences of
+    different sizes, else normal; null where there is no z."""
+    import math
+
+    def exact(size: int, least: int) -> float:
+        ways = [1] + [0] * (size * (size + 1) // 2)
+        for rank in range(1, size + 1):
+            for total in range(len(ways) - 1, rank - 1, -1):
+                ways[total] += ways[total - rank]
+        return min(1.0, 2 * sum(ways[: least + 1]) / 2**size)
+
+    out = []
+    for size, least, tied, x in zip(n, w, ties, z, strict=True):
+        if x is None or x != x:
+            out.append(None)
+        else:
+            out.append(exact(int(size), int(least)) if size <= 50 and tied == 0 else math.erfc(abs(x) / math.sqrt(2)))
+    return pd.Series(out, dtype="float64")

@@ -6,7 +6,9 @@ and counted by ``outcome``.  Write a step's result before the next one reads it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import chat, text, verdicts
@@ -51,26 +53,34 @@ def blind_order(samples: DataFrame, seed: int = 42) -> DataFrame:
     return samples.withColumn("a_is_baseline", mersenne_coin(F.col("sample_index") + seed))
 
 
-def judge(samples: DataFrame, responder: Responder, template: str, attempts: int = 2) -> DataFrame:
-    """(sample_index, baseline_scores, candidate_scores) of samples with both outputs.
+def judge(samples: DataFrame, responder: Responder, template: str, attempts: int = 2, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Scores (sample_index, baseline_scores, candidate_scores) of samples with both
+    outputs, and the replies (sample_index, attempt, raw_response) that don't parse.
 
-    A reply that doesn't parse is asked for again; a failed call is not.
+    Only rows whose reply doesn't parse are asked about again; a failed call,
+    with an empty reply, is not.  With a ``folder`` each attempt's replies are
+    written there before they are used, so that no call is made twice.
     """
-    ordered = blind_order(samples)
     first = F.col("a_is_baseline")
     values = {
         "raw_transcript": F.col("raw_transcript"), "gold_label": F.col("gold_label"), "custom_vocabulary": F.col("custom_vocabulary"),
         "output_a": F.when(first, F.col("baseline_output")).otherwise(F.col("candidate_output")),
         "output_b": F.when(first, F.col("candidate_output")).otherwise(F.col("baseline_output")),
     }
-    rows = ordered.withColumn("prompt", text.render(template, **values)).withColumn("replies", F.array().cast("array<string>"))
-    for _ in range(attempts):
-        answered = responder.respond(rows, "prompt")
-        more = F.when(verdicts.first_reply(F.col("replies")).isNull() & F.col("reply").isNotNull(), F.array("reply")).otherwise(F.array().cast("array<string>"))
-        rows = answered.withColumn("replies", F.concat("replies", more)).select(*rows.columns)
-    parsed = rows.withColumn("parsed", verdicts.first_reply(F.col("replies"))).where("parsed is not null")
-    scores = verdicts.map_back(first, F.col("parsed"))
-    return parsed.select("sample_index", *(c.alias(k) for k, c in scores.items()))
+    rows = blind_order(samples).withColumn("prompt", text.render(template, **values))
+    columns, done, failed = rows.columns, [], []
+    for k in range(attempts):
+        answered = responder.respond(rows, "prompt").where(F.coalesce("reply", F.lit("")) != "").select(*columns, "reply")
+        if folder is not None:
+            answered.write.mode("overwrite").parquet(f"{folder}/attempt{k}")
+            answered = samples.sparkSession.read.schema(answered.schema).parquet(f"{folder}/attempt{k}")
+        parsed = answered.withColumn("parsed", verdicts.judge_reply("reply"))
+        scores = verdicts.map_back(first, F.col("parsed"))
+        done.append(parsed.where("parsed is not null").select("sample_index", *(c.alias(n) for n, c in scores.items())))
+        bad = parsed.where("parsed is null")
+        failed.append(bad.select("sample_index", F.lit(k).alias("attempt"), F.col("reply").alias("raw_response")))
+        rows = bad.select(*columns)
+    return reduce(DataFrame.unionAll, done), reduce(DataFrame.unionAll, failed)
 
 
 def outcome(given: DataFrame, got: DataFrame, key: str) -> DataFrame:
@@ -82,7 +92,3 @@ def outcome(given: DataFrame, got: DataFrame, key: str) -> DataFrame:
 def preview(rows: DataFrame, prompt: str = "prompt", chars: int = 500) -> DataFrame:
     """A dry run: the first characters of each prompt, nothing called."""
     return rows.withColumn(prompt, F.substring(prompt, 1, chars))
-
-
-def duration(column: str) -> Column:
-    return F.coalesce(F.col(column), F.lit(0.0))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +13,7 @@ from ..operators import dataset, evaluation, reports, select, upsert
 from ..sources import jsonl, sinks
 from ..sources import text as text_source
 from ..streaming import ingest
-from .standins import LABELED_SQL, LOG_SQL, MODEL, PROMPT, SCORES_SQL, labeled_rows, load, log_rows, score_maps
+from .standins import LABELED_SQL, LOG_SQL, MODEL, PROMPT, SCORES_SQL, labeled_rows, load, log_rows, score_maps, work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -73,9 +72,8 @@ r AS (SELECT doc_id, gram, count(*) AS n FROM g GROUP BY 1, 2 HAVING count(*) >
 SELECT doc_id, count(*)::BIGINT AS repeated, sum(n)::BIGINT AS places FROM r GROUP BY doc_id
 """)
 def ngram_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grams = load(spark, sf_dir, "documents").select("doc_id", F.explode(text.repeated_ngrams("text")).alias("gram"))
-    repeated = grams.groupBy("doc_id", "gram").agg(F.count("*").alias("n")).where("n > 1")
-    return repeated.groupBy("doc_id").agg(F.count("*").alias("repeated"), F.sum("n").alias("places"))
+    rows = load(spark, sf_dir, "documents").select("doc_id", text.ngram_repeats("text").alias("r"))
+    return rows.select("doc_id", "r.repeated", "r.places").where("repeated > 0")
 
 
 # ---- requests and logs ----
@@ -256,21 +254,11 @@ def failures_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert.failures_by_type(select.open_failures(labeled_rows(spark, sf_dir)))
 
 
-@query(f"""WITH {LABELED_SQL}
-SELECT request_id, coalesce(nullif(substr(label, 1, 80), ''), '(no label)') AS label, coalesce(status, 'not validated') AS status, reason
-FROM labeled_v WHERE status = 'fail'""")
-def inspect_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = select.all_failures(labeled_rows(spark, sf_dir))
-    label = text.or_else(F.substring("label", 1, 80), "(no label)")
-    status = F.coalesce("validation.status", F.lit("not validated"))
-    return rows.select("request_id", label.alias("label"), status.alias("status"), F.col("validation.reason").alias("reason"))
-
-
 @query(f"""WITH {LABELED_SQL}
 SELECT request_id, coalesce(nullif({_STRIP.format("label")}, ''), '(failed to extract)') AS transcript, coalesce(nullif(label, ''), '(no label)') AS label,
        upper(status) || ' ' || type || ' ' || reason AS verdict
 FROM labeled_v WHERE status = 'fail'""")
-def inspect_failed_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+def inspect_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole transcripts and labels of failed records, here the same text."""
     content = chat.system_text(F.lit(PROMPT), F.lit(""), F.lit(""))
     request = chat.envelope(content, chat.transcript_text(F.coalesce("label", F.lit(""))), MODEL)
@@ -297,15 +285,8 @@ def render_label_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_rows(spark, sf_dir).select("request_id", text.render(template, **parts).alias("prompt"))
 
 
-@query("""SELECT doc_id, 'Gold: ' || left(text, 40) || chr(10) || 'A: {label} ' || source || chr(10) || 'Reply {"output_a": {}}' AS prompt FROM documents""")
-def render_judge_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    template = 'Gold: {gold}\nA: {a}\nReply {{"output_a": {{}}}}'
-    prompt = text.render(template, gold=F.substring("text", 1, 40), a=F.concat(F.lit("{label} "), "source"))
-    return load(spark, sf_dir, "documents").select("doc_id", prompt.alias("prompt"))
-
-
 @query("""SELECT doc_id, 'Gold: ' || coalesce(text, '') || chr(10) || 'A: {label} ' || source || chr(10) || 'Reply {"output_a": {}}' AS prompt FROM documents""")
-def render_judge_prompt_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+def render_judge_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prompts with the whole text as gold label."""
     template = 'Gold: {gold}\nA: {a}\nReply {{"output_a": {{}}}}'
     prompt = text.render(template, gold=F.coalesce("text", F.lit("")), a=F.concat(F.lit("{label} "), "source"))
@@ -449,8 +430,7 @@ def _weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _diffs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pos = F.row_number().over(Window.orderBy("doc_id")) - 1
-    return _weighted(spark, sf_dir).select(pos.cast("long").alias("pos"), (F.col("candidate_weighted") - F.col("baseline_weighted")).alias("d"))
+    return evaluation.differences(_weighted(spark, sf_dir), "doc_id")
 
 
 @query(f"WITH {SCORES_SQL} SELECT doc_id, baseline_weighted, candidate_weighted FROM weighted_v")
@@ -486,30 +466,31 @@ def latency_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH a AS (SELECT event_type, avg(value) FILTER (value <> 0) AS v FROM events GROUP BY 1)
-SELECT x.event_type AS baseline, y.event_type AS candidate, round(CASE WHEN y.v = 0 THEN 0 ELSE x.v / y.v END, 6) AS ratio
+SELECT x.event_type AS baseline, y.event_type AS candidate, round(CASE WHEN round(y.v, 1) = 0 THEN 0 ELSE round(x.v, 1) / round(y.v, 1) END, 2) AS ratio
 FROM a x JOIN a y ON x.event_type < y.event_type
 """)
 def speed_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     means = evaluation.latency(load(spark, sf_dir, "events"), "value", ["event_type"]).select("event_type", "avg")
     left, right = means.toDF("baseline", "b"), means.toDF("candidate", "c")
     pairs = left.join(right, F.col("baseline") < F.col("candidate"))
-    return pairs.select("baseline", "candidate", F.round(evaluation.speed_ratio(F.col("b"), F.col("c")), 6).alias("ratio"))
-
+    return pairs.select("baseline", "candidate", evaluation.speed_ratio(F.col("b"), F.col("c")).alias("ratio"))
 
-_TWO = "(SELECT event_type, row_number() OVER (ORDER BY event_type) AS k FROM (SELECT DISTINCT event_type FROM events))"
 
-
-@query(f"""
-WITH t AS {_TWO},
-a AS (SELECT value, row_number() OVER (ORDER BY value) AS rank FROM events WHERE value <> 0 AND event_type = (SELECT event_type FROM t WHERE k = 1)),
-b AS (SELECT value, row_number() OVER (ORDER BY value) AS rank FROM events WHERE value <> 0 AND event_type = (SELECT event_type FROM t WHERE k = 2))
-SELECT a.rank::INT AS rank, a.value AS a, b.value AS b FROM a JOIN b USING (rank)
+@query("""
+WITH t AS (SELECT event_type, lead(event_type) OVER (ORDER BY event_type) AS next FROM (SELECT DISTINCT event_type FROM events)),
+v AS (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY value) AS rank FROM events WHERE value <> 0)
+SELECT t.event_type AS baseline, a.rank::BIGINT AS rank, a.value AS a, b.value AS b
+FROM t JOIN v a ON a.event_type = t.event_type JOIN v b ON b.event_type = t.next AND b.rank = a.rank
 """)
 def rank_paired_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = load(spark, sf_dir, "events").where("value <> 0")
-    kinds = [r["event_type"] for r in events.select("event_type").distinct().orderBy("event_type").limit(2).collect()]
-    sides = [events.where(F.col("event_type") == k) for k in kinds]
-    return evaluation.rank_paired(sides[0], sides[1], "value")
+    """Every event type next to the one after it in alphabetical order."""
+    events = load(spark, sf_dir, "events").where("value <> 0").select("event_type", "value")
+    # the names of event types are a handful
+    types = load(spark, sf_dir, "events").select("event_type").distinct()
+    after = types.select("event_type", F.lead("event_type").over(Window.orderBy("event_type")).alias("after"))
+    placed = evaluation.ranked(events, "value", ["event_type"])
+    left = placed.join(F.broadcast(after), "event_type").select(F.col("event_type").alias("baseline"), F.col("after").alias("event_type"), "rank", F.col("value").alias("a"))
+    return left.join(placed.withColumnRenamed("value", "b"), ["event_type", "rank"]).select("baseline", "rank", "a", "b")
 
 
 _WILSON = """round(({p} + 3.8416 / (2 * n) {sign} 1.96 * sqrt({p} * (1 - {p}) / n + 3.8416 / (4 * n * n))) / (1 + 3.8416 / n), 6)"""
@@ -537,45 +518,28 @@ def wilcoxon_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.withColumn("z", F.round("z", 6))
 
 
-_DRAW = "('0x' || substr(md5('42:' || draw || ':' || pos), 1, 8))::BIGINT"
+_PICK = "('0x' || substr(md5('42:' || (draw // 4) || ':' || pos), 1 + 8 * (draw % 4), 8))::BIGINT"
+_SIGN = "CASE WHEN ('0x' || substr(md5('42:' || (draw // 32) || ':' || pos), 1 + draw % 32, 1))::BIGINT % 2 = 1 THEN -1 ELSE 1 END"
 
 
 @query(f"""WITH {SCORES_SQL}, n AS (SELECT count(*) AS n FROM diffs_v),
-g AS (SELECT draw, {_DRAW} % n AS pick FROM (SELECT unnest(range(200)) AS draw), diffs_v, n),
-m AS (SELECT draw, avg(d) AS mean FROM g JOIN diffs_v ON diffs_v.pos = g.pick GROUP BY draw),
-o AS (SELECT mean, row_number() OVER (ORDER BY mean) AS k FROM m)
-SELECT round(min(mean) FILTER (k = 6), 6) AS low, round(min(mean) FILTER (k = 195), 6) AS high FROM o""")
-def bootstrap_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ci = evaluation.bootstrap_ci(spark, _diffs(spark, sf_dir), 200, portable=True)
-    return ci.select(F.round("low", 6).alias("low"), F.round("high", 6).alias("high"))
-
-
-@query(f"""WITH {SCORES_SQL}, x AS (SELECT pos, round(d * 10)::BIGINT AS d FROM diffs_v),
-s AS (SELECT draw, abs(sum(d * CASE WHEN {_DRAW} % 2 = 0 THEN 1 ELSE -1 END)) AS s, abs(sum(d)) AS o FROM (SELECT unnest(range(200)) AS draw), x GROUP BY draw)
-SELECT count(*) FILTER (s >= o)::BIGINT AS hits, count(*) FILTER (s >= o) / 200.0::DOUBLE AS p FROM s""")
-def permutation_p(spark: SparkSession, sf_dir: str) -> DataFrame:
-    diffs = _diffs(spark, sf_dir).select("pos", F.round(F.col("d") * 10).cast("long").alias("d"))
-    return evaluation.permutation_p(spark, diffs, 200, portable=True).select("hits", "p")
-
-
-@query(f"""WITH {SCORES_SQL}, n AS (SELECT count(*) AS n FROM diffs_v),
-g AS (SELECT draw, {_DRAW} % n AS pick FROM (SELECT unnest(range(10000)) AS draw), diffs_v, n),
+g AS (SELECT draw, {_PICK} % n AS pick FROM (SELECT unnest(range(10000))::INT AS draw), diffs_v, n),
 m AS (SELECT draw, avg(d) AS mean FROM g JOIN diffs_v ON diffs_v.pos = g.pick GROUP BY draw),
 o AS (SELECT mean, row_number() OVER (ORDER BY mean) AS k FROM m)
 SELECT round(min(mean) FILTER (k = 251), 6) AS low, round(min(mean) FILTER (k = 9750), 6) AS high FROM o""")
-def bootstrap_ci_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bootstrap_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The interval of all 10,000 draws of the original."""
-    ci = evaluation.bootstrap_ci(spark, _diffs(spark, sf_dir), portable=True)
+    ci = evaluation.bootstrap_ci(spark, _diffs(spark, sf_dir))
     return ci.select(F.round("low", 6).alias("low"), F.round("high", 6).alias("high"))
 
 
 @query(f"""WITH {SCORES_SQL}, x AS (SELECT pos, round(d * 10)::BIGINT AS d FROM diffs_v),
-s AS (SELECT draw, abs(sum(d * CASE WHEN {_DRAW} % 2 = 0 THEN 1 ELSE -1 END)) AS s, abs(sum(d)) AS o FROM (SELECT unnest(range(10000)) AS draw), x GROUP BY draw)
+s AS (SELECT draw, abs(sum(d * {_SIGN})) AS s, abs(sum(d)) AS o FROM (SELECT unnest(range(10000))::INT AS draw), x GROUP BY draw)
 SELECT count(*) FILTER (s >= o)::BIGINT AS hits, count(*) FILTER (s >= o) / 10000.0::DOUBLE AS p FROM s""")
-def permutation_p_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+def permutation_p(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The p value of all 10,000 draws of the original."""
     diffs = _diffs(spark, sf_dir).select("pos", F.round(F.col("d") * 10).cast("long").alias("d"))
-    return evaluation.permutation_p(spark, diffs, portable=True).select("hits", "p")
+    return evaluation.permutation_p(spark, diffs).select("hits", "p")
 
 
 _VETO = " ".join(
@@ -597,16 +561,27 @@ def winner_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select("grp", verdicts.winner(F.round("baseline", 1), F.round("candidate", 1), *dims).alias("winner"))
 
 
+_DIM_MEANS = ", ".join(f"round({side}_{d}, 6) AS {side}_{d}" for d in verdicts.WEIGHTS for side in ("baseline", "candidate"))
+_LATENCY = """l{s} AS (SELECT round(avg(v), 6) AS {s}_latency_avg, round(quantile_cont(v, 0.5), 6) AS {s}_latency_p50,
+  round(quantile_cont(v, 0.9), 6) AS {s}_latency_p90, round(quantile_cont(v, 0.99), 6) AS {s}_latency_p99 FROM (SELECT {v} AS v FROM documents) WHERE v <> 0)"""
+_DURATIONS = {"baseline": "n_chars / 4.0::DOUBLE", "candidate": "(n_chars % 97) * 8.0::DOUBLE"}
+
+
 @query(f"""WITH {SCORES_SQL}, g AS (SELECT count(*) AS n_samples, avg(baseline_weighted) AS b, avg(candidate_weighted) AS c,
   count(*) FILTER (baseline_weighted > candidate_weighted) AS wb, count(*) FILTER (candidate_weighted > baseline_weighted) AS wc,
-  count(*) FILTER (candidate_weighted = baseline_weighted) AS wt, {_MEANS} FROM weighted_v), h AS (SELECT *, (wb + wc)::DOUBLE AS n, wc::DOUBLE AS w FROM g)
+  count(*) FILTER (candidate_weighted = baseline_weighted) AS wt, {_MEANS} FROM weighted_v), h AS (SELECT *, (wb + wc)::DOUBLE AS n, wc::DOUBLE AS w FROM g),
+{", ".join(_LATENCY.format(s=s, v=v) for s, v in _DURATIONS.items())}
 SELECT n_samples::BIGINT AS n_samples, round(b, 6) AS baseline_avg_score, round(c, 6) AS candidate_avg_score, wb::BIGINT AS wins_baseline,
-  wc::BIGINT AS wins_candidate, wt::BIGINT AS wins_tie, {_WILSON.format(p='(w / n)', sign='-')} AS win_low, {_WILSON.format(p='(w / n)', sign='+')} AS win_high,
-  {_WINNER} AS winner FROM h""")
+  wc::BIGINT AS wins_candidate, wt::BIGINT AS wins_tie, {_WILSON.format(p='(w / n)', sign='-')} AS win_low,
+  {_WILSON.format(p='(w / n)', sign='+')} AS win_high, {_WINNER} AS winner, {_DIM_MEANS}, lbaseline.*, lcandidate.*,
+  round(round(baseline_latency_avg, 1) / round(candidate_latency_avg, 1), 2) AS speed_ratio FROM h, lbaseline, lcandidate""")
 def eval_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    row = evaluation.summary(score_maps(load(spark, sf_dir, "documents")))
-    rounded = [F.round(c, 6).alias(c) for c in ("baseline_avg_score", "candidate_avg_score", "win_low", "win_high")]
-    return row.select("n_samples", *rounded, "wins_baseline", "wins_candidate", "wins_tie", "winner")
+    """The whole summary but for what other queries hold: the interval, and p values, which SQL lacks."""
+    docs = load(spark, sf_dir, "documents")
+    sides = [docs.select(F.expr(f"({v.replace('::DOUBLE', 'D')})").alias("duration_ms")) for v in _DURATIONS.values()]
+    row = evaluation.whole_summary(spark, score_maps(docs), *sides, "doc_id", as_reported=False)
+    row = row.withColumns({f.name: F.round(f.name, 6) for f in row.schema if f.dataType.typeName() == "double"})
+    return row.drop("gap_low", "gap_high", "overall_p_value", "latency_p_value", "winner_reason", *(f"p_{d}" for d in verdicts.WEIGHTS))
 
 
 # ---- registries, versions, streams ----
@@ -646,9 +621,9 @@ def stream_ingest_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet")
     one = stream.parquet(path if _is_folder(spark, path) else f"{sf_dir}/events.parquet*")
     twice = one.union(one)
-    kept = ingest.deduplicated(twice, "event_id", "ts", "3650 days").select("event_id", "event_type")
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="talkloom-")
-    out = f"{base}/stream-{spark.sparkContext.applicationId}-{id(kept)}"
+    # both copies come in one batch, so keys need not be held longer than that
+    kept = ingest.deduplicated(twice, "event_id", "ts", "1 day").select("event_id", "event_type")
+    out = work_folder(spark)
     run = kept.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start()
     run.awaitTermination()
     return spark.read.schema("event_id long, event_type string").parquet(f"{out}/rows")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import jobs  # noqa: F401  (adds its queries)
 from .parity import QUERIES, SQL
 
 

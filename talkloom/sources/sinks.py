@@ -10,9 +10,9 @@ def append_json(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").json(path)
 
 
-def failed_replies(judged: DataFrame, path: str) -> None:
-    """Append replies that didn't parse, for later inspection."""
-    append_json(judged.where("parsed is null").select("sample_index", "attempt", "raw_response"), path)
+def failed_replies(replies: DataFrame, path: str) -> None:
+    """Append replies (sample_index, attempt, raw_response) that didn't parse, for later inspection."""
+    append_json(replies.select("sample_index", "attempt", "raw_response"), path)
 
 
 def write_version(rows: DataFrame, base: str, version: int) -> str:
@@ -58,3 +58,11 @@ def next_version(names: DataFrame, stem: str) -> DataFrame:
     own = names.where(F.startswith("name", F.lit(f"{stem}.v")))
     number = F.expr(r"try_cast(regexp_extract(name, '\\.v([0-9]+)\\.[^.]*$', 1) as int)")
     return own.agg((F.coalesce(F.max(number), F.lit(0)) + 1).alias("next_v"))
+
+
+def backup_name(names: DataFrame, stem: str, extension: str = "gguf") -> DataFrame:
+    """One row (name, backup) if a current, unversioned file of the stem exists; full-precision
+    files (``BF16``) and versioned names are no current ones."""
+    current = names.where((F.col("name") == f"{stem}.{extension}") & ~F.contains("name", F.lit("BF16")) & ~F.col("name").rlike(r"\.v[0-9]+\."))
+    numbered = current.distinct().crossJoin(next_version(names, stem))
+    return numbered.select("name", F.concat(F.lit(f"{stem}.v"), F.col("next_v").cast("string"), F.lit(f".{extension}")).alias("backup"))

@@ -89,6 +89,8 @@ def test_latency_and_wilcoxon(spark):
     stats = evaluation.latency(spark.createDataFrame([(1.0,), (2.0,), (4.0,), (0.0,)], "d double"), "d").first()
     assert abs(stats["p90"] - 3.6) < 1e-9 and abs(stats["avg"] - 7 / 3) < 1e-9
     assert evaluation.latency(spark.createDataFrame([(0.0,)], "d double"), "d").first()["p50"] == 0.0
+    many = spark.range(1, 1001).select(F.col("id").cast("double").alias("d"))
+    assert abs(evaluation.latency(many, "d", accuracy=1000).first()["p90"] - evaluation.latency(many, "d").first()["p90"]) <= 2
     diffs = [1, -2, 2, 3, -3, 3, 4, 5, 0, 6, 7, -1]
     row = evaluation.with_p(evaluation.wilcoxon(spark.createDataFrame([(float(d),) for d in diffs], "d double"))).first()
     sizes = sorted(abs(d) for d in diffs if d)

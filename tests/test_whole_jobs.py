@@ -11,28 +11,29 @@ from test_queries import DATA
 from talkloom.plans import parity, registry
 
 
-def drawn(n: int) -> np.ndarray:
-    """The random integers (10,000 x n) of all draws."""
-    return np.array([[int(hashlib.md5(f"42:{k}:{i}".encode()).hexdigest()[:8], 16) for i in range(n)] for k in range(10_000)])
+def digits(n: int, each: int) -> list[list[str]]:
+    """MD5 digests of all differences for every block of draws."""
+    return [[hashlib.md5(f"42:{k}:{i}".encode()).hexdigest() for i in range(n)] for k in range(-(-10_000 // each))]
 
 
 def test_resampling_takes_all_draws(spark):
     d = np.array([r["d"] for r in parity._diffs(spark, DATA).orderBy("pos").collect()])
-    numbers = drawn(len(d))
-    means = np.sort(d[numbers % len(d)].mean(axis=1))
-    ci = registry.queries()["bootstrap_ci_whole"](spark, DATA).first()
-    assert (ci["low"], ci["high"]) == pytest.approx((means[250], means[9749]), abs=2e-6)
+    picks = np.array([[int(x[8 * j : 8 * j + 8], 16) for x in block] for block in digits(len(d), 4) for j in range(4)])
+    means = np.sort(d[picks % len(d)].mean(axis=1))
+    ci = registry.queries()["bootstrap_ci"](spark, DATA).first()
+    assert picks.shape[0] == 10_000 and (ci["low"], ci["high"]) == pytest.approx((means[250], means[9749]), abs=2e-6)
+    signs = np.array([[-1 if int(x[j], 16) % 2 else 1 for x in block] for block in digits(len(d), 32) for j in range(32)])[:10_000]
     tenths = np.round(d * 10).astype(int)
-    hits = int((abs((tenths * np.where(numbers % 2 == 0, 1, -1)).sum(axis=1)) >= abs(tenths.sum())).sum())
-    p = registry.queries()["permutation_p_whole"](spark, DATA).first()
+    hits = int((abs((tenths * signs).sum(axis=1)) >= abs(tenths.sum())).sum())
+    p = registry.queries()["permutation_p"](spark, DATA).first()
     assert (p["hits"], p["p"]) == (hits, pytest.approx(hits / 10_000))
 
 
 def test_prompts_and_inspections_hold_whole_texts(spark):
     texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
-    prompts = registry.queries()["render_judge_prompt_whole"](spark, DATA).collect()
+    prompts = registry.queries()["render_judge_prompt"](spark, DATA).collect()
     assert len(prompts) == len(texts) and all(f"Gold: {texts[r['doc_id']]}\nA: " in r["prompt"] for r in prompts)
-    failed = registry.queries()["inspect_failed_whole"](spark, DATA).collect()
+    failed = registry.queries()["inspect_failed"](spark, DATA).collect()
     assert any(len(r["label"]) > 80 for r in failed)
     for r in failed:
         assert r["label"] == (texts[int(r["request_id"])] or "(no label)")
