@@ -13,9 +13,8 @@ NFC, words cut by the pattern below, byte-level symbols, word-end suffix.
 
 Defined cases: null text counts as empty (no tokens, empty decoding); strings
 of special tokens inside a text become their ids; repeated rows are encoded
-alike; a very long word takes memory in
-proportion to its length; an empty table gives an
-empty result.  Only the id and text columns are read.
+alike; texts of any length are encoded whole, a very long word taking memory in
+proportion to its length; an empty table gives an empty result.  Only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -29,6 +28,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,9 +51,11 @@ def byte_symbols() -> list[str]:
 class WordBpe:
     """Encoder and decoder of one word-level BPE tokenizer file."""
 
-    def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+    def __init__(self, path: str, content: str | None = None):
+        if content is None:
+            with open(path, encoding="utf-8") as f:
+                content = f.read()
+        spec = json.loads(content)
         model = spec["model"]
         self.suffix: str = model["end_of_word_suffix"] or ""
         vocab: dict[str, int] = model["vocab"]
@@ -236,10 +238,10 @@ class WordBpe:
 _LOADED: dict[str, WordBpe] = {}
 
 
-def loaded(path: str) -> WordBpe:
-    """The tokenizer of a file, kept by the worker between tasks."""
+def loaded(path: str, content: Broadcast) -> WordBpe:
+    """The tokenizer of a file that the driver read, kept by the worker between tasks."""
     if path not in _LOADED:
-        _LOADED[path] = WordBpe(path)
+        _LOADED[path] = WordBpe(path, content.value)
     return _LOADED[path]
 
 
@@ -249,13 +251,16 @@ def encode_texts(
     """Encode and decode every whole text: one row per document, a map without a shuffle.
 
     Gives (id, n_tokens, ids_sha256, decoded_sha256), and with ``with_ids`` the
-    ids and the decoded text themselves.
+    ids and the decoded text themselves.  Only the driver opens the file; it is
+    sent to workers, a few MB.
     """
+    with open(path, encoding="utf-8") as f:
+        content = docs.sparkSession.sparkContext.broadcast(f.read())
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = source.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = loaded(path)
+        bpe = loaded(path, content)
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)

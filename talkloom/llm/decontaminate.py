@@ -9,13 +9,16 @@ whose lists are short; only alignments on which both agree meet the lists of
 the other terms.
 
 All steps are DataFrame operations.  Postings are keyed by document and place
-before they are shuffled, so no frequent term gathers in one task.
-
-Defined cases: null or word-less text has no words and no hits; an item
-without words is ignored; items are told apart by row, hits by item_id (null
-ids don't count); document rows that repeat get one result row each, with
-equal results for equal id and text; empty tables give no hits or no rows.
-Only the id and text columns are read.
+before they are shuffled, and tokens that meet a large vocabulary by term and a
+salt, so no frequent term gathers in one task.
+
+Defined cases: null or word-less text has no words and no hits; texts of any
+length are indexed whole; an item without words is ignored; items are told
+apart by row, hits by item_id (null ids don't count); among terms that are
+equally rare the first place in the window is the anchor, which changes no
+result; document rows that repeat get one result row each, with equal results
+for equal id and text; empty tables give no hits or no rows.  Only the id and
+text columns are read.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import broadcast_if_small, shared_folder, stored
+from .common import BROADCAST_ROWS, broadcast_if_small, shared_folder, stored
 
 #: ASCII that separates words once A-Z are lower-cased.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -33,6 +36,11 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 KEY = ["doc_id", "copy"]
 
 
+#: Terms up to which the vocabulary is broadcast, and salts of each term beyond that.
+VOCABULARY_ROWS = BROADCAST_ROWS
+SALTS = 64
+
+
 def words(text: Column) -> Column:
     """Array of words; only A-Z are lower-cased, also in texts with other letters."""
     low = F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(
@@ -69,8 +77,8 @@ class Phrases:
 def build_index(docs: DataFrame, phrases: Phrases, folder: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Store the postings (term_id, doc_id, copy, pos) of all documents.
 
-    One pass over the corpus without a shuffle while the vocabulary is small
-    enough to broadcast.  The length of a document is a posting of its own.
+    One pass over the corpus, without a shuffle while the vocabulary has no more
+    than VOCABULARY_ROWS terms, else with one by term and salt.  The length of a document is a posting of its own.
     """
     text = F.col(text_col)
     tokens = docs.select(
@@ -78,8 +86,13 @@ def build_index(docs: DataFrame, phrases: Phrases, folder: str, id_col: str = "d
         F.xxhash64(text, F.col(id_col).isNull()).alias("copy"),
         F.posexplode(F.array_append(words(text), F.lit(""))).alias("pos", "term"),
     )
-    vocabulary = broadcast_if_small(phrases.vocabulary, phrases.n_terms)
-    return stored(tokens.join(vocabulary, "term").select("term_id", "doc_id", "copy", "pos"), f"{folder}/index")
+    if phrases.n_terms <= VOCABULARY_ROWS:
+        known = tokens.join(F.broadcast(phrases.vocabulary), "term")
+    else:
+        salted = tokens.withColumn("salt", F.pmod(F.xxhash64("copy", "pos"), F.lit(SALTS)))
+        every_salt = phrases.vocabulary.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+        known = salted.join(every_salt, ["term", "salt"])
+    return stored(known.select("term_id", "doc_id", "copy", "pos"), f"{folder}/index")
 
 
 def anchor_pairs(index: DataFrame, phrases: Phrases) -> DataFrame:

@@ -61,7 +61,10 @@ def brute_hits(docs, items, width=10):
     return sorted(out, key=repr)
 
 
-def test_contamination_matches_brute_force(spark, edge):
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_contamination_matches_brute_force(spark, edge, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(decontaminate, "VOCABULARY_ROWS", 0)
     rng = random.Random(3)
     texts = [" ".join(rng.choice("abc") for _ in range(rng.randint(0, 60))) for _ in range(40)]
     items = [(1, texts[0]), (2, "A b, c"), (3, None), (3, ""), (11, texts[1][:50]), (11, texts[2]), (None, texts[3]), (4, "mit license"), (5, "W w w w w w w w w w w")]
