@@ -206,8 +206,11 @@ class Scores:
     counts: np.ndarray  # letters of each segment
 
 
-def score_texts(texts: list[bytes], trees: Trees) -> Scores:
-    """Scores of whole texts, zero for empty ones.  Data larger than a chunk go in pieces."""
+def score_texts(texts: list[bytes], trees: Trees, letters: bool = True) -> Scores:
+    """Scores of whole texts, zero for empty ones, of letters only if asked for.
+
+    Data larger than a chunk go in pieces.
+    """
     sizes = np.array([len(t) for t in texts], np.int64)
     n_segments = -(-sizes // SEGMENT)
     owner = np.repeat(np.arange(len(texts)), n_segments)
@@ -236,6 +239,8 @@ def score_texts(texts: list[bytes], trees: Trees) -> Scores:
         first, last = np.searchsorted(seg_ends, lo, "right"), np.searchsorted(segments, hi, "left")
         cuts = np.maximum(segments[first:last] - lo, 0)
         bits_of[first:last] += np.add.reduceat(bits, cuts, axis=0, dtype=np.float64)
+        if not letters:
+            continue
         letter = letters_of_words(data[max(0, lo - 1) : hi + 1])[lo > 0 : (lo > 0) + hi - lo]
         bits[~letter] = 0
         letters_of[first:last] += np.add.reduceat(bits, cuts, axis=0, dtype=np.float64)
@@ -366,7 +371,7 @@ def predict(
         frozen = model.value
         for batch in batches:
             texts = raw_texts_of(batch)
-            found = score_texts([t or b"" for t in texts], frozen)
+            found = score_texts([t or b"" for t in texts], frozen, letters=frozen.limits is not None)
             fits = known_texts(found, len(texts), frozen.limits)
             names, scores, rates, known = [], [], [], []
             for raw, row, fit_ in zip(texts, found.whole, fits.tolist(), strict=True):
