@@ -342,13 +342,13 @@ _BIT_COUNTS = np.array([bin(i).count("1") for i in range(256)], np.uint16)
 
 def block_links(rest: DataFrame, prints: DataFrame, least: float) -> DataFrame:
     """Links (a, b) of documents outside their list's main component, ``rest``
-    being the rows (key, doc, label, main, n) of lists.
+    being the rows (key, doc, label, main, list_size) of lists.
 
     A list is cut into blocks of about BLOCK documents with their fingerprints;
     each block's outside documents meet every block of the list, so rows of the
     join are pairs of blocks, and only links leave it.
     """
-    placed = rest.withColumn("n_blocks", F.ceil(F.col("n") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("doc", F.lit(7)), F.col("n_blocks")))
+    placed = rest.withColumn("n_blocks", F.ceil(F.col("list_size") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("doc", F.lit(7)), F.col("n_blocks")))
     placed = placed.join(prints, "doc").select("key", "block", "n_blocks", "main", F.struct("doc", "label", "fingerprint").alias("x"))
     every = placed.groupBy("key", F.col("block").alias("other")).agg(F.collect_list("x").alias("ys"))
     outside = placed.where("x.label <> main").groupBy("key", "block", "n_blocks").agg(F.collect_list("x").alias("xs"))

@@ -42,7 +42,7 @@ def connected(
     turn: Callable[[int], Column],
     may_meet: Column,
     last: Callable[[DataFrame], DataFrame] | None = None,
-    rounds: int = ROUNDS,
+    rounds: int | None = None,
 ) -> DataFrame | None:
     """(doc, component) of the documents that verified links connect, None without any list.
 
@@ -52,8 +52,9 @@ def connected(
     ``verify`` keeps the pairs (a, b) that link.  Each round goes on from the
     components so far, and no pair is looked at twice.  ``last`` may take the
     last round's place: it gets the rows of the lists left, with main (the
-    label of the largest component) and n (the list's size), and gives links.
+    label of the largest component) and list_size, and gives links.
     """
+    rounds = ROUNDS if rounds is None else rounds
     listed = with_lists(rows, key, folder)
     sides = ["doc", *further, "label"]
     tried = labels = None
@@ -75,14 +76,14 @@ def connected(
         else:
             sizes = labelled.groupBy(key, "label").agg(F.count("*").alias("size"), F.max("parts").alias("parts"))
             main = sizes.groupBy(key).agg(
-                F.max_by("label", F.struct("size", "label")).alias("main"), F.max("parts").alias("parts"), F.sum("size").alias("n")
+                F.max_by("label", F.struct("size", "label")).alias("main"), F.max("parts").alias("parts"), F.sum("size").alias("list_size")
             )
             marked = labelled.join(for_all_parts(main), [key, "part"])
             if last is not None:
                 found = stored(last(marked), f"{folder}/links{k}")
                 labels = merge_components(labels, found, f"{folder}/cc{k}")
                 break
-            outside = marked.where("label <> main").drop("main", "n")
+            outside = marked.where("label <> main").drop("main", "list_size")
             others = labelled.select(key, "parts", F.col("part").alias("part2"), *(F.col(c).alias(f"{c}2") for c in sides))
             # one block for every two parts of a list
             blocks = outside.withColumn("part2", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")

@@ -5,10 +5,11 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 from test_text_operators import DATA
 from test_whole_walk import plain_print
 
-from talkloom.llm import fingerprint, queries
+from talkloom.llm import fingerprint, hubs, queries
 
 
 def near_pairs(prints, least):
@@ -38,7 +39,10 @@ def classes_of(spark, prints):
     return {i: i for i, _ in prints} | {r["id"]: r["near_class"] for r in rows}
 
 
-def test_near_classes_connect_all_near_pairs_of_a_bucket(spark):
+@pytest.mark.parametrize(("rounds", "block"), [(2, 1024), (0, 7), (1, 1024)])
+def test_near_classes_connect_all_near_pairs_of_a_bucket(spark, monkeypatch, rounds, block):
+    monkeypatch.setattr(hubs, "ROUNDS", rounds)
+    monkeypatch.setattr(fingerprint, "BLOCK", block)
     rng = np.random.default_rng(5)
     prints = []
     for family in range(4):

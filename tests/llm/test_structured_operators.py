@@ -11,7 +11,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from talkloom.llm import chat_format, common, components, fingerprint, ngram_join, queries, warc
+from talkloom.llm import chat_format, common, components, fingerprint, hubs, ngram_join, queries, warc
 from talkloom.llm.common import shared_folder
 
 DATA = "/root/testdata/sf0.001"
@@ -153,9 +153,11 @@ def test_ngram_join_edges(spark):
     assert ngram_join.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-@pytest.mark.parametrize("seed", [3, 4])
-def test_ngram_join_with_hot_lists_and_frequent_shingles(spark, monkeypatch, seed):
-    """Small bounds, so that lists are split into parts and shingles are known to be frequent."""
+@pytest.mark.parametrize(("seed", "rounds"), [(3, 2), (4, 0), (5, 1)])
+def test_ngram_join_with_hot_lists_and_frequent_shingles(spark, monkeypatch, seed, rounds):
+    """Small bounds, so that lists are split into parts and shingles are known to be
+    frequent; few hub rounds, so that much is left to the last round's blocks."""
+    monkeypatch.setattr(hubs, "ROUNDS", rounds)
     monkeypatch.setattr(common, "HOT_ROWS", 3)
     monkeypatch.setattr(ngram_join, "SAMPLE_PIECE", 16)
     monkeypatch.setattr(ngram_join, "SAMPLE_DOCS", 160)
