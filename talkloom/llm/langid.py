@@ -49,7 +49,9 @@ MAX_TEXTS = 400
 MAX_BYTES = 250_000
 PIECE = 30_000
 #: Bytes of text scored at once, divided among the languages.
-CHUNK = 1 << 22
+CHUNK = 1 << 20
+#: Texts scored at once.
+ROWS = 512
 #: Bytes of a segment; the segments of a text may be in different languages.
 SEGMENT = 128
 #: Lower bounds of the classes of length in letters; shorter texts are never told foreign.
@@ -369,29 +371,33 @@ def predict(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frozen = model.value
-        for batch in batches:
-            texts = raw_texts_of(batch)
-            found = score_texts([t or b"" for t in texts], frozen, letters=frozen.limits is not None)
-            fits = known_texts(found, len(texts), frozen.limits)
-            names, scores, rates, known = [], [], [], []
-            for raw, row, fit_ in zip(texts, found.whole, fits.tolist(), strict=True):
-                if not len(row) or not has_letter(raw):
-                    names.append("und")
-                    scores.append(0.0)
-                    rates.append(None)
-                    known.append(False)
-                    continue
-                best = int(row.argmin())
-                odds = np.exp2(np.maximum((row[best] - row) / len(raw) * 16, -64))
-                names.append(frozen.languages[best])
-                scores.append(float(1 / odds.sum()))
-                rates.append(float(row[best] / len(raw)))
-                known.append(fit_)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), *(batch.column(f"k_{n}") for n in kept), pa.array(names, pa.string()),
-                 pa.array(scores, pa.float64()), pa.array(rates, pa.float64()), pa.array(known, pa.bool_())],
-                names=names_out,
-            )
+        for whole in batches:
+            for lo in range(0, whole.num_rows, ROWS):
+                yield one(whole.slice(lo, ROWS), frozen)
+
+    def one(batch: pa.RecordBatch, frozen: Trees) -> pa.RecordBatch:
+        texts = raw_texts_of(batch)
+        found = score_texts([t or b"" for t in texts], frozen, letters=frozen.limits is not None)
+        fits = known_texts(found, len(texts), frozen.limits)
+        names, scores, rates, known = [], [], [], []
+        for raw, row, fit_ in zip(texts, found.whole, fits.tolist(), strict=True):
+            if not len(row) or not has_letter(raw):
+                names.append("und")
+                scores.append(0.0)
+                rates.append(None)
+                known.append(False)
+                continue
+            best = int(row.argmin())
+            odds = np.exp2(np.maximum((row[best] - row) / len(raw) * 16, -64))
+            names.append(frozen.languages[best])
+            scores.append(float(1 / odds.sum()))
+            rates.append(float(row[best] / len(raw)))
+            known.append(fit_)
+        return pa.RecordBatch.from_arrays(
+            [batch.column("id"), *(batch.column(f"k_{n}") for n in kept), pa.array(names, pa.string()),
+             pa.array(scores, pa.float64()), pa.array(rates, pa.float64()), pa.array(known, pa.bool_())],
+            names=names_out,
+        )
 
     return source.mapInArrow(run, ", ".join(f"`{n}` {t}" for n, t in zip(names_out, types, strict=True)))
 
