@@ -53,7 +53,7 @@ from .hubs import connected, fetched
 
 SHINGLE = 5
 #: Shingles in one packed block, and bytes of text hashed at once.
-BLOCK_SHINGLES = 1 << 20
+BLOCK_SHINGLES = 1 << 19
 CHUNK_BYTES = 1 << 20
 HASH_BITS = 56
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -250,7 +250,9 @@ def shared_shingles(docs: DataFrame, id_col: str, text_col: str, folder: str) ->
             owners = np.array(ids, np.int64)
             hashes = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
             entry_docs = np.repeat(owners, lengths)
-            often = np.isin(hashes, frequent) if len(frequent) else np.zeros(len(hashes), bool)
+            often = np.zeros(len(hashes), bool)
+            if len(frequent):
+                often = frequent[np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)] == hashes
             common, common_docs = hashes[often], entry_docs[often]
             hashes, entry_docs = hashes[~often], entry_docs[~often]
             keys, blobs = [], []
@@ -269,12 +271,13 @@ def shared_shingles(docs: DataFrame, id_col: str, text_col: str, folder: str) ->
             return pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1024):
-                piece = batch.slice(lo, 1024)
+            for lo in range(0, batch.num_rows, 256):
+                piece = batch.slice(lo, 256)
                 found = shingler.hashes(raw_texts(piece.column("text")))
                 ids.extend(piece.column("doc").to_pylist())
                 sets.extend(found)
                 size += sum(map(len, found))
+                del found
                 if size >= BLOCK_SHINGLES:
                     yield flush()
                     ids, sets, size = [], [], 0
