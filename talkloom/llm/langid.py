@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import free_names
+from .common import free_names, lean
 
 ORDER = 3
 #: Bounds of the training sample: texts and bytes per language, characters of one text.
@@ -353,8 +353,9 @@ def predict(
     id_col: str = "doc_id",
     text_col: str = "text",
     keep: dict[str, Column] | None = None,
+    keep_text: bool = False,
 ) -> DataFrame:
-    """Score every whole text: (id, kept columns, lang_pred, score, bits_per_byte, known).
+    """Score every whole text: (id, text if kept, kept columns, lang_pred, score, bits_per_byte, known).
 
     A map over the scan, without a shuffle.  ``score`` is the softmax of the
     code lengths a byte, sharpened by a fixed factor.  ``known`` says whether
@@ -365,10 +366,12 @@ def predict(
     model = trees if isinstance(trees, Broadcast) else docs.sparkSession.sparkContext.broadcast(trees)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *(c.alias(f"k_{n}") for n, c in keep.items()))
     kinds = {f.name: f.dataType.simpleString() for f in source.schema}
-    names_out = [id_col, *keep, *free_names([id_col, *keep], RESULTS)]
-    types = [kinds["id"], *(kinds[f"k_{n}"] for n in keep), "string", "double", "double", "boolean"]
-    kept = list(keep)
+    first = [id_col, *([text_col] if keep_text else []), *keep]
+    names_out = [*first, *free_names(first, RESULTS)]
+    types = [kinds["id"], *(["string"] if keep_text else []), *(kinds[f"k_{n}"] for n in keep), "string", "double", "double", "boolean"]
+    passed = ["id", *(["text"] if keep_text else []), *(f"k_{n}" for n in keep)]
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frozen = model.value
         for whole in batches:
@@ -394,7 +397,7 @@ def predict(
             rates.append(float(row[best] / len(raw)))
             known.append(fit_)
         return pa.RecordBatch.from_arrays(
-            [batch.column("id"), *(batch.column(f"k_{n}") for n in kept), pa.array(names, pa.string()),
+            [*(batch.column(c) for c in passed), pa.array(names, pa.string()),
              pa.array(scores, pa.float64()), pa.array(rates, pa.float64()), pa.array(known, pa.bool_())],
             names=names_out,
         )

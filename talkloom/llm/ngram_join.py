@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, _SPACE_TABLE, broadcast_if_small, for_all_parts, raw_texts, shared_folder, split_hot, stored
+from .common import BROADCAST_ROWS, _SPACE_TABLE, broadcast_if_small, for_all_parts, give_back, lean, raw_texts, shared_folder, split_hot, stored
 from .hubs import connected, fetched
 
 SHINGLE = 5
@@ -200,6 +200,7 @@ def frequent_shingles(source: DataFrame, n_docs: int) -> np.ndarray:
     drawn = source.where(F.pmod(F.xxhash64("doc"), F.lit(1_000_000)) < int(chance * 1_000_000) + 1)
     drawn = drawn.repartition(SAMPLE_DOCS // SAMPLE_PIECE)  # the whole table is scanned by as many tasks as it has
 
+    @lean
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in batches:
@@ -239,6 +240,7 @@ def shared_shingles(docs: DataFrame, id_col: str, text_col: str, folder: str) ->
     low_bytes = (int(shift) + 7) // 8
     frequent = frequent_shingles(source, size["n"])
 
+    @lean
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         ids: list[int] = []
@@ -307,6 +309,7 @@ def shared_shingles(docs: DataFrame, id_col: str, text_col: str, folder: str) ->
         for b, at in grouped_runs(doc_bucket(d, doc_buckets)):
             keys.append(b)
             out.append(pack_docs(d[at], ((h[at], HASH_BITS // 8), (np.minimum(f[at], MOST - 1), 4))))
+        give_back()
         return pa.table({"part": pa.array(keys, pa.int32()), "blob": pa.array(out, pa.binary())})
 
     def gather(table: pa.Table) -> pa.Table:
@@ -347,6 +350,8 @@ def shared_shingles(docs: DataFrame, id_col: str, text_col: str, folder: str) ->
             rows["tokens"].append(tokens.tobytes() if live else None)
             rows["prefix"].append(tokens[: prefix - own].view(np.int64).tolist() if live else None)
             rows["sig"].append(_digest(tokens) if live and not own else (f"{doc}" if live else None))
+        del ids, sizes, owners, hashes, frequencies
+        give_back()
         kinds = {"doc": pa.int64(), "rows": pa.int64(), "n": pa.int64(), "own": pa.int64(), "tokens": pa.binary(), "prefix": pa.list_(pa.int64()), "sig": pa.string()}
         return pa.table({k: pa.array(rows[k], t) for k, t in kinds.items()})
 
@@ -368,6 +373,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     n_ids = ids.limit(BROADCAST_ROWS + 1).count()
     full = sets.where("tokens is not null").select("doc", "n", "tokens")
     full = full.join(broadcast_if_small(ids, n_ids), "doc", "left_semi")
+    @lean
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shift = np.uint64(HASH_BITS - 5)
         for batch in batches:
@@ -425,6 +431,7 @@ def link_classes(sets: DataFrame, folder: str) -> DataFrame:
 def set_sizes(docs: DataFrame, text_col: str) -> DataFrame:
     """Set sizes of texts that are compared with nothing: a map."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in batches:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_names, words_of
+from .common import free_names, lean, words_of
 
 #: Bounds of the training samples.
 MAX_LABELLED = 4_000
@@ -180,10 +180,13 @@ def co_train(text_x: np.ndarray, meta_x: np.ndarray, y: np.ndarray, pool_text: n
     return model
 
 
-def _features(batch: pa.RecordBatch, lo: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+FEATURES = ("f_text", "f_source", "f_lang", "f_chars")
+
+
+def _features(batch: pa.RecordBatch, lo: int, n: int, names: tuple[str, ...] = FEATURES) -> tuple[np.ndarray, np.ndarray]:
     piece = batch.slice(lo, n)
-    texts = piece.column("f_text").cast(pa.binary()).to_pylist()
-    meta = zip(*(piece.column(c).to_pylist() for c in ("f_source", "f_lang", "f_chars")), strict=True)
+    texts = piece.column(names[0]).cast(pa.binary()).to_pylist()
+    meta = zip(*(piece.column(c).to_pylist() for c in names[1:]), strict=True)
     return np.stack([text_features(t) for t in texts]), np.stack([meta_features(*m) for m in meta])
 
 
@@ -215,6 +218,7 @@ def fit(
     # the labelled sample has at most MAX_LABELLED narrow rows
     sample = rows.join(F.broadcast(marked), rows["id"] == marked["s_id"], "left").where("pool or y is not null")
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
@@ -255,15 +259,21 @@ def score(
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.columns if keep is None else keep
-    source = docs.select(*(F.col(c).alias(f"k_{c}") for c in kept), *_inputs(text_col, source_col, lang_col, chars_col))
+    # a column that is kept goes to the workers once
+    inputs = dict(zip(FEATURES, zip((text_col, source_col, lang_col, chars_col), ("string", "string", "string", "bigint"), strict=True), strict=True))
+    own = {f: f"k_{c}" if c in kept and docs.schema[c].dataType.simpleString() == kind else f for f, (c, kind) in inputs.items()}
+    more = [x for f, x in zip(FEATURES, _inputs(text_col, source_col, lang_col, chars_col), strict=True) if own[f] == f]
+    source = docs.select(*(F.col(c).alias(f"k_{c}") for c in kept), *more)
+    features = tuple(own.values())
     results = free_names(kept, RESULTS)
     kinds = [source.schema[f"k_{c}"].dataType.simpleString() for c in kept] + ["double"] * 3 + ["boolean"]
     schema = ", ".join(f"`{c}` {kind}" for c, kind in zip([*kept, *results], kinds, strict=True))
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
-                text, meta, both = shared.value.scores(*_features(batch, lo, 256))
+                text, meta, both = shared.value.scores(*_features(batch, lo, 256, features))
                 piece = batch.slice(lo, 256)
                 yield pa.RecordBatch.from_arrays(
                     [*(piece.column(f"k_{c}") for c in kept), *(pa.array(x, pa.float64()) for x in (text, meta, both)),
