@@ -29,9 +29,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     texts of its length set; shorter texts than 16 letters are never foreign.
     """
     trees = langid.fit(docs, limits=True)
-    keep = {c: F.col(c) for c in docs.columns if c != "doc_id"}
-    known = free_names(["doc_id", *keep], langid.RESULTS)[-1]
-    return langid.predict(docs, trees, keep=keep).where(F.col(known)).select(*docs.columns)
+    keep = {c: F.col(c) for c in docs.columns if c not in ("doc_id", "text")}
+    known = free_names(docs.columns, langid.RESULTS)[-1]
+    return langid.predict(docs, trees, keep=keep, keep_text=True).where(F.col(known)).select(*docs.columns)
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
