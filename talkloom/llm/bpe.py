@@ -39,9 +39,9 @@ _WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{_SPACE}
 #: The same for ASCII text.
 _ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
 #: Words whose encodings a worker remembers before it starts anew.
-CACHE_WORDS = 100_000
+CACHE_WORDS = 300_000
 #: Answers about two tokens side by side that a worker remembers.
-CACHE_PAIRS = 250_000
+CACHE_PAIRS = 1_000_000
 
 
 def byte_symbols() -> list[str]:
