@@ -125,11 +125,16 @@ def anchor_pairs(index: DataFrame, phrases: Phrases) -> DataFrame:
     )
 
 
-def occurrences(index: DataFrame, phrases: Phrases, folder: str) -> DataFrame:
+def around(place: Column, slop: int) -> Column:
+    """The place itself, or a row for each place within ``slop`` of it."""
+    return F.explode(F.sequence(place - slop, place + slop)) if slop else place
+
+
+def occurrences(index: DataFrame, phrases: Phrases, folder: str, slop: int = 0) -> DataFrame:
     """Maximal matched stretches: (doc_id, copy, item, align, lo, hi).
 
     ``lo`` to ``hi`` are item places, each inside an occurrence of a window;
-    the document places are these plus ``align``.
+    the document places are these plus ``align``, give or take ``slop`` for each.
     """
     small = phrases.n_places
     pairs = stored(anchor_pairs(index, phrases), f"{folder}/pairs")
@@ -138,7 +143,7 @@ def occurrences(index: DataFrame, phrases: Phrases, folder: str) -> DataFrame:
     )
     seen = (
         index.join(broadcast_if_small(anchors.distinct(), 2 * small), "term_id")
-        .select(*KEY, "item", (F.col("pos") - F.col("q")).alias("align"), "q")
+        .select(*KEY, "item", around(F.col("pos") - F.col("q"), slop).alias("align"), "q")
         .groupBy(*KEY, "item", "align")
         .agg(F.collect_set("q").alias("found"))
     )
@@ -154,7 +159,7 @@ def occurrences(index: DataFrame, phrases: Phrases, folder: str) -> DataFrame:
     candidate_docs = broadcast_if_small(candidates.select(*KEY).distinct(), n_docs)
     near = index.join(candidate_docs, same_doc(index, candidate_docs), "left_semi")
     numbered = phrases.terms.join(phrases.vocabulary, "term").select("item", "q", "term_id")
-    expected = candidates.join(broadcast_if_small(numbered, small), "item").withColumn("pos", F.col("align") + F.col("q"))
+    expected = candidates.join(broadcast_if_small(numbered, small), "item").withColumn("pos", around(F.col("align") + F.col("q"), slop))
     matched = (
         expected.join(
             near, same_doc(expected, near) & (expected["pos"] == near["pos"]) & (expected["term_id"] == near["term_id"]), "left_semi"
@@ -201,25 +206,28 @@ def contamination(
     )
 
 
-def proximity(
-    index: DataFrame, phrases: Phrases, slop: int
-) -> DataFrame:
-    """Whole items whose terms all lie within ``slop`` places of an alignment.
+def proximity(index: DataFrame, phrases: Phrases, slop: int) -> DataFrame:
+    """Windows whose terms all stand within ``slop`` places of one alignment.
 
-    Every posting of the item's rarest term proposes an alignment; each other
-    term must have a posting at its offset from there, give or take ``slop``.
-    Gives (doc_id, copy, item_id, align).  With slop 0 these are exact phrases.
+    Gives maximal stretches (doc_id, copy, item_id, align, lo, hi).  With slop 0
+    these are exact phrases; each posting proposes 2 * slop + 1 alignments.
     """
-    frequency = index.groupBy("term_id").agg(F.count("*").alias("f"))
-    rated = phrases.terms.join(phrases.vocabulary, "term").join(frequency, "term_id")
-    whole = rated.groupBy("item", "n").agg(F.count("*").alias("present"), F.min_by(F.struct("term_id", "q"), F.struct("f", "q")).alias("a"))
-    rarest = whole.where("present = n").select("item", F.col("a.term_id").alias("term_id"), F.col("a.q").alias("q"))
-    proposed = index.join(rarest, "term_id").select(*KEY, "item", (F.col("pos") - F.col("q")).alias("align"))
-    numbered = phrases.terms.join(phrases.vocabulary, "term").select("item", "q", "term_id", "n")
-    wanted = proposed.join(numbered, "item").withColumn("shift", F.explode(F.sequence(F.lit(-slop), F.lit(slop))))
-    wanted = wanted.withColumn("pos", F.col("align") + F.col("q") + F.col("shift"))
-    met = wanted.join(
-        index, same_doc(wanted, index) & (wanted["pos"] == index["pos"]) & (wanted["term_id"] == index["term_id"]), "left_semi"
+    found = occurrences(index, phrases, shared_folder(index.sparkSession), slop)
+    return found.select(*KEY, "item_id", "align", "lo", "hi")
+
+
+def near_items(
+    docs: DataFrame, items: DataFrame, slop: int = 1, width: int = 10, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Per document: n_near_items, near_items_sha256 of the items with windows in proximity."""
+    folder = shared_folder(docs.sparkSession)
+    phrases = Phrases(items, folder, width)
+    index = build_index(docs, phrases, folder, id_col, text_col)
+    near = proximity(index, phrases, slop).groupBy(*KEY).agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("ids"))
+    lengths = index.where(F.col("term_id") == phrases.length_id)
+    ids = F.coalesce("ids", F.array().cast("array<string>"))
+    return lengths.join(near, same_doc(lengths, near), "left").select(
+        lengths["doc_id"].alias(id_col),
+        F.size(ids).cast("long").alias("n_near_items"),
+        F.sha2(F.concat_ws(",", ids), 256).alias("near_items_sha256"),
     )
-    full = met.groupBy(*KEY, "item", "align").agg(F.count_distinct("q").alias("met"), F.first("n").alias("n")).where("met = n")
-    return full.join(phrases.items.select("item", "item_id"), "item").select(*KEY, "item_id", "align")

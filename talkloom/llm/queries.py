@@ -90,6 +90,11 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.with_near_class(fingerprint.fingerprint_documents(table(spark, sf_dir, "documents")))
 
 
+def benchmark_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of which a window's words all stand within one place of where the phrase has them."""
+    return decontaminate.near_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What op3 takes from rules alone, which SQL can express."""
     judged = op3_url_filter(spark, sf_dir)
@@ -113,6 +118,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_quality": op9_quality,
         "op10_fingerprint": op10_fingerprint,
+        "benchmark_proximity": benchmark_proximity,
         "url_rules": url_rules,
         "license_phrases": license_phrases,
     }
@@ -142,6 +148,21 @@ SELECT d.doc_id, len(d.l)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
 """
 
+PROXIMITY_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS l FROM documents),
+i AS (SELECT item_id, row_number() OVER () AS item, {_WORDS} AS l FROM benchmark),
+p AS (SELECT doc_id, unnest(l) AS term, unnest(range(0, len(l))) AS pos FROM d),
+t AS (SELECT item_id, item, least(len(l), 10) AS n, len(l) AS size, unnest(l) AS term, unnest(range(0, len(l))) AS q FROM i),
+c AS (SELECT DISTINCT doc_id, item_id, item, n, size, q, pos - q - s AS align
+      FROM p JOIN t ON p.term = t.term CROSS JOIN (VALUES (-1), (0), (1)) AS shifts(s)),
+w AS (SELECT doc_id, item_id, unnest(range(greatest(q - n + 1, 0), least(q, size - n) + 1)) AS start, item, align, n, q FROM c),
+f AS (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM
+      (SELECT doc_id, item_id FROM w GROUP BY doc_id, item_id, item, align, start, n HAVING count(*) = n)),
+g AS (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids FROM f GROUP BY doc_id)
+SELECT d.doc_id, coalesce(g.n, 0)::BIGINT AS n_near_items, sha256(coalesce(ids, '')) AS near_items_sha256
+FROM d LEFT JOIN g ON d.doc_id = g.doc_id
+"""
+
 
 OP2_SQL = """
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages),
@@ -208,5 +229,6 @@ SELECT doc_id, n::BIGINT AS n_words, len(places)::BIGINT AS n_base, list_min(pla
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontamination": OP1_SQL, "op2_warc": OP2_SQL, "op6_ngram_join": OP6_SQL, "op7_chat_format": OP7_SQL,
+        "benchmark_proximity": PROXIMITY_SQL,
         "url_rules": URL_RULES_SQL, "license_phrases": LICENSE_PHRASES_SQL,
     }

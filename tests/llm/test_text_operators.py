@@ -94,6 +94,29 @@ def test_proximity(spark):
     assert found(0) == {2} and found(1) == {1, 2}
 
 
+@pytest.mark.parametrize("slop", [0, 1, 2])
+def test_near_items_match_brute_force(spark, slop):
+    rng = random.Random(slop)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randint(0, 30))) for _ in range(30)]
+    items = [(1, texts[0]), (2, " ".join(texts[1].split()[::2])), (3, None), (4, "b a c"), (4, "d"), (None, texts[2])]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(0, texts[0]), (99, None), (None, texts[0])]
+
+    def near(text, item):
+        w, x = words(text), words(item)
+        n = min(10, len(x))
+        fits = lambda a, q: x[q] in w[max(0, a + q - slop) : max(0, a + q + slop + 1)]
+        aligns = range(-len(x) - slop, len(w) + slop + 1)
+        return n > 0 and any(all(fits(a, s + k) for k in range(n)) for s in range(len(x) - n + 1) for a in aligns)
+
+    want = []
+    for k, text in rows:
+        ids = sorted({str(i) for i, item in items if i is not None and near(text, item)})
+        want.append((k, len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest()))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = decontaminate.near_items(docs, spark.createDataFrame(items, "item_id long, text string"), slop, width=10)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
 # ---- op3 ----
 
 
@@ -174,6 +197,24 @@ def test_bpe_equals_the_library(spark, docs, edge):
     assert bpe.encode_texts(edge.limit(0), path).count() == 0
 
 
+def test_bpe_query_equals_the_library(spark):
+    tokenizers = pytest.importorskip("tokenizers")
+    path = f"{queries.TOKENIZERS}/word_bpe_49k.json"
+    if not Path(path).exists():
+        pytest.skip("no tokenizer files")
+    library = tokenizers.Tokenizer.from_file(path)
+    library.no_truncation()
+    library.no_padding()
+    want = []
+    for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect():
+        ids = library.encode(r["text"] or "", add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        packed = struct.pack(f"<{len(ids)}I", *ids)
+        want.append((r["doc_id"], len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
+    got = queries.op4_bpe(spark, DATA).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 # ---- op5 ----
 
 
