@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, decontaminate, fingerprint, langid, license_scan, ngram_join, quality, url_filter, warc
+from . import bpe, chat_format, decontaminate, exact_dedup, fill_middle, fingerprint, langid, license_scan, ngram_join, quality, ranked_search, url_filter, warc
 from .common import shared_folder, table
 
 
@@ -90,6 +90,20 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.with_near_class(fingerprint.fingerprint_documents(table(spark, sf_dir, "documents")))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_middle(table(spark, sf_dir, "documents"))
+    back = fill_middle.restored("output", "form")["restored_sha256"].alias("restored_sha256")
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", back)
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(ranked_search.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
 def benchmark_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items of which a window's words all stand within one place of where the phrase has them."""
     return decontaminate.near_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -118,6 +132,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_quality": op9_quality,
         "op10_fingerprint": op10_fingerprint,
+        "op11_fill_middle": op11_fill_middle,
+        "op12_ranked_search": op12_ranked_search,
+        "op13_exact_dedup": op13_exact_dedup,
         "benchmark_proximity": benchmark_proximity,
         "url_rules": url_rules,
         "license_phrases": license_phrases,
@@ -226,9 +243,43 @@ SELECT doc_id, n::BIGINT AS n_words, len(places)::BIGINT AS n_base, list_min(pla
 """
 
 
+OP11_SQL = r"""
+WITH s AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS l,
+             [('0x' || substr(h, 8 * k + 1, 8))::BIGINT for k in range(4)] AS hs FROM s),
+f AS (SELECT *, len(l) AS n, least(hs[1] % (len(l) + 1), hs[2] % (len(l) + 1)) AS a, greatest(hs[1] % (len(l) + 1), hs[2] % (len(l) + 1)) AS b,
+             CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR hs[3] % 100 >= 90 THEN 'plain' WHEN hs[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+      FROM u),
+p AS (SELECT *, array_to_string(list_slice(l, 1, a), '') AS pre, array_to_string(list_slice(l, a + 1, b), '') AS mid, array_to_string(list_slice(l, b + 1, n), '') AS suf FROM f)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+OP12_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_WORDS} AS l FROM documents),
+c AS (SELECT count(*) AS n_docs, sum(len(l))::BIGINT AS total FROM d WHERE len(l) > 0),
+t AS (SELECT row, doc_id, len(l) AS n, term, count(*) AS tf FROM (SELECT row, doc_id, l, unnest(l) AS term FROM d) GROUP BY ALL),
+q AS (SELECT DISTINCT item_id, item, term FROM (SELECT item_id, row_number() OVER () AS item, unnest({_WORDS}) AS term FROM benchmark)),
+f AS (SELECT term, count(*) AS df FROM t GROUP BY term),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM f, c),
+s AS (SELECT item, item_id, doc_id, row, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // total))))::BIGINT AS score
+      FROM q JOIN t USING (term) JOIN w USING (term), c GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM r WHERE rank <= 50
+"""
+OP13_SQL = """
+WITH d AS (SELECT doc_id, row_number() OVER () AS row, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+g AS (SELECT *, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS size,
+             row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST, row DESC) AS place FROM d)
+SELECT doc_id, keep_id, size::BIGINT AS group_size, place = 1 AS kept, sha256(t) AS text_sha256 FROM g
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontamination": OP1_SQL, "op2_warc": OP2_SQL, "op6_ngram_join": OP6_SQL, "op7_chat_format": OP7_SQL,
+        "op11_fill_middle": OP11_SQL, "op12_ranked_search": OP12_SQL, "op13_exact_dedup": OP13_SQL,
         "benchmark_proximity": PROXIMITY_SQL,
         "url_rules": URL_RULES_SQL, "license_phrases": LICENSE_PHRASES_SQL,
     }
