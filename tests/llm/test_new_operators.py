@@ -102,7 +102,7 @@ def zipf_texts(seed, n, words=60):
     return [" ".join(f"w{x % 97}" for x in dice.zipf(1.3, dice.integers(1, words))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("shard", [(1 << 14, 1 << 21), (7, 1 << 21), (1 << 14, 40)])
+@pytest.mark.parametrize("shard", [(1 << 14, 1 << 25), (7, 1 << 25), (1 << 14, 200)])
 def test_search_is_the_plain_one(spark, shard):
     texts = zipf_texts(1, 900) + ["tie tie"] * 90 + ["W5 ÉCOLE école W5", None, "", "...", "w1 " * 30_000]
     docs = [(i if i % 50 else None, t) for i, t in enumerate(texts, 1)] + [(3, texts[2]), (3, "w9")]
@@ -128,18 +128,31 @@ def test_search_of_empty_tables(spark):
 def test_reading_stops_once_the_threshold_is_below_the_best():
     """Few of the entries are read, and ties with the last place are not lost."""
     texts = [f"rare{i % 500} common" for i in range(5000)] + ["rare1 rare1 rare1 rare1 common common"] * 60
-    raw = [pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])]
-    forward = pa.Table.from_batches(ranked_search.forward_rows(iter(raw))).combine_chunks().to_batches()[0]
-    total = sum(forward.column("n").to_pylist())
-    shard = ranked_search.Reader(ranked_search.Shard(forward, len(texts), total).row(), 0)
-    number = {t: i for i, t in enumerate(shard.vocabulary.to_pylist())}
-    terms = np.array([number["rare1"], number["common"]])
-    docs, scores, read = shard.best(terms, np.array([6000, 1]), 50)
+    row = ranked_search.shard_row(pa.array(range(len(texts))), [t.encode() for t in texts], len(texts), 10_000 + 360)
+    shard = ranked_search.Reader(row, 0, pa.array(["absent", "common", "rare1"]))
+    docs, scores, read = shard.best(np.array([0, 1, 2]), np.array([9, 1, 6000]), 50)
     assert docs.tolist() == list(range(5000, 5050)) and len(set(scores.tolist())) == 1
     assert read < 600
     assert not shard.weight.any()
 
 
+def test_shards_hold_words_as_they_are(monkeypatch):
+    monkeypatch.setattr(ranked_search, "PIECE", 16)
+    texts = [None, "", " .. ", "A b-a", "\u00e9 \u00e9\u00e9 \u0000A", "z" * 50, " x ", "w" * 3 + "\n"]
+    raw = [t if t is None else t.encode() for t in texts]
+    words = [WORD.findall(lower(t or "")) for t in texts]
+    got = [r for b in ranked_search.totals_rows(iter([pa.record_batch([pa.array(texts)], ["text"])])) for r in b.to_pylist()]
+    assert got == [{"n_docs": 5, "total": sum(map(len, words)), "bytes": sum(len(r or b"") for r in raw)}]
+    row = ranked_search.shard_row(pa.array(range(8)), raw, 5, sum(map(len, words))).to_pylist()[0]
+    held = [i for i, w in enumerate(words) if w]
+    assert row["doc_ids"] == held
+    for k, i in enumerate(held):
+        terms = [row["vocabulary"][t] for t in row["terms"][row["starts"][k] : row["starts"][k + 1]]]
+        assert sorted(terms) == sorted(set(words[i]))
+    assert dict(zip(row["vocabulary"], row["counts"])) == collections.Counter(t for w in words for t in set(w))
+    assert ranked_search.shard_row(pa.array([1]), [b"..."], 1, 1) is None
+
+
 def test_impacts_beyond_64_bits():
     n = np.array([1 << 40], np.int64)
     got = ranked_search.impacts_of(np.array([3]), n, 1 << 20, 1 << 50)
