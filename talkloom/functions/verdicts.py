@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column
+import functools
+from collections.abc import Callable
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -114,12 +117,26 @@ def p_text(p: Column) -> Column:
     return F.when(p.isNull(), "n/a   ").when(p < 0.0001, "<.0001").otherwise(F.format_string("%.4f", p))
 
 
+@functools.cache
+def _nearest() -> Callable[[Column, Column], Column]:
+    """One function for all calls: an array of numbers, each rounded to its own digits."""
+
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def nearest(values: pa.Array, digits: pa.Array) -> pa.Array:
+        flat = values.flatten().to_pylist()
+        out = [None if v is None or v != v else round(v, n) for v, n in zip(flat, digits.flatten().to_pylist(), strict=True)]
+        return pa.ListArray.from_arrays(values.offsets, pa.array(out, pa.float64()))
+
+    return nearest
+
+
 def rounded(c: Column | str, digits: int) -> Column:
     """A float rounded as the original's reports do: the exact binary value to the
-    nearest, ties to even.  For report rows, which are few."""
+    nearest, ties to even."""
+    return _nearest()(F.array((F.col(c) if isinstance(c, str) else c).cast("double")), F.array(F.lit(digits)))[0]
 
-    @F.pandas_udf(T.DoubleType())
-    def nearest(x: pd.Series) -> pd.Series:
-        return x.map(lambda v: None if v is None or v != v else round(float(v), digits))
 
-    return nearest(F.col(c) if isinstance(c, str) else c)
+def rounded_all(rows: DataFrame, digits: dict[str, int]) -> DataFrame:
+    """The rows with some columns rounded, each to its own digits, in one call."""
+    values = rows.withColumn("_r", _nearest()(F.array(*(F.col(c).cast("double") for c in digits)), F.array(*map(F.lit, digits.values()))))
+    return values.withColumns({c: F.col("_r")[i] for i, c in enumerate(digits)}).drop("_r")

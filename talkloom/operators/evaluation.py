@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import verdicts
-from ..functions.text import md5_int
+from ..sources.work import stored, work_folder
+from . import resampling, selection
 from .responders import signed_rank_p
 from .select import ranked_by_hash
 
@@ -65,17 +68,29 @@ def dimension_means(judged: DataFrame) -> DataFrame:
     return rows.groupBy("dimension", "weight").agg(F.avg("b").alias("baseline_avg"), F.avg("c").alias("candidate_avg"))
 
 
-def latency(rows: DataFrame, duration: str, by: list[str] | None = None, accuracy: int | None = None) -> DataFrame:
+#: Percentiles that latency tells.
+PERCENTILES = {"p50": 0.5, "p90": 0.9, "p99": 0.99}
+
+
+def mean_latency(rows: DataFrame, duration: str, by: list[str] | None = None) -> DataFrame:
+    """avg of non-zero durations, 0 where there are none."""
+    return rows.groupBy(*(by or [])).agg(F.coalesce(F.avg(F.when(F.col(duration) != 0, F.col(duration))), F.lit(0.0)).alias("avg"))
+
+
+def latency(rows: DataFrame, duration: str, by: list[str] | None = None, accuracy: int | None = None, folder: str | None = None) -> DataFrame:
     """avg, p50, p90, p99 of non-zero durations, 0 where there are none.
 
-    Percentiles are exact, and then hold a group's distinct values in one task;
-    with an ``accuracy`` they are off by at most 1 / accuracy of the ranks, in
-    memory that the accuracy bounds.
+    Percentiles are exact, found by selection, so no task holds a group's values;
+    with an ``accuracy`` they come from a sketch, off by at most 1 / accuracy of the ranks.
     """
-    d = F.when(F.col(duration) != 0, F.col(duration))
-    at = (lambda p: F.percentile(d, p)) if accuracy is None else (lambda p: F.percentile_approx(d, p, accuracy))
-    stats = {"avg": F.avg(d), "p50": at(0.5), "p90": at(0.9), "p99": at(0.99)}
-    return rows.groupBy(*(by or [])).agg(*(F.coalesce(c, F.lit(0.0)).alias(k) for k, c in stats.items()))
+    by = by or []
+    if accuracy is not None:
+        d = F.when(F.col(duration) != 0, F.col(duration))
+        stats = {"avg": F.avg(d)} | {k: F.percentile_approx(d, p, accuracy) for k, p in PERCENTILES.items()}
+        return rows.groupBy(*by).agg(*(F.coalesce(c, F.lit(0.0)).alias(k) for k, c in stats.items()))
+    found = selection.percentiles(rows.where(F.col(duration) != 0), duration, by, PERCENTILES, folder)
+    every = rows.groupBy(*by).agg(F.count("*").alias("_n"))
+    return selection.meet(every, found, by, "left").select(*by, *(F.coalesce(k, F.lit(0.0)).alias(k) for k in ("avg", *PERCENTILES)))
 
 
 def speed_ratio(baseline_avg: Column, candidate_avg: Column) -> Column:
@@ -84,40 +99,13 @@ def speed_ratio(baseline_avg: Column, candidate_avg: Column) -> Column:
     return verdicts.rounded(F.coalesce(ratio, F.lit(0.0)), 2)
 
 
-def range_of(value: Column, bounds: list[float], group: int = 32) -> Column:
-    """Number of sorted bounds below the value, looked up by groups of bounds."""
-    if not bounds:
-        return F.lit(0)
-    groups = [bounds[i : i + group] for i in range(0, len(bounds), group)]
-    below = lambda bs: F.size(F.filter(bs, lambda b: b < value))
-    outer = below(F.array(*(F.lit(g[0]) for g in groups)))
-    inner = F.get(F.array(*(F.array(*map(F.lit, g)) for g in groups)), outer - 1)
-    return F.when(outer == 0, 0).otherwise((outer - 1) * group + below(inner))
-
-
-def ranked(rows: DataFrame, value: str, by: list[str], cuts: int = 1000) -> DataFrame:
-    """Rows with ``rank``, from 1, by value within each group.
-
-    Approximate percentiles of all values cut the rows into ranges, which are
-    numbered by themselves and moved up by the counts of the ranges before; a
-    range has about 1/1000 of the rows, unless one value has more.
-    """
-    bounds = rows.agg(F.percentile_approx(value, [k / cuts for k in range(1, cuts)], 10 * cuts).alias("b")).first()["b"] or []
-    placed = rows.withColumn("range", range_of(F.col(value), sorted(set(bounds))))
-    # a table of ranges and groups
-    sizes = placed.groupBy(*by, "range").agg(F.count("*").alias("size"))
-    before = sizes.withColumn("before", F.sum("size").over(Window.partitionBy(*by).orderBy("range")) - F.col("size")).drop("size")
-    place = F.row_number().over(Window.partitionBy(*by, "range").orderBy(value))
-    return placed.join(before, [*by, "range"]).withColumn("rank", F.col("before") + place).drop("before", "range")
-
-
-def rank_paired(a: DataFrame, b: DataFrame, value: str) -> DataFrame:
+def rank_paired(a: DataFrame, b: DataFrame, value: str, folder: str | None = None) -> DataFrame:
     """(rank, a, b): values of both sides, each sorted by itself, to the shorter length.
 
     This is how the original pairs latencies; ``detail`` has the proper pairs.
     """
     sides = a.select(F.lit("a").alias("side"), value).union(b.select(F.lit("b").alias("side"), value))
-    placed = ranked(sides, value, ["side"])
+    placed = selection.ranked(sides, value, ["side"], folder)
     left, right = (placed.where(F.col("side") == x).select("rank", F.col(value).alias(x)) for x in "ab")
     return left.join(right, "rank")
 
@@ -148,60 +136,22 @@ def with_p(stats: DataFrame) -> DataFrame:
     return stats.withColumn("p", signed_rank_p("n", F.least("w_plus", "w_minus"), "tie_term", "z"))
 
 
-#: Draws that one digest gives: four numbers of eight digits, or thirty-two signs.
-PICKS, SIGNS = 4, 32
-
-
-def digests(spark: SparkSession, diffs: DataFrame, n_draws: int, each: int, seed: int) -> DataFrame:
-    """(block, pos, d, n, digest): one MD5, as other engines have it, for every difference and block of draws.
-
-    ``diffs`` (pos from 0 without gaps, d) has one row for each judged sample.
-    """
-    counted = diffs.crossJoin(diffs.agg(F.count("*").alias("n")))
-    blocks = spark.range(-(-n_draws // each)).withColumnRenamed("id", "block")
-    return blocks.crossJoin(counted).withColumn("digest", F.md5(F.concat_ws(":", F.lit(str(seed)), "block", "pos")))
-
-
-def bootstrap_means(spark: SparkSession, diffs: DataFrame, n_draws: int = 10_000, seed: int = 42) -> DataFrame:
-    """(draw, mean) of resampled differences."""
-    number = lambda k: F.conv(F.substring("digest", 1 + 8 * k, 8), 16, 10).cast("long")
-    picks = F.array(*(F.struct((F.col("block") * PICKS + k).alias("draw"), F.pmod(number(k), F.col("n")).alias("pos")) for k in range(PICKS)))
-    drawn = digests(spark, diffs, n_draws, PICKS, seed).select(F.explode(picks).alias("x")).select("x.*").where(F.col("draw") < n_draws)
-    return drawn.join(diffs, "pos").groupBy("draw").agg(F.avg("d").alias("mean"))
-
-
-def bootstrap_ci(spark: SparkSession, diffs: DataFrame, n_draws: int = 10_000, seed: int = 42) -> DataFrame:
-    """One row (low, high): the order statistics n/40 and n - n/40 - 1 of the means, a list as long as the draws."""
-    ordered = bootstrap_means(spark, diffs, n_draws, seed).agg(F.array_sort(F.collect_list("mean")).alias("m"))
-    at = n_draws // 40
-    return ordered.select(F.try_element_at("m", F.lit(at + 1)).alias("low"), F.try_element_at("m", F.lit(n_draws - at)).alias("high"))
-
-
-def permutation_p(spark: SparkSession, diffs: DataFrame, n_draws: int = 10_000, seed: int = 42) -> DataFrame:
-    """One row (observed, hits, p): sign flips with means at least as far from zero.
-
-    A digest's digits are the signs of as many draws, summed side by side.
-    """
-    odd = lambda k: F.ascii(F.substring("digest", 1 + k, 1)) % 2 == F.when(F.substring("digest", 1 + k, 1) >= "a", 0).otherwise(1)
-    sums = [F.sum(F.when(odd(k), -F.col("d")).otherwise(F.col("d"))).alias(f"s{k}") for k in range(SIGNS)]
-    blocks = digests(spark, diffs, n_draws, SIGNS, seed).groupBy("block").agg(*sums, F.sum("d").alias("o"), F.count("*").alias("n"))
-    draws = F.array(*(F.struct((F.col("block") * SIGNS + k).alias("draw"), F.abs(f"s{k}").alias("s")) for k in range(SIGNS)))
-    rows = blocks.select(F.abs("o").alias("o"), "n", F.explode(draws).alias("x")).where(F.col("x.draw") < n_draws)
-    hits = F.count_if(F.col("x.s") >= F.col("o"))
-    return rows.agg(F.max(F.col("o") / F.col("n")).alias("observed"), hits.alias("hits"), (hits / F.lit(n_draws)).alias("p"))
-
-
 def differences(scored: DataFrame, key: str) -> DataFrame:
     """(pos, d) of scored rows: candidate less baseline, numbered in a seeded order."""
     d = (F.col("candidate_weighted") - F.col("baseline_weighted")).alias("d")
     return ranked_by_hash(scored.select(key, d), key).select(F.col("rank").alias("pos"), "d")
 
 
-def dimension_p(judged: DataFrame) -> DataFrame:
-    """(dimension, p) of each dimension's paired scores, no row where too few differ."""
+def dimension_differences(judged: DataFrame) -> DataFrame:
+    """(dimension, d): candidate less baseline for each dimension of each sample."""
     b, c = F.col("baseline_scores"), F.col("candidate_scores")
     one = [F.struct(F.lit(d).alias("dimension"), (verdicts.dimension(c, d) - verdicts.dimension(b, d)).alias("d")) for d in verdicts.WEIGHTS]
-    return with_p(wilcoxon(judged.select(F.explode(F.array(*one)).alias("x")).select("x.*"), by=["dimension"])).select("dimension", "p")
+    return judged.select(F.explode(F.array(*one)).alias("x")).select("x.*")
+
+
+def dimension_p(judged: DataFrame) -> DataFrame:
+    """(dimension, p) of each dimension's paired scores, no row where too few differ."""
+    return with_p(wilcoxon(dimension_differences(judged), by=["dimension"])).select("dimension", "p")
 
 
 def summary(judged: DataFrame) -> DataFrame:
@@ -226,28 +176,39 @@ def summary(judged: DataFrame) -> DataFrame:
 
 def whole_summary(
     spark: SparkSession, judged: DataFrame, baseline: DataFrame, candidate: DataFrame, key: str, duration: str = "duration_ms",
-    n_draws: int = 10_000, as_reported: bool = True,
+    n_draws: int = 10_000, as_reported: bool = True, folder: str | None = None,
 ) -> DataFrame:
     """The row of ``summary``, rounded as reported unless asked otherwise, with interval and p of the gap, p of each
-    dimension, latency of both sides' outputs, their ratio and p."""
+    dimension, latency of both sides' outputs, their ratio and p.
+
+    Scores and durations are stored once, narrow; then there is one pass for counts, means and wins, one for
+    all p values by name, one for the interval, and those that select both sides' percentiles.
+    """
+    folder = folder or work_folder(spark)
+    judged = stored(judged.select(key, "baseline_scores", "candidate_scores"), f"{folder}/judged")
     b, c = F.col("baseline_scores"), F.col("candidate_scores")
     scored = judged.select(key, verdicts.weighted(b).alias("baseline_weighted"), verdicts.weighted(c).alias("candidate_weighted"))
-    diffs = differences(scored, key)
-    p_of = lambda d, name: with_p(wilcoxon(d)).select(F.col("p").alias(name))
+    diffs = stored(differences(scored, key), f"{folder}/diffs")
+    side = lambda rows, name: rows.select(F.lit(name).alias("side"), F.col(duration).cast("double").alias("v"))
+    times = stored(side(baseline, "baseline").union(side(candidate, "candidate")), f"{folder}/times")
     # differences have one decimal; so sizes that are equal are counted as such
-    gap = bootstrap_ci(spark, diffs, n_draws).select(F.col("low").alias("gap_low"), F.col("high").alias("gap_high"))
-    dims = dimension_p(judged).agg(*(F.max(F.when(F.col("dimension") == d, F.col("p"))).alias(f"p_{d}") for d in verdicts.WEIGHTS))
-    sides = {"baseline": baseline, "candidate": candidate}
-    stats = {s: latency(rows, duration).select(*(F.col(k).alias(f"{s}_latency_{k}") for k in ("avg", "p50", "p90", "p99"))) for s, rows in sides.items()}
-    timed = {s: rows.where(F.col(duration) != 0).select(duration) for s, rows in sides.items()}
-    paired = rank_paired(timed["baseline"], timed["candidate"], duration).select((F.col("b") - F.col("a")).alias("d"))
+    named = [diffs.select(F.lit("overall_p_value").alias("name"), F.round("d", 1).alias("d")), dimension_differences(judged).select(F.concat(F.lit("p_"), "dimension"), "d")]
+    timed = times.where("v <> 0")
+    paired = rank_paired(timed.where("side = 'baseline'"), timed.where("side = 'candidate'"), "v", f"{folder}/ranks")
+    named.append(paired.select(F.lit("latency_p_value"), (F.col("b") - F.col("a")).alias("d")))
+    p_names = ["overall_p_value", "latency_p_value", *(f"p_{d}" for d in verdicts.WEIGHTS)]
+    tests = with_p(wilcoxon(reduce(DataFrame.union, named), by=["name"])).agg(*(F.max(F.when(F.col("name") == n, F.col("p"))).alias(n) for n in p_names))
+    gap = resampling.bootstrap_ci(diffs, n_draws).select(F.col("low").alias("gap_low"), F.col("high").alias("gap_high"))
+    sides, stats = ("baseline", "candidate"), ("avg", *PERCENTILES)
+    of_sides = latency(times, "v", ["side"], folder=f"{folder}/latency")
+    latencies = of_sides.agg(*(F.coalesce(F.max(F.when(F.col("side") == s, F.col(k))), F.lit(0.0)).alias(f"{s}_latency_{k}") for s in sides for k in stats))
     row = summary(judged)
-    for one in (p_of(diffs.select(F.round("d", 1).alias("d")), "overall_p_value"), gap, dims, *stats.values(), p_of(paired, "latency_p_value")):
-        row = row.crossJoin(one)  # each is one row
-    ratio = speed_ratio(F.col("baseline_latency_avg"), F.col("candidate_latency_avg"))
-    row = row.withColumn("speed_ratio", ratio)
+    for one in (gap, tests, latencies):
+        row = row.crossJoin(F.broadcast(one))  # each is one row
     if not as_reported:
-        return row
+        return row.withColumn("speed_ratio", speed_ratio(F.col("baseline_latency_avg"), F.col("candidate_latency_avg")))
     digits = {"baseline_avg_score": 1, "candidate_avg_score": 1, "win_low": 3, "win_high": 3, "gap_low": 2, "gap_high": 2}
-    digits |= {f"{s}_{d}": 2 for s in sides for d in verdicts.WEIGHTS} | {f"{s}_latency_{k}": 1 for s in sides for k in ("avg", "p50", "p90", "p99")}
-    return row.withColumns({k: verdicts.rounded(k, n) for k, n in digits.items()})
+    digits |= {f"{s}_{d}": 2 for s in sides for d in verdicts.WEIGHTS} | {f"{s}_latency_{k}": 1 for s in sides for k in stats}
+    reported = verdicts.rounded_all(row, digits)
+    ratio = F.try_divide("baseline_latency_avg", "candidate_latency_avg")
+    return verdicts.rounded_all(reported.withColumn("speed_ratio", F.coalesce(ratio, F.lit(0.0))), {"speed_ratio": 2})

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.text import md5_int
+from .selection import numbered
 
 
 def pending(rows: DataFrame, done: DataFrame, key: str = "request_id", force: bool = False) -> DataFrame:
@@ -16,11 +14,30 @@ def pending(rows: DataFrame, done: DataFrame, key: str = "request_id", force: bo
     return rows if force else rows.join(done.select(key), key, "left_anti")
 
 
-def by_prefixes(rows: DataFrame, prefixes: list[str], key: str = "request_id") -> DataFrame:
-    """Rows whose id starts with any prefix; no prefixes means all rows."""
-    if not prefixes:
-        return rows
-    return rows.where(reduce(lambda a, b: a | b, (F.startswith(F.col(key), F.lit(p)) for p in prefixes)))
+def by_prefixes(rows: DataFrame, prefixes: list[str] | DataFrame, key: str = "request_id") -> DataFrame:
+    """Rows whose id starts with any prefix, of a list or of a table's first column.
+
+    An empty list means all rows, an empty table none.  Prefixes that have a
+    shorter one in the set add nothing; without them at most one prefix fits an
+    id, so an equi-join of the id's heads, of the lengths that occur, keeps every
+    row once.  Null ids and null prefixes fit nothing.
+    """
+    if isinstance(prefixes, list):
+        if not prefixes:
+            return rows
+        prefixes = rows.sparkSession.createDataFrame([(p,) for p in prefixes], "prefix string")
+    known = prefixes.select(F.col(prefixes.columns[0]).cast("string").alias("_prefix")).where("_prefix is not null").distinct()
+    # at most as many lengths as the longest prefix has characters
+    lengths = sorted(r["n"] for r in known.select(F.length("_prefix").alias("n")).distinct().collect())
+    if not lengths:
+        return rows.limit(0)
+    heads = lambda c, upto: F.transform(F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= upto), lambda n: F.substring(c, F.lit(1), n))
+    longer = known.select("_prefix", F.explode(heads(F.col("_prefix"), F.length("_prefix") - 1)).alias("_head"))
+    shorter = known.select(F.col("_prefix").alias("_head"))
+    covered = longer.join(shorter, "_head").select("_prefix").distinct()
+    free = known.join(covered, "_prefix", "left_anti")
+    given = F.col(key).cast("string")
+    return rows.withColumn("_prefix", F.explode(heads(given, F.length(given)))).join(free, "_prefix").select(*rows.columns)
 
 
 def longest(rows: DataFrame, n: int, text: str = "response_text", order: str = "pos") -> DataFrame:
@@ -63,20 +80,13 @@ def all_failures(rows: DataFrame) -> DataFrame:
     return rows.where("validation.status = 'fail'")
 
 
-def ranked_by_hash(rows: DataFrame, key: str, seed: int = 42) -> DataFrame:
+def ranked_by_hash(rows: DataFrame, key: str, seed: int = 42, folder: str | None = None) -> DataFrame:
     """Rows with ``rank``, 0-based, in a seeded order that no partitioning changes.
 
-    Ranks come from range partitions: each task numbers its rows, and the counts
-    of the partitions before are added; no task sees all rows.
+    Ranks come from ranges sized by rows; no task sees all rows.
     """
     turn = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    bucket = F.substring("turn", 1, 3)
-    keyed = rows.withColumn("turn", turn).withColumn("bucket", bucket)
-    # 4,096 buckets of the hash, counted first: a table of fixed size
-    sizes = keyed.groupBy("bucket").agg(F.count("*").alias("size"))
-    before = sizes.withColumn("before", F.sum("size").over(Window.orderBy("bucket")) - F.col("size")).select("bucket", "before")
-    place = F.row_number().over(Window.partitionBy("bucket").orderBy("turn", key))
-    return keyed.join(F.broadcast(before), "bucket").withColumn("rank", F.col("before") + place - 1).drop("bucket", "before", "turn")
+    return numbered(rows.withColumn("turn", turn), ["turn", key], "rank", folder).drop("turn")
 
 
 def split(rows: DataFrame, key: str, share: float = 0.1, seed: int = 42) -> DataFrame:

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import chat, text, verdicts
-from ..operators import dataset, evaluation, reports, responders, select, upsert, workflow
+from ..operators import dataset, evaluation, reports, responders, select, selection, upsert, workflow
 from ..sources import jsonl, sinks
 from ..sources import text as text_source
+from ..sources.keyed_table import KeyedTable
+from ..sources.work import stored
 from ..streaming import ingest
 from .parity import _STRIP, query
 from .standins import LABELED_SQL, LOG_SQL, PROMPT, labeled_rows, load, log_rows, work_folder
@@ -102,10 +107,10 @@ def eval_samples_of_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT string_agg(name || chr(10), '' ORDER BY r_regionkey) AS whole, rtrim(string_agg(name || chr(10), '' ORDER BY r_regionkey), chr(10)) AS trimmed FROM (SELECT r_regionkey, r_name AS name FROM region)")
 def whole_text_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file of a few lines as one text, and without its outer white space; the text stays a column."""
     base = work_folder(spark)
     load(spark, sf_dir, "region").orderBy("r_regionkey").select("r_name").coalesce(1).write.text(base)
-    whole = [text_source.whole_text(spark, f"{base}/*.txt", trimmed) for trimmed in (False, True)]
-    return spark.createDataFrame([tuple(whole)], "whole string, trimmed string")
+    return text_source.whole_texts(spark, f"{base}/*.txt").select(F.col("text").alias("whole"), text.strip("text").alias("trimmed"))
 
 
 # ---- sinks and streams ----
@@ -142,14 +147,14 @@ def current_table_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     half = docs.agg((F.max("doc_id") / 2).alias("h")).first()["h"] or 0
     schema = "request_id string, pos long, v long"
     changes = docs.select(F.col("source").alias("request_id"), F.col("doc_id").alias("pos"), F.col("n_chars").alias("v"))
-    for number, part in enumerate((F.col("pos") <= half, F.col("pos") > half)):
+    table = KeyedTable(spark, f"{base}/table", schema)
+    for part in (F.col("pos") <= half, F.col("pos") > half):
         sinks.append_json(changes.where(part), f"{base}/in")
         stream = spark.readStream.schema(schema).json(f"{base}/in")
-        ingest.keep_current(stream, f"{base}/table", "request_id", "pos", f"{base}/state").awaitTermination()
-    current = spark.read.schema(schema).parquet(f"{base}/table/v{number:06d}")
+        ingest.keep_current(stream, table, f"{base}/state").awaitTermination()
     # the position of a key is its first one; what is compared is that of its last change
     last = changes.groupBy("request_id").agg(F.max("pos").alias("pos"))
-    return current.drop("pos").join(last, "request_id").select("request_id", "pos", "v")
+    return table.read().drop("pos").join(last, "request_id").select("request_id", "pos", "v")
 
 
 @query("""SELECT time_bucket(INTERVAL '10 minutes', ts::TIMESTAMP) AS start, event_type, count(*)::BIGINT AS n, round(avg(value), 6) AS mean
@@ -159,11 +164,15 @@ def windowed_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("window.start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("mean", 6).alias("mean"))
 
 
-@query("SELECT 'm.q4.gguf' AS name, 'm.q4.v13.gguf' AS backup")
+@query("""WITH f AS (SELECT 'm' || p_partkey % 5 AS stem, p_size, p_partkey FROM part)
+SELECT stem || '.gguf' AS name, stem || '.v' || (max(CASE WHEN p_size % 3 = 1 THEN p_size ELSE 0 END) + 1) || '.gguf' AS backup
+FROM f GROUP BY stem HAVING max(CASE WHEN p_size % 3 = 0 AND p_partkey % 5 <> 2 THEN 1 ELSE 0 END) = 1""")
 def versioned_backup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ["m.q4.gguf", "m.q4.v2.gguf", "m.q4.v12.gguf", "m-BF16.gguf", "other.v40.gguf"]
-    table = spark.createDataFrame([(n,) for n in names], "name string")
-    return sinks.backup_name(table, "m.q4").union(sinks.backup_name(table, "m-BF16")).union(sinks.backup_name(table, "other"))
+    """Backups of five stems' current files, if they have one; files are named after parts: current, versioned, full precision."""
+    stem, size = F.concat(F.lit("m"), (F.col("p_partkey") % 5).cast("string")), F.col("p_size")
+    kind = F.when((size % 3 == 0) & (F.col("p_partkey") % 5 != 2), F.lit("")).when(size % 3 == 1, F.concat(F.lit(".v"), size.cast("string"))).otherwise(F.lit("-BF16"))
+    names = load(spark, sf_dir, "part").select(F.concat(stem, kind, F.lit(".gguf")).alias("name"))
+    return reduce(DataFrame.union, (sinks.backup_name(names, f"m{k}") for k in range(5)))
 
 
 # ---- selection, rows, reports ----
@@ -189,6 +198,13 @@ def failure_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.failure_listing(select.open_failures(labeled_rows(spark, sf_dir)))
 
 
+@query(f"""WITH {LABELED_SQL}, f AS (SELECT doc_id, request_id, coalesce(type, 'UNKNOWN') AS type, reason FROM labeled_v WHERE status = 'fail' AND NOT manually_reviewed)
+SELECT row_number() OVER (ORDER BY type, doc_id) - 1 AS line, type, count(*) OVER (PARTITION BY type)::BIGINT AS n, request_id, reason FROM f""")
+def failure_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listing in its order: by type, then as the rows stand."""
+    return reports.failure_listing(select.open_failures(labeled_rows(spark, sf_dir)), order="doc_id")
+
+
 @query("""WITH c AS (SELECT len(list_filter(regexp_split_to_array(coalesce(text, ''), '\\s+'), lambda w: w <> '')) AS words FROM documents),
 g AS (SELECT CASE WHEN words < 50 THEN 0 WHEN words < 100 THEN 1 WHEN words < 200 THEN 2 WHEN words < 500 THEN 3 ELSE 4 END AS k, count(*) AS n FROM c GROUP BY 1)
 SELECT bucket, rpad(bucket, 14, ' ') || '  ' || lpad(format('{:,}', coalesce(n, 0)), 10, ' ') || ' (' || printf('%5.1f', coalesce(n, 0) * 100.0::DOUBLE / (SELECT count(*) FROM c)) || '%)' AS text
@@ -253,6 +269,21 @@ def labelled_by_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("request_id", "model_used_for_label", "original_response", "label")
 
 
+@query(f"""WITH {LOG_SQL}, t AS (SELECT *, {_STRIP.format('asked')} AS a, dense_rank() OVER (ORDER BY conv_id) AS c FROM log_v)
+SELECT request_id, 'big' AS model_used_for_label, 'reply to ' || a AS label, row_number() OVER (ORDER BY conv_id, turn) - 1 AS pos FROM t WHERE a <> ''""")
+def labelled_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A labelling step in parts of 50 rows: the first run has replies to some prompts only, the second goes on with the rest."""
+    base = work_folder(spark)
+    log = log_rows(spark, sf_dir).withColumns({"timestamp": F.lit("t"), "model": F.lit("m")})
+    log = stored(selection.numbered(log, ["conv_id", "turn"], "pos"), f"{base}/log")
+    prompts = workflow.label_prompts(log, "{transcript}").select("prompt").distinct()
+    replies = prompts.select(responders.prompt_key(F.col("prompt"), "big").alias("key"), F.concat(F.lit(" reply to "), "prompt").alias("reply"), F.lit(1.0).alias("duration_ms"))
+    table = KeyedTable(spark, f"{base}/table", f"{schemas.LABELED}, pos long", buckets=8)
+    for some in (replies.where("key < '8'"), replies):
+        workflow.label_into(table, log.drop("conv_id", "turn"), responders.Replay(some, "big"), "{transcript}", "big", rows_at_once=50)
+    return table.read().select("request_id", "model_used_for_label", "label", "pos")
+
+
 def _answer(prompt: str) -> str:
     if prompt.endswith("7"):
         raise ValueError("refused")

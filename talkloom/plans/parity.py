@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import chat, text, verdicts
-from ..operators import dataset, evaluation, reports, select, upsert
+from ..operators import dataset, evaluation, reports, resampling, select, selection, upsert
 from ..sources import jsonl, sinks
 from ..sources import text as text_source
 from ..streaming import ingest
@@ -344,12 +345,13 @@ _DIMS = {"topic": [f"topic {c}" for c in "abcdefghijkl"], "scenario": [f"scenari
 
 
 @query("""
-SELECT 'topic ' || chr(97 + i % 12) AS topic, 'scenario ' || chr(97 + i % 12) AS scenario,
-       [500, 750, 1000, 1500, 2000, 2500, 3000, 3500][i % 8 + 1]::INT AS target_words, (i + 1)::BIGINT AS seed, printf('syn-%03d', i + 1) AS request_id
-FROM (SELECT unnest(range(120))::INT AS i)
+SELECT 'topic ' || chr((97 + doc_id % 12)::INT) AS topic, 'scenario ' || chr((97 + doc_id % 12)::INT) AS scenario,
+       [500, 750, 1000, 1500, 2000, 2500, 3000, 3500][doc_id % 8 + 1]::INT AS target_words, (doc_id + 1)::BIGINT AS seed, printf('syn-%03d', doc_id + 1) AS request_id
+FROM documents
 """)
 def scenario_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = select.assignments(spark.range(120).withColumnRenamed("id", "i"), _DIMS)
+    """An assignment for every document."""
+    rows = select.assignments(load(spark, sf_dir, "documents").select(F.col("doc_id").alias("i")), _DIMS)
     return rows.select("topic", "scenario", "target_words", (F.col("i") + 1).alias("seed"), dataset.synthetic_id(F.col("i") + 1).alias("request_id"))
 
 
@@ -470,7 +472,7 @@ SELECT x.event_type AS baseline, y.event_type AS candidate, round(CASE WHEN roun
 FROM a x JOIN a y ON x.event_type < y.event_type
 """)
 def speed_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    means = evaluation.latency(load(spark, sf_dir, "events"), "value", ["event_type"]).select("event_type", "avg")
+    means = evaluation.mean_latency(load(spark, sf_dir, "events"), "value", ["event_type"])
     left, right = means.toDF("baseline", "b"), means.toDF("candidate", "c")
     pairs = left.join(right, F.col("baseline") < F.col("candidate"))
     return pairs.select("baseline", "candidate", evaluation.speed_ratio(F.col("b"), F.col("c")).alias("ratio"))
@@ -488,7 +490,7 @@ def rank_paired_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the names of event types are a handful
     types = load(spark, sf_dir, "events").select("event_type").distinct()
     after = types.select("event_type", F.lead("event_type").over(Window.orderBy("event_type")).alias("after"))
-    placed = evaluation.ranked(events, "value", ["event_type"])
+    placed = selection.ranked(events, "value", ["event_type"])
     left = placed.join(F.broadcast(after), "event_type").select(F.col("event_type").alias("baseline"), F.col("after").alias("event_type"), "rank", F.col("value").alias("a"))
     return left.join(placed.withColumnRenamed("value", "b"), ["event_type", "rank"]).select("baseline", "rank", "a", "b")
 
@@ -537,12 +539,13 @@ def latency_p_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.select("baseline", "n", F.round("z", 6).alias("z"), F.round("p", 6).alias("p"))
 
 
-_PICK = "('0x' || substr(md5('42:' || (draw // 4) || ':' || pos), 1 + 8 * (draw % 4), 8))::BIGINT"
-_SIGN = "CASE WHEN ('0x' || substr(md5('42:' || (draw // 32) || ':' || pos), 1 + draw % 32, 1))::BIGINT % 2 = 1 THEN -1 ELSE 1 END"
-
-
-_BOOTSTRAP = f"""bn AS (SELECT count(*) AS n FROM diffs_v),
-bg AS (SELECT draw, {_PICK} % n AS pick FROM (SELECT unnest(range(10000))::INT AS draw), diffs_v, bn),
+#: Keys of draws and hashes of places as ``resampling`` has them within a block; these tables have fewer rows than one.
+_KEY = resampling.mixed_sql("xor(({})::UBIGINT, (SELECT base FROM bb))")
+_WORD = resampling.mixed_sql(f"(key + (pos::UBIGINT * {resampling.GOLDEN})) & 4294967295")
+_BLOCK = f"bb AS (SELECT {resampling.mixed_sql(f'{42 * resampling.GOLDEN % 2**32}::UBIGINT')} AS base)"
+_BOOTSTRAP = f"""{_BLOCK}, bn AS (SELECT count(*) AS n FROM diffs_v),
+bk AS (SELECT draw, {_KEY.format('draw')} AS key FROM (SELECT unnest(range(10000))::INT AS draw)),
+bg AS (SELECT draw, ({_WORD} % n::UBIGINT)::BIGINT AS pick FROM bk, diffs_v, bn),
 bm AS (SELECT draw, avg(d) AS mean FROM bg JOIN diffs_v ON diffs_v.pos = bg.pick GROUP BY draw),
 bo AS (SELECT mean, row_number() OVER (ORDER BY mean) AS k FROM bm),
 gap AS (SELECT round(min(mean) FILTER (k = 251), 6) AS gap_low, round(min(mean) FILTER (k = 9750), 6) AS gap_high FROM bo)"""
@@ -551,17 +554,20 @@ gap AS (SELECT round(min(mean) FILTER (k = 251), 6) AS gap_low, round(min(mean)
 @query(f"WITH {SCORES_SQL}, {_BOOTSTRAP} SELECT gap_low AS low, gap_high AS high FROM gap")
 def bootstrap_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The interval of all 10,000 draws of the original."""
-    ci = evaluation.bootstrap_ci(spark, _diffs(spark, sf_dir))
+    ci = resampling.bootstrap_ci(_diffs(spark, sf_dir))
     return ci.select(F.round("low", 6).alias("low"), F.round("high", 6).alias("high"))
 
 
-@query(f"""WITH {SCORES_SQL}, x AS (SELECT pos, round(d * 10)::BIGINT AS d FROM diffs_v),
-s AS (SELECT draw, abs(sum(d * {_SIGN})) AS s, abs(sum(d)) AS o FROM (SELECT unnest(range(10000))::INT AS draw), x GROUP BY draw)
+@query(f"""WITH {SCORES_SQL}, {_BLOCK}, x AS (SELECT pos, round(d * 10)::BIGINT AS d FROM diffs_v),
+k AS (SELECT word, {_KEY.format('word')} AS key FROM (SELECT unnest(range(313))::INT AS word)),
+b AS (SELECT word, d, {_WORD} AS bits FROM k, x),
+s AS (SELECT word, bit, abs(sum(CASE WHEN (bits >> bit) & 1 = 1 THEN -d ELSE d END)) AS s, abs(sum(d)) AS o
+      FROM b, (SELECT unnest(range(32)) AS bit) WHERE word * 32 + bit < 10000 GROUP BY ALL)
 SELECT count(*) FILTER (s >= o)::BIGINT AS hits, count(*) FILTER (s >= o) / 10000.0::DOUBLE AS p FROM s""")
 def permutation_p(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The p value of all 10,000 draws of the original."""
     diffs = _diffs(spark, sf_dir).select("pos", F.round(F.col("d") * 10).cast("long").alias("d"))
-    return evaluation.permutation_p(spark, diffs).select("hits", "p")
+    return resampling.permutation_p(diffs).select("hits", "p")
 
 
 _VETO = " ".join(
@@ -609,30 +615,94 @@ SELECT n_samples::BIGINT AS n_samples, round(b, 6) AS baseline_avg_score, round(
   round(round(baseline_latency_avg, 1) / round(candidate_latency_avg, 1), 2) AS speed_ratio, pv.*, gap.* FROM h, lbaseline, lcandidate, pv, gap""")
 def eval_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole summary but for its sentence, which tests compare; unrounded, as SQL has no rounding of binary values."""
-    docs = load(spark, sf_dir, "documents")
-    sides = [docs.select(F.expr(f"({v.replace('::DOUBLE', 'D')})").alias("duration_ms")) for v in _DURATIONS.values()]
-    row = evaluation.whole_summary(spark, score_maps(docs), *sides, "doc_id", as_reported=False)
+    row = _whole_summary(spark, sf_dir)
     row = row.withColumns({f.name: F.round(f.name, 6) for f in row.schema if f.dataType.typeName() == "double"})
     return row.drop("winner_reason")
 
 
-# ---- registries, versions, streams ----
+def _whole_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    sides = [docs.select(F.expr(f"({v.replace('::DOUBLE', 'D')})").alias("duration_ms")) for v in _DURATIONS.values()]
+    return evaluation.whole_summary(spark, score_maps(docs), *sides, "doc_id", as_reported=False)
+
+
+def _fixed(x: str, digits: int, sign: bool = False) -> str:
+    return f"printf('%{'+' if sign else ''}.{digits}f', floor(({x}) * {10**digits}.0::DOUBLE + 0.5) / {10**digits}.0::DOUBLE)"
+
+
+def _both(b: str, c: str, n: int) -> str:
+    return f"{_fixed(b, n)} || ' -> ' || {_fixed(c, n)} || ' (' || {_fixed(f'{c} - {b}', n, True)} || ')'"
 
-_INI = ["version = 1", "", "[*]", "c = 16384", "temp = 0.7", "; gpu = all", "[alpha]", "model = a.gguf", "temp = 0.2", "[beta]", "model = b=2.gguf"]
 
+def _p_sql(name: str) -> str:
+    return f"', p ' || CASE WHEN {name} IS NULL THEN 'n/a' WHEN {name} < 0.0001 THEN '<.0001' ELSE printf('%.4f', {name}) END"
+
+
+_REASON = "CASE " + " ".join(
+    f"WHEN candidate_{d} < 3 AND baseline_{d} >= 3 THEN 'Candidate fails critical dimension: {d}' WHEN baseline_{d} < 3 AND candidate_{d} >= 3 THEN 'Baseline fails critical dimension: {d}'"
+    for d in verdicts.CRITICAL
+) + """ WHEN winner = 'tie' THEN 'Scores within margin (baseline=' || round(baseline_avg_score, 1) || ', candidate=' || round(candidate_avg_score, 1) || ')'
+  WHEN winner = 'candidate' THEN 'Candidate wins ' || round(candidate_avg_score, 1) || ' vs ' || round(baseline_avg_score, 1) || ' (+' || round(round(candidate_avg_score, 1) - round(baseline_avg_score, 1), 1) || ')'
+  ELSE 'Baseline wins ' || round(baseline_avg_score, 1) || ' vs ' || round(candidate_avg_score, 1) || ' (+' || round(round(baseline_avg_score, 1) - round(candidate_avg_score, 1), 1) || ')' END"""
+_REPORT = [
+    "'small against big, samples: ' || n_samples",
+    *(f"'{d} (weight {w}): ' || {_both(f'baseline_{d}', f'candidate_{d}', 2)} || {_p_sql(f'p_{d}')}" for d, w in verdicts.WEIGHTS.items()),
+    f"'overall: ' || {_both('baseline_avg_score', 'candidate_avg_score', 1)} || {_p_sql('overall_p_value')}",
+    f"'gap, 95% of resamples: ' || {_fixed('gap_low', 2, True)} || ' to ' || {_fixed('gap_high', 2, True)}",
+    f"""'candidate wins: ' || {_fixed('wins_candidate * 100.0::DOUBLE / (wins_baseline + wins_candidate)', 0)} || '% of ' || (wins_baseline + wins_candidate)
+      || ', 95% interval ' || {_fixed('win_low * 100', 0)} || '% to ' || {_fixed('win_high * 100', 0)} || '%, ties: ' || wins_tie""",
+    *(f"""'latency {k}: ' || {_fixed(f'baseline_latency_{k}', 0)} || ' ms -> ' || {_fixed(f'candidate_latency_{k}', 0)} || ' ms, '
+      || {_fixed(f'baseline_latency_{k} / candidate_latency_{k}', 1)} || 'x'""" for k in ("avg", "p50", "p90", "p99")),
+    f"'latency' || {_p_sql('latency_p_value')} || ', speed ratio ' || {_fixed('speed_ratio', 2)}",
+    f"'decision: ' || winner || '; ' || {_REASON}",
+]
+
+
+@query(f"SELECT unnest(range({len(_REPORT)}))::INT AS line, unnest([{', '.join(_REPORT)}]) AS text FROM ({SQL['eval_summary']}) s")
+def eval_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole report of an evaluation, line by line."""
+    row = _whole_summary(spark, sf_dir)
+    row = row.withColumns({f.name: F.round(f.name, 6) for f in row.schema if f.dataType.typeName() == "double"})
+    return reports.evaluation_report(row, "small", "big")
+
+
+# ---- registries, versions, streams ----
 
 @query("""
-SELECT * FROM (VALUES ('alpha', 'c', '16384'), ('alpha', 'temp', '0.2'), ('alpha', 'model', 'a.gguf'), ('beta', 'c', '16384'),
-  ('beta', 'temp', '0.7'), ('beta', 'model', 'b=2.gguf')) t(section, key, value)
+WITH d AS (SELECT n_name AS key, 'common ' || n_nationkey AS value FROM nation WHERE n_nationkey % 5 = 0),
+o AS (SELECT r_name AS section, n_name AS key, 'a=' || n_nationkey AS value FROM nation JOIN region ON r_regionkey = n_regionkey)
+SELECT section, key, value FROM o UNION ALL
+SELECT r_name, d.key, d.value FROM region, d WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.section = r_name AND o.key = d.key)
 """)
 def models_config_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text_source.resolve_sections(spark.createDataFrame(list(enumerate(_INI)), "pos int, line string"))
+    """A registry with a section for every region, its nations as keys, some nations as defaults; written as a file and read."""
+    nation, region = load(spark, sf_dir, "nation"), load(spark, sf_dir, "region")
+    number = F.col("n_nationkey").cast("string")
+    line = lambda text, at: (F.struct(*at).alias("at"), text.alias("value"))
+    lead, zero = F.lit(-1).cast("long"), F.lit(0).cast("long")
+    lines = [
+        region.where("r_regionkey = 0").select(*line(F.lit("version = 1"), [lead - 1, zero])),
+        region.where("r_regionkey = 0").select(*line(F.lit("[*]"), [lead, lead])),
+        nation.where("n_nationkey % 5 = 0").select(*line(F.concat("n_name", F.lit(" = common "), number), [lead, F.col("n_nationkey").cast("long")])),
+        region.select(*line(F.concat(F.lit("["), "r_name", F.lit("]")), [F.col("r_regionkey").cast("long"), lead])),
+        nation.select(*line(F.concat(F.lit(" "), "n_name", F.lit(" = a="), number), [F.col("n_regionkey").cast("long"), F.col("n_nationkey").cast("long")])),
+        nation.select(*line(F.concat(F.lit("; "), "n_name", F.lit(" = off")), [F.col("n_regionkey").cast("long"), F.lit(1000).cast("long")])),
+    ]
+    path = f"{work_folder(spark)}/models.ini"
+    reduce(DataFrame.union, lines).orderBy("at").select("value").coalesce(1).write.text(path)  # a registry is one small file
+    return text_source.read_ini(spark, path)
 
 
-@query("SELECT 13::INT AS next_v")
+@query("""
+WITH f AS (SELECT p_partkey % 5 AS stem, CASE WHEN p_size % 4 = 0 THEN NULL ELSE p_size + 1 END AS v FROM part)
+SELECT 'm' || stem AS stem, (coalesce(max(v), 0) + 1)::INT AS next_v FROM f GROUP BY stem
+""")
 def next_version(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ["m.q4.gguf", "m.q4.v2.gguf", "m.q4.v12.gguf", "m.q4.vx.gguf", "other.v40.gguf"]
-    return sinks.next_version(spark.createDataFrame([(n,) for n in names], "name string"), "m.q4")
+    """The next version of five stems whose files are named after parts, some with no number."""
+    stem = F.concat(F.lit("m"), (F.col("p_partkey") % 5).cast("string"))
+    version = F.when(F.col("p_size") % 4 == 0, F.lit(".vx.gguf")).otherwise(F.concat(F.lit(".v"), (F.col("p_size") + 1).cast("string"), F.lit(".gguf")))
+    names = load(spark, sf_dir, "part").select(F.concat(stem, version).alias("name"))
+    return reduce(DataFrame.union, (sinks.next_version(names, f"m{k}").select(F.lit(f"m{k}").alias("stem"), "next_v") for k in range(5)))
 
 
 @query("SELECT false AS same_rows_changed, true AS fewer_rows_changed, count(*)::BIGINT AS n FROM documents")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jobs  # noqa: F401  (adds its queries)
+from . import jobs, tables  # noqa: F401  (add their queries)
 from .parity import QUERIES, SQL
 
 

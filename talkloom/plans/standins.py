@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import chat, verdicts
 from ..functions.text import md5_int
+from ..sources.work import work_folder  # noqa: F401  (queries take it from here)
 
 PROMPT = "<SYSTEM_INSTRUCTIONS>\nKeep the meaning; <CUSTOM_VOCABULARY>names</CUSTOM_VOCABULARY> may follow.\n</SYSTEM_INSTRUCTIONS>"
 MODEL = "small-chat"
@@ -19,21 +17,6 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def work_folder(spark: SparkSession) -> str:
-    """A new folder for a query's files, under the cluster's shared checkpoint folder.
-
-    Where that is unset, a local session gets one under the temporary folder; a
-    cluster is refused, as its executors would not see one another's files.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.gettempdir()
-    return f"{base.rstrip('/')}/talkloom-files-{uuid.uuid4().hex}"
-
-
 def log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A log row for every user turn that an assistant turn follows."""
     turns = load(spark, sf_dir, "conversations")

@@ -38,14 +38,17 @@ def valid_rows(log: DataFrame) -> DataFrame:
     return log.where("coalesce(request_json_valid, false) and coalesce(response_json_valid, false)")
 
 
+def is_object(line: Column | str) -> Column:
+    return F.try_variant_get(F.try_parse_json(line), "$", "map<string,variant>").isNotNull()
+
+
 def scan_lenient(spark: SparkSession, paths: str | list[str], schema: str, key: str | None = None) -> DataFrame:
     """Lines that parse to objects, and have the key if one is asked for.
 
     Every line is parsed by itself, so one bad line costs no other.
     """
     lines = scan_lines(spark, paths)
-    is_object = F.try_variant_get(F.try_parse_json("value"), "$", "map<string,variant>").isNotNull()
-    rows = lines.where(is_object).select("pos", F.from_json("value", schema).alias("row")).select("pos", "row.*")
+    rows = lines.where(is_object("value")).select("pos", F.from_json("value", schema).alias("row")).select("pos", "row.*")
     return rows if key is None else rows.where(F.col(key).isNotNull())
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .work import file_system
+
 
 def append_json(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").json(path)
@@ -66,3 +68,16 @@ def backup_name(names: DataFrame, stem: str, extension: str = "gguf") -> DataFra
     current = names.where((F.col("name") == f"{stem}.{extension}") & ~F.contains("name", F.lit("BF16")) & ~F.col("name").rlike(r"\.v[0-9]+\."))
     numbered = current.distinct().crossJoin(next_version(names, stem))
     return numbered.select("name", F.concat(F.lit(f"{stem}.v"), F.col("next_v").cast("string"), F.lit(f".{extension}")).alias("backup"))
+
+
+def backup(spark: SparkSession, folder: str, stem: str, extension: str = "gguf") -> str | None:
+    """Copy the stem's current file in a folder to its next version; gives the new name, None where there is no such file."""
+    files, where = file_system(spark, folder)
+    names = [(s.getPath().getName(),) for s in files.listStatus(where)]
+    row = backup_name(spark.createDataFrame(names, "name string"), stem, extension).first()
+    if row is None:
+        return None
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    at = lambda name: hadoop.Path(where, name)
+    hadoop.FileUtil.copy(files, at(row["name"]), files, at(row["backup"]), False, spark.sparkContext._jsc.hadoopConfiguration())
+    return row["backup"]

@@ -13,6 +13,11 @@ def whole_text(spark: SparkSession, path: str, trimmed: bool = False) -> str:
     return text.strip() if trimmed else text
 
 
+def whole_texts(spark: SparkSession, path: str) -> DataFrame:
+    """(path, text) of whole files, each a row; texts stay with Spark."""
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+
+
 def resolve_sections(lines: DataFrame, defaults: str = "*") -> DataFrame:
     """(section, key, value) of INI lines (pos, line), defaults filled in.
 

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
-from ..operators.upsert import upsert
-from ..sources.jsonl import last_per_key
+from ..sources.keyed_table import KeyedTable
 
 
 def read_log_stream(spark: SparkSession, path: str) -> DataFrame:
@@ -27,21 +26,16 @@ def deduplicated(rows: DataFrame, key: str, time: str, delay: str = "1 day") ->
     return stamped.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
-def keep_current(rows: DataFrame, base: str, key: str, order: str, checkpoint: str) -> StreamingQuery:
-    """Upsert every micro-batch into a new version of a keyed table under ``base``.
+def keep_current(rows: DataFrame, table: KeyedTable, checkpoint: str) -> StreamingQuery:
+    """Upsert every micro-batch into a keyed table, whose touched buckets alone are written.
 
-    A version is named by its batch, so a batch that runs twice writes the same.
+    The table remembers the stream's last batch, so one that runs twice is applied once.
     """
 
     def apply(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        new = last_per_key(batch, key, order)
-        if number:
-            old = spark.read.schema(batch.schema).parquet(f"{base}/v{number - 1:06d}")
-            new = upsert(old, new, key, order)
-        new.select(*batch.columns).write.mode("overwrite").parquet(f"{base}/v{number:06d}")
-
-    return rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        table.apply(batch, checkpoint, number)
+
+    return rows.writeStream.foreachBatch(apply).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def windowed_latency(rows: DataFrame, time: str, value: str, by: str, window: str = "10 minutes", delay: str = "10 minutes") -> DataFrame:

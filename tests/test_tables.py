@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from talkloom import schemas
 from talkloom.functions.text import md5_int
-from talkloom.operators import dataset, evaluation, responders, select, upsert
+from talkloom.operators import dataset, evaluation, resampling, responders, select, upsert
 from talkloom.sources import jsonl, sinks
 from talkloom.sources import text as text_source
 from talkloom.streaming import ingest
@@ -102,9 +102,9 @@ def test_latency_and_wilcoxon(spark):
 def test_bootstrap_and_permutation(spark):
     values = [random.Random(i).gauss(1, 1) for i in range(40)]
     diffs = spark.createDataFrame(list(enumerate(values)), "pos long, d double")
-    ci = evaluation.bootstrap_ci(spark, diffs, 400).first()
+    ci = resampling.bootstrap_ci(diffs, 400).first()
     assert ci["low"] < sum(values) / 40 < ci["high"]
-    assert evaluation.permutation_p(spark, diffs, 400).first()["p"] < 0.05
+    assert resampling.permutation_p(diffs, 400).first()["p"] < 0.05
 
 
 def test_coins(spark):
@@ -142,18 +142,6 @@ def test_snapshot_only_when_changed(spark, tmp_path):
     assert sinks.snapshot(spark, spark.range(6), str(tmp_path), "2020-01-02", last) is not None
 
 
-def test_stream_keeps_last_value(spark, tmp_path):
-    source = tmp_path / "in"
-    source.mkdir()
-    schema = "request_id string, v int, pos int"
-    for k, lines in enumerate(([("a", 1, 0), ("b", 1, 1), ("a", 2, 2)], [("b", 3, 3), ("c", 1, 4)])):
-        (source / f"{k}.json").write_text("".join(json.dumps(dict(zip(("request_id", "v", "pos"), x, strict=True))) + "\n" for x in lines))
-        stream = spark.readStream.schema(schema).json(str(source))
-        ingest.keep_current(stream, str(tmp_path / "table"), "request_id", "pos", str(tmp_path / "state")).awaitTermination()
-    rows = spark.read.parquet(str(tmp_path / "table" / "v000001")).collect()
-    assert sorted((r["request_id"], r["v"]) for r in rows) == [("a", 2), ("b", 3), ("c", 1)]
-
-
 def test_log_stream_appends(spark, tmp_path):
     (tmp_path / "in").mkdir()
     write(tmp_path / "in" / "a.jsonl", [{"request_id": "a"}, {"request_id": "b"}])

@@ -2,27 +2,24 @@
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pytest
 from test_queries import DATA
 
+from talkloom.operators import resampling
 from talkloom.plans import parity, registry
 
 
-def digits(n: int, each: int) -> list[list[str]]:
-    """MD5 digests of all differences for every block of draws."""
-    return [[hashlib.md5(f"42:{k}:{i}".encode()).hexdigest() for i in range(n)] for k in range(-(-10_000 // each))]
-
-
 def test_resampling_takes_all_draws(spark):
+    """These tables fit a block, so its keys and hashes are all there is to the picks and signs."""
     d = np.array([r["d"] for r in parity._diffs(spark, DATA).orderBy("pos").collect()])
-    picks = np.array([[int(x[8 * j : 8 * j + 8], 16) for x in block] for block in digits(len(d), 4) for j in range(4)])
-    means = np.sort(d[picks % len(d)].mean(axis=1))
+    keys = resampling.stream_keys(42, 0, np.arange(10_000))
+    places = np.arange(len(d), dtype=np.uint32) * np.uint32(resampling.GOLDEN)
+    means = np.sort(d[resampling.mixed(keys[:, None] + places) % np.uint32(len(d))].mean(axis=1))
     ci = registry.queries()["bootstrap_ci"](spark, DATA).first()
-    assert picks.shape[0] == 10_000 and (ci["low"], ci["high"]) == pytest.approx((means[250], means[9749]), abs=2e-6)
-    signs = np.array([[-1 if int(x[j], 16) % 2 else 1 for x in block] for block in digits(len(d), 32) for j in range(32)])[:10_000]
+    assert len(means) == 10_000 and (ci["low"], ci["high"]) == pytest.approx((means[250], means[9749]), abs=2e-6)
+    words = resampling.mixed(resampling.stream_keys(42, 0, np.arange(313))[:, None] + places)
+    signs = np.array([1 - 2 * (words >> np.uint32(k) & np.uint32(1)).astype(int) for k in range(32)]).transpose(1, 0, 2).reshape(-1, len(d))[:10_000]
     tenths = np.round(d * 10).astype(int)
     hits = int((abs((tenths * signs).sum(axis=1)) >= abs(tenths.sum())).sum())
     p = registry.queries()["permutation_p"](spark, DATA).first()

@@ -119,8 +119,15 @@ def test_generate(spark):
 def test_reports(spark):
     scores = F.create_map(F.lit("conciseness"), F.lit(5.0))
     judged = spark.range(3).select(F.create_map(F.lit("conciseness"), F.lit(1.0)).alias("baseline_scores"), scores.alias("candidate_scores"))
-    texts = [r["text"] for r in reports.summary_report(evaluation.summary(judged)).orderBy("line").collect()]
-    assert texts[1].startswith("Win rate: 100% (3/3)") and texts[2].startswith("WINNER: CANDIDATE")
+    sides = [spark.createDataFrame([(x,), (x,)], "duration_ms double") for x in (30.0, 15.0)]
+    row = evaluation.whole_summary(spark, judged.withColumn("id", F.monotonically_increasing_id()), *sides, "id", n_draws=100)
+    texts = [r["text"] for r in reports.evaluation_report(row, "small", "big").orderBy("line").collect()]
+    assert len(texts) == 16 and texts[0] == "small against big, samples: 3" and texts[6].startswith("conciseness (weight 1): 1.00 -> 5.00 (+4.00), p n/a")
+    assert texts[9] == "candidate wins: 100% of 3, 95% interval 44% to 100%, ties: 0" and texts[10] == "latency avg: 30 ms -> 15 ms, 2.0x"
+    assert texts[14] == "latency, p n/a, speed ratio 2.00" and texts[15].startswith("decision: candidate; Candidate wins ")
+    silent = evaluation.whole_summary(spark, judged.limit(0).withColumn("id", F.lit(1)), *(s.limit(0) for s in sides), "id", n_draws=100)
+    texts = [r["text"] for r in reports.evaluation_report(silent, "small", "big").orderBy("line").collect()]
+    assert texts[9] == "candidate wins: none decided, ties: 0" and texts[10] == "latency avg: not measured"
     lines = [r["text"] for r in reports.dimension_report(evaluation.dimension_means(judged)).orderBy("line").collect()]
     assert len(lines) == 6 and "n/a" in lines[0]
     stats = spark.createDataFrame([("baseline", 4.0, 4.0, 4.0, 4.0), ("candidate", 2.0, 2.0, 2.0, 0.0)], "side string, avg double, p50 double, p90 double, p99 double")
