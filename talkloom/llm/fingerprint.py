@@ -19,7 +19,7 @@ least likeness with chance ``RECALL``; likelier pairs are found more surely.
 
 Defined cases: null text counts as empty, empty texts are alike with likeness
 1; equal texts have equal fingerprints; texts of any length are walked to their
-end; rows that repeat an id follow one another by text, and count as one
+end; rows that repeat an id follow one another by a hash of their texts, and count as one
 document, near to another if any of its rows is; null ids come last, and are in
 no class; the document after the last is the first, so a lone document is
 followed by itself; an empty table gives an empty result.  Only the id and text
@@ -223,8 +223,10 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     folder = shared_folder(spark)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    # texts of one id follow one another by their bytes
-    ranged = packed_texts(rows, kind).repartitionByRange(F.col("id").desc_nulls_last()).sortWithinPartitions(F.col("id").desc_nulls_last())
+    # texts of one id follow one another by a hash, so that ranges can cut between them too
+    order = [F.col("id").desc_nulls_last(), F.col("turn")]
+    turned = packed_texts(rows, kind).withColumn("turn", F.xxhash64("packed"))
+    ranged = turned.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def batch_of(kind_: str, part: int, ids: list, out: list[tuple], texts: list[str] | None, id_type) -> pa.RecordBatch:
         columns = list(zip(*out, strict=True)) if out else [()] * len(_KINDS)
@@ -241,19 +243,12 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
         def ordered() -> Iterator[tuple]:
             nonlocal id_type
-            same: list[str] = []  # texts of one id, in order of code points
-            last = None
             for batch in batches:
                 id_type = batch.schema.field("id").type
                 for lo in range(0, batch.num_rows, 512):
                     piece = batch.slice(lo, 512)
                     for i, packed in zip(piece.column("id").to_pylist(), piece.column("packed").to_pylist(), strict=True):
-                        if same and i != last:
-                            yield from ((last, t) for t in sorted(same))
-                            same = []
-                        last = i
-                        same.append(zlib.decompress(packed).decode("utf-8", "surrogatepass"))
-            yield from ((last, t) for t in sorted(same))
+                        yield i, zlib.decompress(packed).decode("utf-8", "surrogatepass")
 
         for i, text in ordered():
             if first is None:

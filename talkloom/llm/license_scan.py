@@ -3,12 +3,14 @@ tags; a shunting-yard parser evaluates and/or/with licence expressions.
 
 Base phrases are found on the word sequence of the text; identifier tags and
 further notices add labels of their own.  Only words of the form of licence
-identifiers count in an expression: an identifier has a hyphen or a digit, as
+identifiers count in an expression: an identifier has a letter and a hyphen or a digit, as
 nearly all of the SPDX list do, or is one of ``PLAIN_IDENTIFIERS``.  Each
 expression is evaluated against a set of allowed licences.
 
 Defined cases: null text counts as empty (no words, empty label strings, score
-0); texts of any length are scanned whole, expressions to their line's end;
+0); texts of any length are scanned whole, expressions to their line's end; a
+malformed expression, such as one whose ``with`` joins more than one licence and
+one exception, keeps the licences before the fault and isn't permitted;
 repeated rows are scanned alike; an empty table gives an empty result; only the
 id and text columns are read.
 """
@@ -65,7 +67,7 @@ _OPERATORS = {"or": 1, "and": 2, "with": 3}
 
 def is_identifier(token: str) -> bool:
     """Whether a lower-case token has the form of a licence identifier."""
-    return bool(_IDENTIFIER.fullmatch(token)) and (token.rstrip("+") in PLAIN_IDENTIFIERS or bool(re.search(r"[\d-]", token)))
+    return bool(_IDENTIFIER.fullmatch(token)) and (token.rstrip("+") in PLAIN_IDENTIFIERS or bool(re.search(r"[\d-]", token) and re.search(r"[a-z]", token)))
 
 
 def parse_expression(text: str) -> tuple | None:
@@ -79,16 +81,25 @@ def parse_prefix(text: str) -> tuple | None:
     method: its tree, and where it ends.
 
     The tree is ``id`` or ``(operator, left, right)``; ``with`` binds tighter
-    than ``and``, which binds tighter than ``or``.  Words after a complete
-    expression, and words that are no identifiers, end it; a malformed
-    expression gives None.
+    than ``and``, which binds tighter than ``or``, and joins one licence and one
+    exception.  Words after a complete expression, and words that are no
+    identifiers, end it; a malformed expression gives None.
+    """
+    operands, end, well_formed = shunt(text)
+    return (operands[0], end) if well_formed else None
+
+
+def shunt(text: str) -> tuple[list, int, bool]:
+    """Operands of the expression that a text begins with, its end, and whether it
+    is well formed, the one operand then being its tree.  Of a malformed one these
+    are the trees read before the fault.
     """
     output: list = []
     stack: list[str] = []
     operand_next, end = True, 0
 
     def reduce_top() -> bool:
-        if len(output) < 2:
+        if len(output) < 2 or stack[-1] == "with" and not (isinstance(output[-1], str) and isinstance(output[-2], str)):
             return False
         right, left = output.pop(), output.pop()
         output.append((stack.pop(), left, right))
@@ -102,19 +113,19 @@ def parse_prefix(text: str) -> tuple | None:
             stack.append(token)
         elif token == ")":
             if operand_next:
-                return None
+                return output, end, False
             if "(" not in stack:
                 break
             while stack[-1] != "(":
                 if not reduce_top():
-                    return None
+                    return output, end, False
             stack.pop()
         elif low in _OPERATORS:
             if operand_next:
-                return None
+                return output, end, False
             while stack and stack[-1] != "(" and _OPERATORS[stack[-1]] >= _OPERATORS[low]:
                 if not reduce_top():
-                    return None
+                    return output, end, False
             stack.append(low)
             operand_next = True
         else:
@@ -124,11 +135,11 @@ def parse_prefix(text: str) -> tuple | None:
             operand_next = False
         end = m.end()
     if operand_next or "(" in stack:
-        return None
+        return output, end, False
     while stack:
         if not reduce_top():
-            return None
-    return (output[0], end) if len(output) == 1 else None
+            return output, end, False
+    return output, end, len(output) == 1
 
 
 def operands_first(tree) -> Iterator:
@@ -150,7 +161,11 @@ def licences_of(tree) -> list[str]:
             done.append([node])
             continue
         right, left = done.pop(), done.pop()
-        done.append([f"{a} with {b}" for a in left for b in right] if node[0] == "with" else left + right)
+        if node[0] == "with":
+            done.append([f"{left[0]} with {right[0]}"])
+        else:
+            left.extend(right)
+            done.append(left)
     return done[0]
 
 
@@ -192,7 +207,9 @@ def build_tag_automaton() -> ahocorasick.Automaton:
 def scan_text(raw: bytes | None, machine, tags, allowed: set[str] = PERMISSIVE) -> tuple:
     """(n_words, n_base, first, last, base labels, labels, score, expressions, permitted).
 
-    ``permitted`` is whether allowed licences meet every expression, None without any.
+    ``permitted`` is whether allowed licences meet every expression, None without
+    any; a malformed one isn't met, and gives the labels of the licences read
+    before its fault.
     """
     words = words_of(raw)
     n_base, first, last = 0, None, None
@@ -220,13 +237,16 @@ def scan_text(raw: bytes | None, machine, tags, allowed: set[str] = PERMISSIVE)
         low = raw.translate(_FOLD)
         if b"spdx" in low:
             latin = raw.decode("latin-1")
-            for end, _ in tags.iter(low.decode("latin-1")):
-                m = _EXPRESSION.match(latin, end + 1)
-                found = parse_prefix(m[1]) if m else None
-                if found is not None:
-                    expressions.append(m[1][: found[1]].strip())
-                    labels.update(licences_of(found[0]))
-                    met.append(permitted(found[0], allowed))
+            for tag_end, _ in tags.iter(low.decode("latin-1")):
+                m = _EXPRESSION.match(latin, tag_end + 1)
+                read, end, well_formed = shunt(m[1]) if m else ([], 0, False)
+                for tree in read:
+                    labels.update(licences_of(tree))
+                if well_formed:
+                    expressions.append(m[1][:end].strip())
+                    met.append(permitted(read[0], allowed))
+                elif read:
+                    met.append(False)
     score = 1 - 0.5 ** (n_base + 2 * len(expressions) + len(labels - base_labels)) if labels else 0.0
     return (
         len(words), n_base, first, last,

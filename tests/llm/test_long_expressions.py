@@ -29,7 +29,7 @@ def test_only_identifiers_are_licences():
         ("<!-- SPDX-License-Identifier: MIT -->", "mit", ["MIT"], True),
         ("SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0 AND MIT */", "gpl-2.0-only with classpath-exception-2.0,mit", ["GPL-2.0-only WITH Classpath-exception-2.0 AND MIT"], False),
         ("SPDX-License-Identifier: GPL-3.0+ OR ISC see", "gpl-3.0+,isc", ["GPL-3.0+ OR ISC"], True),
-        ("SPDX-License-Identifier: LicenseRef-own AND (nothing", "", [], None),
+        ("SPDX-License-Identifier: LicenseRef-own AND (nothing", "licenseref-own", [], False),
         ("SPDX-License-Identifier: MIT\nspdx-license-identifier: GPL-2.0", "gpl-2.0,mit", ["MIT", "GPL-2.0"], False),
     ):
         row = scan(text)

@@ -259,7 +259,7 @@ def test_fingerprint_edges(spark):
 
 
 def test_queries_are_named(spark):
-    assert {n.split("_")[0] for n in queries.queries() if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.queries() if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
