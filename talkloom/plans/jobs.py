@@ -272,15 +272,16 @@ def labelled_by_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {LOG_SQL}, t AS (SELECT *, {_STRIP.format('asked')} AS a, dense_rank() OVER (ORDER BY conv_id) AS c FROM log_v)
 SELECT request_id, 'big' AS model_used_for_label, 'reply to ' || a AS label, row_number() OVER (ORDER BY conv_id, turn) - 1 AS pos FROM t WHERE a <> ''""")
 def labelled_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A labelling step in parts of 50 rows: the first run has replies to some prompts only, the second goes on with the rest."""
+    """A labelling step in four parts: the first run has replies to some prompts only, the second goes on with the rest."""
     base = work_folder(spark)
     log = log_rows(spark, sf_dir).withColumns({"timestamp": F.lit("t"), "model": F.lit("m")})
     log = stored(selection.numbered(log, ["conv_id", "turn"], "pos"), f"{base}/log")
     prompts = workflow.label_prompts(log, "{transcript}").select("prompt").distinct()
     replies = prompts.select(responders.prompt_key(F.col("prompt"), "big").alias("key"), F.concat(F.lit(" reply to "), "prompt").alias("reply"), F.lit(1.0).alias("duration_ms"))
     table = KeyedTable(spark, f"{base}/table", f"{schemas.LABELED}, pos long", buckets=8)
+    part = max(1, log.count() // 4)
     for some in (replies.where("key < '8'"), replies):
-        workflow.label_into(table, log.drop("conv_id", "turn"), responders.Replay(some, "big"), "{transcript}", "big", rows_at_once=50)
+        workflow.label_into(table, log.drop("conv_id", "turn"), responders.Replay(some, "big"), "{transcript}", "big", rows_at_once=part)
     return table.read().select("request_id", "model_used_for_label", "label", "pos")
 
 

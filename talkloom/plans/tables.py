@@ -113,7 +113,7 @@ def log_source_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts as log lines, read in byte ranges shorter than many of them; damaged lines are rows too."""
     base = work_folder(spark)
     _log_lines(load(spark, sf_dir, "documents")).write.text(f"{base}/log")
-    return _log_counts(log_source.read_lines(spark, f"{base}/log", split=1 << 16))
+    return _log_counts(log_source.read_lines(spark, f"{base}/log", split=1 << 18))
 
 
 @query(_LOG_SQL.format("count(*) FILTER (doc_id % 10 IN (3, 7))"))
