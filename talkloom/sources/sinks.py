@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .work import file_system
@@ -35,14 +35,19 @@ def write_results(detail: DataFrame, summary: DataFrame, base: str, stamp: str)
     summary.coalesce(1).write.mode("errorifexists").json(f"{base}/{stamp}_summary")
 
 
-def content_hash(rows: DataFrame) -> DataFrame:
-    """One row (n, hash) that equal multisets of rows share, in any order.
+def content_hash_columns(columns: list[str]) -> tuple[Column, Column]:
+    """Aggregates n and hash of rows; equal multisets of rows, in any order, share them.
 
     Row hashes are summed, so no rows meet in one place.
     """
-    row = F.to_json(F.struct(*(F.col(c) for c in rows.columns)), {"ignoreNullFields": "false"})
+    row = F.to_json(F.struct(*(F.col(c) for c in columns)), {"ignoreNullFields": "false"})
     number = F.conv(F.substring(F.md5(row), 1, 15), 16, 10).cast("decimal(38,0)")
-    return rows.select(number.alias("x")).agg(F.count("*").alias("n"), F.coalesce(F.sum("x"), F.lit(0)).cast("string").alias("hash"))
+    return F.count("*").alias("n"), F.coalesce(F.sum(number), F.lit(0)).cast("string").alias("hash")
+
+
+def content_hash(rows: DataFrame) -> DataFrame:
+    """One row (n, hash) of all rows, see ``content_hash_columns``."""
+    return rows.agg(*content_hash_columns(rows.columns))
 
 
 def snapshot(spark: SparkSession, rows: DataFrame, base: str, day: str, last: DataFrame | None) -> str | None:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from talkloom.sources import jsonl, log_source
 from talkloom.sources.keyed_table import KeyedTable
+from talkloom.sources.snapshots import FANOUT, Snapshots, differing, part_of, tree_of
 from talkloom.streaming import ingest, keyed_state
 
 SCHEMA = "request_id string, pos long, v int"
@@ -153,3 +154,30 @@ def test_a_stream_keeps_a_keyed_table_current(spark, tmp_path):
         stream = spark.readStream.schema(SCHEMA).json(str(tmp_path / "in"))
         ingest.keep_current(stream, table, str(tmp_path / "state")).awaitTermination()
     assert rows_of(table) == [("a", 0, 2), ("b", 1, 3), ("c", 4, 1)] and len(table.versions()) == 2
+
+
+def test_snapshots_write_what_differs(spark, tmp_path):
+    rows = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"))
+    shots = Snapshots(spark, str(tmp_path / "s"), "k", parts=40)
+    first = shots.take(rows)
+    assert len(first) > 30 and shots.take(rows.repartition(7)) == [] and shots.versions() == [0]
+    later = rows.where("k <> 500").union(spark.createDataFrame([(-5, 1), (3, 3), (None, 2), (5000, 4)], "k long, v long"))
+    changed = shots.take(later)
+    assert 2 <= len(changed) <= 3 and 0 in changed and first[-1] in changed
+    key = lambda d: sorted(map(tuple, d.collect()), key=str)
+    assert key(shots.read(rows.schema)) == key(later) and key(shots.read(rows.schema, 0)) == key(rows)
+    files = {p.parent.name for p in (tmp_path / "s/data/v=1").glob("*/part-*")}
+    assert files == {f"_part={p}" for p in changed}
+    empty = Snapshots(spark, str(tmp_path / "e"), "k")
+    assert empty.take(rows.limit(0)) == [0] and empty.read(rows.schema).count() == 0 and empty.take(rows.limit(0)) == []
+
+
+def test_trees_tell_leaves_apart(spark):
+    for n in (1, 2, FANOUT, FANOUT + 1, 1000):
+        leaves = [str(i) for i in range(n)]
+        assert differing(tree_of(leaves), tree_of(leaves)) == []
+        other = [x + "!" if i in (0, n // 2, n - 1) else x for i, x in enumerate(leaves)]
+        assert differing(tree_of(leaves), tree_of(other)) == sorted({0, n // 2, n - 1})
+    bounds = list(range(0, 1000, 10))
+    got = spark.range(-20, 1100).select("id", part_of(F.col("id"), bounds).alias("p")).collect()
+    assert all(r["p"] == min(99, max(0, r["id"] // 10)) for r in got)
