@@ -14,7 +14,8 @@ Training takes a bounded sample of labelled rows and of unlabelled ones
 
 Defined cases: null text counts as empty, null metadata as values of their own;
 of labels that repeat a document the mean counts, at 0.5 and more as good; with
-no labels, or labels of one class only, every score is 0.5 and nothing is
+fewer than 20 labels, or with a fold (to train, to calibrate, to combine) that
+lacks a class, there is nothing to learn from: every score is 0.5 and nothing is
 rejected; an empty table gives an empty result; of equal scores at the threshold
 all are accepted; repeated rows score alike; very long texts are read whole, one
 at a time.  Columns other than the named ones pass through untouched; a result
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_names, lean, words_of
+from .common import free_names, lean, shared_folder, stored, words_of
 
 #: Bounds of the training samples.
 MAX_LABELLED = 4_000
@@ -203,8 +204,13 @@ def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     lang_col: str = "lang", chars_col: str = "n_chars", label_col: str = "quality",
 ) -> Model:
-    """Train on bounded samples: the rows whose ids hash lowest."""
-    turn = F.xxhash64(F.col(id_col))
+    """Train on bounded samples: the rows whose ids hash lowest.
+
+    Rows without an id are told apart by their texts.  However often an id
+    repeats, at most MAX_LABELLED labelled rows and twice MAX_POOL others, those
+    whose ids and features hash lowest, come to the driver, as features.
+    """
+    turn = F.when(F.col(id_col).isNull(), F.xxhash64(text_col)).otherwise(F.xxhash64(F.col(id_col)))
     marked = (
         labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
         .groupBy(F.col(id_col).alias("s_id"))
@@ -233,12 +239,15 @@ def fit(
     got = sample.select("id", "y", "f_text", "f_source", "f_lang", "f_chars").mapInArrow(
         run, "id string, y double, text_x binary, meta_x binary"
     )
-    found = sorted(got.collect(), key=lambda r: (zlib.crc32(str(r["id"]).encode()), str(r["id"]), r["text_x"]))
+    kept = stored(got, f"{shared_folder(docs.sparkSession)}/sample")
+    low = F.xxhash64("id", "text_x", "meta_x")
+    bounded = kept.where("y is not null").orderBy(low).limit(MAX_LABELLED).union(kept.where("y is null").orderBy(low).limit(2 * MAX_POOL))
+    found = sorted(bounded.collect(), key=lambda r: (zlib.crc32(str(r["id"]).encode()), str(r["id"]), r["text_x"]))
 
     def matrix(rows: list, name: str, width: int) -> np.ndarray:
         return np.stack([np.frombuffer(r[name], np.float32) for r in rows]) if rows else np.zeros((0, width), np.float32)
 
-    known, pool = [r for r in found if r["y"] is not None], [r for r in found if r["y"] is None][: 2 * MAX_POOL]
+    known, pool = [r for r in found if r["y"] is not None], [r for r in found if r["y"] is None]
     widths = len(text_features(None)), len(meta_features(None, None, None))
     return co_train(
         matrix(known, "text_x", widths[0]), matrix(known, "meta_x", widths[1]), np.array([r["y"] for r in known]),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from talkloom.llm import fingerprint, license_scan
+from talkloom.llm import fingerprint, license_scan, quality
 
 
 def scan(text):
@@ -37,3 +37,18 @@ def test_rows_of_one_id_are_dealt_out(spark):
     got = fingerprint.fingerprint_documents(rows)
     assert got.count() == 4000 and got.where("doc_id is null").count() == 2000
     assert got.where("near_next is null").count() == 0
+
+
+def test_the_fit_is_bounded_however_ids_repeat(spark, monkeypatch):
+    """Rows without an id and rows of one labelled id, far beyond the bounds."""
+    seen = {}
+    monkeypatch.setattr(quality, "co_train", lambda text_x, meta_x, y, pool_text, pool_meta: seen.update(known=len(y), pool=len(pool_text)))
+    monkeypatch.setattr(quality, "MAX_LABELLED", 200)
+    monkeypatch.setattr(quality, "MAX_POOL", 200)
+    number = F.col("id").cast("string")
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(7)).cast("long").alias("doc_id"), F.concat(F.lit("word "), number).alias("text"),
+        F.lit("s").alias("source"), F.lit("l").alias("lang"), F.length(number).cast("long").alias("n_chars"),
+    )
+    quality.fit(rows, spark.createDataFrame([(7, 1), (8, 0)], "doc_id long, quality int"))
+    assert seen["known"] == 200 and 20 <= seen["pool"] <= 400
