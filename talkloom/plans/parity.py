@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import chat, text, verdicts
-from ..operators import dataset, evaluation, reports, resampling, select, selection, upsert
+from ..operators import dataset, evaluation, reports, resampling, select, selection, twister, upsert
 from ..sources import jsonl, sinks
 from ..sources import text as text_source
 from ..streaming import ingest
@@ -570,6 +570,13 @@ def permutation_p(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.permutation_p(diffs).select("hits", "p")
 
 
+@query()
+def sequential_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interval and p from the original's own seeded stream, bit for bit; SQL has no such generator, a test has the loop."""
+    diffs = _diffs(spark, sf_dir).select("pos", F.round(F.col("d") * 10).cast("long").alias("d"))
+    return twister.bootstrap_ci(diffs).crossJoin(F.broadcast(twister.permutation_p(diffs).select("hits", "p")))
+
+
 _VETO = " ".join(
     f"WHEN candidate_{d} < 3 AND baseline_{d} >= 3 THEN 'baseline' WHEN baseline_{d} < 3 AND candidate_{d} >= 3 THEN 'candidate'" for d in verdicts.CRITICAL
 )
