@@ -263,6 +263,12 @@ class DamagedArchive(ValueError):
     """A place of an archive where a record should start but none can be read."""
 
 
+def arrow_uri(path: str) -> str:
+    """A path as Arrow's file systems name it; Hadoop's names of S3 are s3 to them."""
+    scheme, found, rest = path.partition("://")
+    return f"s3://{rest}" if found and scheme in ("s3a", "s3n") else path
+
+
 def read_warc(
     spark: SparkSession, folder: str, split_bytes: int = SPLIT_BYTES, with_payload: bool = False, strict: bool = True
 ) -> DataFrame:
@@ -296,7 +302,7 @@ def read_warc(
 
         for batch in batches:
             for path, size, start in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                files, name = pafs.FileSystem.from_uri(path)
+                files, name = pafs.FileSystem.from_uri(arrow_uri(path))
                 with files.open_input_file(name) as f:
                     rows = []
                     for at, raw in RangeReader(f, size).records(start, min(size, start + split_bytes)):

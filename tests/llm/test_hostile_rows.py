@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pyarrow import fs
 from pyspark.sql import functions as F
 
-from talkloom.llm import fingerprint, license_scan, quality
+from talkloom.llm import fingerprint, license_scan, quality, warc
 
 
 def scan(text):
@@ -52,3 +53,10 @@ def test_the_fit_is_bounded_however_ids_repeat(spark, monkeypatch):
     )
     quality.fit(rows, spark.createDataFrame([(7, 1), (8, 0)], "doc_id long, quality int"))
     assert seen["known"] == 200 and 20 <= seen["pool"] <= 400
+
+
+def test_archives_on_s3_are_opened_by_any_of_its_names():
+    for path in ("s3a://bucket/a.warc.gz", "s3n://bucket/a.warc.gz", "s3://bucket/a.warc.gz"):
+        files, name = fs.FileSystem.from_uri(warc.arrow_uri(path) + "?region=us-east-1")
+        assert isinstance(files, fs.S3FileSystem) and name == "bucket/a.warc.gz"
+    assert warc.arrow_uri("file:/tmp/a") == "file:/tmp/a" and warc.arrow_uri("hdfs://n/a") == "hdfs://n/a"
