@@ -110,7 +110,7 @@ def test_search_is_the_plain_one(spark, shard):
     table = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, score string").repartition(3)
     asked = spark.createDataFrame([(*i, 1) for i in items], "item_id long, text string, rank int")
     index = ranked_search.build_index(table, None, "doc_id", "text", *shard)
-    for block in (1 << 20, 10):
+    for block in (1 << 20, 10) if shard[1] == 200 else (1 << 20,):
         got = ranked_search.search(index, asked, block_terms=block)
         assert got.columns == ["item_id", "rank", "doc_id", "score"]
         assert sorted(map(tuple, got.collect()), key=repr) == plain_search(docs, items)
