@@ -5,6 +5,8 @@ Row order is a column, ``pos``, since DataFrames have none.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,15 +15,17 @@ from ..functions.text import has_tag, strip, tag, tag_or_all
 
 
 def scan_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Non-blank lines with ``pos``, which grows by file, block and line.
+    """Non-blank lines with ``pos``, which grows by path as given, file, block and line.
 
     A missing path is an error, as it is for the original tools.
     """
-    lines = spark.read.text(paths).select(
-        "value",
-        F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("pos"),
-    )
-    return lines.where(strip("value") != "")
+
+    def one(number: int, path: str) -> DataFrame:
+        place = F.struct(F.lit(number).alias("given"), F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+        return spark.read.text(path).select("value", place.alias("pos"))
+
+    given = [paths] if isinstance(paths, str) else paths
+    return reduce(DataFrame.unionAll, (one(k, p) for k, p in enumerate(given))).where(strip("value") != "")
 
 
 def scan_strict(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame:

@@ -27,6 +27,12 @@ def test_lenient_scan(spark, tmp_path):
         jsonl.scan_lines(spark, str(tmp_path / "none.jsonl"))
 
 
+def test_files_keep_the_order_in_which_they_are_given(spark, tmp_path):
+    paths = [write(tmp_path / f"{n}.jsonl", [{"request_id": f"{n}{i}"} for i in range(3)]) for n in "bca"]
+    rows = jsonl.scan_lenient(spark, paths, "request_id string").orderBy("pos").collect()
+    assert [r["request_id"] for r in rows] == [f"{n}{i}" for n in "bca" for i in range(3)]
+
+
 def test_strict_scan_fails_on_a_bad_line(spark, tmp_path):
     row = {"request_id": "a", "request_json_valid": True, "response_json_valid": True}
     good = write(tmp_path / "good.jsonl", [row, row | {"request_id": "b", "response_json_valid": None}])
