@@ -3,9 +3,10 @@
 ``build_index`` deals documents into shards and stores three tables: shards,
 terms with the number of documents that hold them, and totals.  A shard has the
 forward index of its documents (terms and their impacts) and, for every term,
-the list of its postings sorted by impact; it is read by one task at a time and
-bounded by DOCS documents or BYTES bytes of text.  Impacts need the totals, so
-words are counted first, in a pass of its own.
+the list of its postings sorted by impact; it is a file of its own, goes to
+Python by itself and is bounded by DOCS documents or BYTES bytes of text, so a
+task holds one shard however many it reads or writes.  Impacts need the totals,
+so words are counted first, in a pass of its own.
 
 ``search`` sends the items' weighted terms to all shards.  In each of them an
 item's lists are read round-robin, some entries of each at a time; a document
@@ -182,7 +183,10 @@ class Index:
     """Stored tables: ``shards``, ``vocabulary`` (term, df), ``totals`` (one row: n_docs, total)."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.shards = spark.read.schema(_SHARD).parquet(f"{folder}/shards")
+        # a session of its own, as others' batches may have many rows
+        alone = spark.newSession()
+        alone.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+        self.shards = alone.read.schema(_SHARD).parquet(f"{folder}/shards")
         self.vocabulary = spark.read.schema("term string, df long").parquet(f"{folder}/vocabulary")
         totals = spark.read.schema("n_docs long, total long").parquet(f"{folder}/totals").first()
         self.n_docs: int = totals["n_docs"]
@@ -202,7 +206,9 @@ def build_index(
     # many small partitions would make many small shards; they are read together, without a shuffle
     tasks = max(-(-row["bytes"] // bytes_of_shard), -(-row["n_docs"] // docs_of_shard), spark.sparkContext.defaultParallelism)
     shards = read.coalesce(tasks).mapInArrow(shard_rows(row["n_docs"], row["total"], docs_of_shard, bytes_of_shard), _SHARD)
-    held = stored(shards, f"{folder}/shards").select(F.explode(F.arrays_zip("vocabulary", "counts")).alias("x"))
+    # Parquet's writers and readers hold many rows of a file at once, so each shard has its own
+    shards.write.mode("overwrite").option("maxRecordsPerFile", 1).parquet(f"{folder}/shards")
+    held = spark.read.schema(_SHARD).parquet(f"{folder}/shards").select(F.explode(F.arrays_zip("vocabulary", "counts")).alias("x"))
     stored(held.groupBy(F.col("x.vocabulary").alias("term")).agg(F.sum("x.counts").alias("df")), f"{folder}/vocabulary")
     return Index(spark, folder)
 

@@ -118,6 +118,15 @@ def test_search_is_the_plain_one(spark, shard):
     assert sorted(map(tuple, ranked_search.search(index, asked.where("item_id = 0"), k=3).collect()), key=repr) == plain_search(docs, items[:1], 3)
 
 
+def test_shards_are_written_and_read_one_at_a_time(spark, tmp_path):
+    """A task with many shards holds one of them: each is a file and a batch of its own."""
+    docs = spark.createDataFrame(list(enumerate(zipf_texts(2, 300))), "doc_id long, text string").repartition(2)
+    index = ranked_search.build_index(docs, str(tmp_path / "i"), docs_of_shard=20)
+    batches = index.shards.coalesce(1).mapInArrow(lambda bs: (pa.record_batch([pa.array([b.num_rows])], ["n"]) for b in bs), "n long")
+    assert {r["n"] for r in batches.collect()} == {1}
+    assert len(list((tmp_path / "i/shards").glob("part-*"))) == index.shards.count() >= 15
+
+
 def test_search_of_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     items = spark.createDataFrame([(1, "a")], "item_id long, text string")
