@@ -18,8 +18,8 @@ from pyspark.sql.window import Window
 
 from ..sources.work import stored, work_folder
 
-#: Rows of a range.
-RANGE = 1 << 19
+#: Rows of a range; rows may be wide, and a task sorts a range whole.
+RANGE = 1 << 15
 #: Bits of a row's place within its range, as Spark's own ids have them.
 PLACE_BITS = 33
 #: Cuts of a sketch and its accuracy; distinct values that one window may hold.

@@ -338,7 +338,8 @@ p AS (SELECT md5(coalesce(text, '')) AS t, k < floor(n * 0.1::DOUBLE) AS e FROM
 SELECT count(*)::BIGINT AS leaked FROM (SELECT t FROM p GROUP BY t HAVING count(DISTINCT e) > 1)
 """)
 def split_leakage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dataset.leakage(select.split(load(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id"), "text")
+    digests = load(spark, sf_dir, "documents").select("doc_id", F.md5(text.text_of("text")).alias("digest"))
+    return dataset.leakage(select.split(digests, "doc_id"), "digest")
 
 
 _DIMS = {"topic": [f"topic {c}" for c in "abcdefghijkl"], "scenario": [f"scenario {c}" for c in "abcdefghijkl"], "target_words": [500, 750, 1000, 1500, 2000, 2500, 3000, 3500]}
