@@ -33,24 +33,19 @@ def detail(samples: DataFrame, baseline: DataFrame, candidate: DataFrame, judgme
         .join(baseline.select("sample_index", F.col("text").alias("baseline_output"), F.col("duration_ms").alias("baseline_duration_ms")), "sample_index")
         .join(candidate.select("sample_index", F.col("text").alias("candidate_output"), F.col("duration_ms").alias("candidate_duration_ms")), "sample_index")
     )
-    # counted by ranges of indexes first, so no task numbers all rows
-    span = F.floor(F.col("sample_index") / SPAN).alias("span")
-    sizes = rows.groupBy(span).agg(F.count("*").alias("size"))
-    before = sizes.select("span", (F.sum("size").over(Window.orderBy("span")) - F.col("size")).alias("before"))
-    rows = rows.withColumn("span", span).join(before, "span")
-    place = F.row_number().over(Window.partitionBy("span").orderBy("sample_index"))
+    # indexes are counted by themselves, so no task numbers whole rows; rows of one index follow one another
+    ids = reduce(lambda a, b: a.join(b, "sample_index"), (x.select("sample_index") for x in (samples, judgments, baseline, candidate)))
+    starts = selection.numbered(ids, ["sample_index"], "_pos").groupBy("sample_index").agg(F.min("_pos").alias("_start"))
+    place = F.row_number().over(Window.partitionBy("sample_index").orderBy("sample_index"))
+    rows = rows.join(starts, "sample_index")
     return rows.select(
-        (F.col("before") + place - 1).alias("sample_index"), "raw_transcript", "gold_label", "baseline_output", "candidate_output",
+        (F.col("_start") + place - 1).alias("sample_index"), "raw_transcript", "gold_label", "baseline_output", "candidate_output",
         "baseline_duration_ms", "candidate_duration_ms", "baseline_scores", "candidate_scores",
         verdicts.weighted(F.col("baseline_scores")).alias("baseline_weighted"),
         verdicts.weighted(F.col("candidate_scores")).alias("candidate_weighted"),
     )
 
 
-#: Sample indexes that are numbered in one task.
-SPAN = 1 << 20
-
-
 def wins(scored: DataFrame) -> DataFrame:
     """One row (baseline, candidate, tie) from rounded weighted scores."""
     b, c = F.col("baseline_weighted"), F.col("candidate_weighted")
