@@ -44,18 +44,20 @@ def bucketed_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT count(*)::BIGINT AS n, sum(CASE WHEN changed THEN -n_chars ELSE n_chars END)::BIGINT AS v, count(*) FILTER (changed)::BIGINT AS n_changed,
   0::BIGINT AS unfound, true AS fewer_written, 0::INT AS written_again FROM d""")
 def snapshot_by_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A second snapshot writes only the key ranges in which documents changed, a third one nothing."""
+    """A second snapshot writes only the leaves of key ranges in which documents changed, a third one nothing."""
     docs = load(spark, sf_dir, "documents").select("doc_id", F.coalesce("source", F.lit("")).alias("source"), "n_chars")
     changed = F.col("doc_id") % 211 == 5
     later = docs.withColumn("n_chars", F.when(changed, -F.col("n_chars")).otherwise(F.col("n_chars")))
     shots = Snapshots(spark, f"{work_folder(spark)}/shots", "doc_id", parts=64)
     first, second = shots.take(docs), shots.take(later)
     third = len(shots.take(later.repartition(3)))
+    wrote = [(shots.written(k), len(ranges)) if ranges else (0, 0) for k, ranges in enumerate((first, second))]
     paths = [f"{shots.base}/data/v=1/_part={p}" for p in second]
     again = spark.read.schema(docs.schema).parquet(*paths) if paths else docs.limit(0)
-    found = later.where(changed).join(again, ["doc_id", "n_chars"], "left_anti").agg(F.count("*").alias("unfound"))
+    differs = changed & (F.col("n_chars") != 0)  # an empty document's row stays as it was
+    found = later.where(differs).join(again, ["doc_id", "n_chars"], "left_anti").agg(F.count("*").alias("unfound"))
     sums = shots.read(docs.schema).agg(F.count("*").alias("n"), F.sum("n_chars").alias("v"), F.count_if(changed).alias("n_changed"))
-    told = F.lit(len(second) < len(first)).alias("fewer_written"), F.lit(third).alias("written_again")
+    told = F.lit(wrote[1] < wrote[0]).alias("fewer_written"), F.lit(third).alias("written_again")
     return sums.crossJoin(F.broadcast(found)).select("*", *told)  # one row each
 
 

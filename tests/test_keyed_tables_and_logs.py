@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import json
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from talkloom.sources import jsonl, log_source
+from talkloom.plans import registry
+from talkloom.sources import jsonl, log_source, snapshots
 from talkloom.sources.keyed_table import KeyedTable
 from talkloom.sources.snapshots import FANOUT, Snapshots, differing, part_of, tree_of
 from talkloom.streaming import ingest, keyed_state
@@ -172,6 +174,56 @@ def test_snapshots_write_what_differs(spark, tmp_path):
     assert empty.take(rows.limit(0)) == [0] and empty.read(rows.schema).count() == 0 and empty.take(rows.limit(0)) == []
 
 
+def test_snapshots_write_leaves_of_a_changed_range(spark, tmp_path):
+    """A change in every range writes leaves, not ranges; what older snapshots hold is read but for dead leaves."""
+    rows = spark.range(6000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"))
+    shots = Snapshots(spark, str(tmp_path / "s"), "k", parts=4)
+    key = lambda d: sorted(map(tuple, d.collect()), key=str)
+    everything = shots.take(rows)
+    assert shots.written(0) == 6000
+    v = F.col("v")
+    states = [rows]
+    states.append(rows.withColumn("v", F.when(F.col("k") % 211 == 5, -v).otherwise(v)))
+    assert shots.take(states[1]) == everything and 0 < shots.written(1) < 4000
+    assert sum(spark.read.parquet(str(p)).count() for p in (tmp_path / "s/data/v=1").glob("_part=*")) == shots.written(1)
+    leaf = spark.read.parquet(str(tmp_path / "s/data/v=0/_part=2")).groupBy("_leaf").agg(F.collect_list("k").alias("ks")).orderBy("_leaf").first()["ks"]
+    states.append(states[1].where(~F.col("k").isin(leaf)))  # all rows of a leaf go, none comes in their place
+    assert shots.take(states[2]) == [2] and shots.written(2) == 0
+    grown = spark.range(6000, 16000).select(F.col("id").alias("k"), F.lit(1).cast("long").alias("v"))
+    states.append(states[2].union(grown))  # keys beyond the last bound
+    assert shots.take(states[3]) == [3] and max(m.n / m.leaves for m in shots.manifest(3).values()) <= 64
+    states.append(states[3].where("k > 5"))
+    assert shots.take(states[4].repartition(5)) == [0] and shots.take(states[4]) == []
+    for version, state in enumerate(states):
+        assert key(shots.read("k long, v long", version)) == key(state), version
+
+
+@pytest.mark.parametrize("n", [0, 54_016])
+def test_snapshot_query_where_every_range_has_changes(spark, tmp_path, n):
+    """Ranges of 844 rows with four changes each; a changed document without characters stays as it was."""
+    length = F.when(F.col("id") % 11 != 3, F.col("id") % 7).alias("n_chars")
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 3).alias("source"), length)
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = duck.execute(registry.oracle_sql()["snapshot_by_parts"]).fetchall()
+    assert [tuple(r) for r in registry.queries()["snapshot_by_parts"](spark, str(tmp_path)).collect()] == want
+
+
+def test_a_range_held_by_many_snapshots_is_written_whole(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(snapshots, "MOST_HELD", 2)
+    rows = spark.range(1000).select(F.col("id").alias("k"), F.lit(0).alias("v"))
+    shots = Snapshots(spark, str(tmp_path / "s"), "k", parts=1)
+    wrote = []
+    for n in range(4):
+        rows = rows.withColumn("v", F.when(F.col("k") == n, n + 1).otherwise(F.col("v")))
+        assert shots.take(rows) == [0]
+        wrote.append(shots.written(n))
+        assert sorted(map(tuple, shots.read(rows.schema).collect())) == sorted(map(tuple, rows.collect()))
+    assert wrote[0] == wrote[2] == 1000 and max(wrote[1], wrote[3]) < 300
+    assert [shots.manifest(n)[0].held for n in range(4)] == [[0], [0, 1], [2], [2, 3]]
+
+
 def test_trees_tell_leaves_apart(spark):
     for n in (1, 2, FANOUT, FANOUT + 1, 1000):
         leaves = [str(i) for i in range(n)]
